@@ -249,3 +249,32 @@ def bucketed_ranks(placed: DataFrame, order: str | Column, by: Sequence[str], ou
     return placed.join(offsets, on).select(
         *kept, (F.col("__off") + F.row_number().over(inside) - 1).cast("long").alias(out)
     )
+
+
+def running_max(
+    df: DataFrame,
+    order: str,
+    value: Column,
+    by: Sequence[str] = (),
+    out: str = "max_before",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Add the largest `value` among the rows of the group that come strictly before, by a unique number."""
+    by = list(by)
+    splits = profile(df, [order], rows_per_bucket=rows_per_bucket).splits[order]
+    placed = df.withColumns({"__o": nan_to_null(order), "__v": value})
+    kept = df.columns
+    if not splits:
+        # one bucket: the rows are few enough for a window per group
+        before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return placed.select(*kept, F.max("__v").over(before).alias(out))
+    bounds = [float("-inf"), *splits, float("inf")]
+    placed = Bucketizer(inputCol="__o", outputCol="bucket", splits=bounds, handleInvalid="keep").transform(placed)
+    along = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    tops = placed.groupBy(*by, "bucket").agg(F.max("__v").alias("__top"))
+    starts = tops.select(
+        *[F.col(b).alias(f"__k_{b}") for b in by], F.col("bucket").alias("__k_bucket"), F.max("__top").over(along).alias("__start")
+    )
+    on = [placed[b].eqNullSafe(starts[f"__k_{b}"]) for b in by] + [placed["bucket"] == starts["__k_bucket"]]
+    inside = Window.partitionBy(*by, "bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(starts, on).select(*kept, F.greatest("__start", F.max("__v").over(inside)).alias(out))

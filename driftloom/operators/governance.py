@@ -4,40 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.columns import nan_to_null
+from driftloom.operators.ecdf import ROWS_PER_BUCKET, running_max
 from driftloom.specs import GATE_LIMITS, PROMOTION_AUC
 
 
 def promotion_history(
-    registry: DataFrame, version: str = "version", auc: str = "auc", model: str | None = None, least: float = PROMOTION_AUC
+    registry: DataFrame,
+    version: str = "version",
+    auc: str = "auc",
+    model: str | None = None,
+    least: float = PROMOTION_AUC,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """What each registered version became when it was registered.
 
     A version is promoted when its AUC reaches the limit and beats the champion of its time. The
     champion is the running maximum of the qualified versions before it, so the whole history is
-    one running maximum. A version without a metric counts as 0. The window holds the versions of
-    one model: entries of a registry, not data rows.
+    one running maximum of (auc, -version). A version without a metric counts as 0.
     """
-    keys = [model] if model else []
     score = F.coalesce(nan_to_null(auc), F.lit(0.0))
-    along = Window.partitionBy(*keys).orderBy(version)
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
     qualified = score >= least
-    champion_auc = F.max(F.when(qualified, score)).over(before)
-    promoted = qualified & (champion_auc.isNull() | (score > champion_auc))
-    marked = registry.withColumns({"champion_auc_before": champion_auc, "is_champion": promoted})
-    versions = F.when(F.col("is_champion"), F.col(version))
+    entry = F.when(qualified, F.struct(score.alias("auc"), (-F.col(version)).alias("age")))
+    marked = running_max(registry, version, entry, [model] if model else [], "__champion", rows_per_bucket)
+    before, before_auc = -F.col("__champion.age"), F.col("__champion.auc")
+    promoted = qualified & (before_auc.isNull() | (score > before_auc))
     return marked.withColumns(
         {
-            "status": F.when(F.col("is_champion"), "promoted_to_champion").otherwise("registered_as_challenger"),
-            "previous_champion": F.when(F.col("is_champion"), F.last(versions, ignorenulls=True).over(before)),
-            "champion_now": F.last(versions, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)),
-            "champion_auc": F.when(F.col("is_champion"), score).otherwise(F.coalesce("champion_auc_before", F.lit(0.0))),
+            "is_champion": promoted,
+            "status": F.when(promoted, "promoted_to_champion").otherwise("registered_as_challenger"),
+            "previous_champion": F.when(promoted, before),
+            "champion_now": F.when(promoted, F.col(version)).otherwise(before),
+            "champion_auc": F.when(promoted, score).otherwise(F.coalesce(before_auc, F.lit(0.0))),
         }
-    ).drop("champion_auc_before")
+    ).drop("__champion")
 
 
 def aliases(history: DataFrame, version: str = "version", model: str | None = None) -> DataFrame:
