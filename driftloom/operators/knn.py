@@ -79,8 +79,8 @@ def _route(cells: pd.DataFrame, k: int, width: int):
 
     def route(batches):
         for frame in batches:
-            out_r, out_d = [], []
-            for r_cell, lo, hi in zip(frame["r_cell"], frame["lo"], frame["hi"]):
+            lists = []
+            for lo, hi in zip(frame["lo"], frame["hi"]):
                 lo, hi = np.array(lo, dtype=float), np.array(hi, dtype=float)
                 both = ~np.isnan(d_lo) & ~np.isnan(lo)
                 near = np.where(both, np.maximum(0.0, np.maximum(d_lo - hi, lo - d_hi)), 0.0)
@@ -95,9 +95,8 @@ def _route(cells: pd.DataFrame, k: int, width: int):
                 reach = farthest[by_far[at]] if at < len(by_far) else np.inf
                 # a hair of slack, since box and point distances round differently
                 wanted = np.flatnonzero((nearest <= reach * (1 + 1e-9)) & np.isfinite(nearest))
-                out_r.extend([r_cell] * len(wanted))
-                out_d.extend(codes[wanted])
-            yield pd.DataFrame({"r_cell": out_r, "d_cell": out_d}, dtype="int64")
+                lists.append(codes[wanted].tolist())
+            yield pd.DataFrame({"r_cell": frame["r_cell"], "d_cells": lists})
 
     return route
 
@@ -164,10 +163,12 @@ def neighbour_means(
         return receivers.sparkSession.createDataFrame([], f"{empty}, n long, estimate double")
     routes = durable(
         _boxes(asked, features, "r_cell").select("r_cell", "lo", "hi").mapInPandas(
-            _route(d_cells, k, width), "r_cell long, d_cell long"
+            _route(d_cells, k, width), "r_cell long, d_cells array<long>"
         )
     )
+    # one route row per cell, so a crowded cell repeats on the receivers' side only
     sent = asked.withColumnRenamed("cell", "r_cell").join(routes, "r_cell")
+    sent = sent.select(*features, F.explode("d_cells").alias("d_cell"))
     # blocks per cell, from counted sizes; one row per non-empty cell
     loads = sent.groupBy("d_cell").agg(F.count(F.lit(1)).alias("r")).join(
         points.groupBy(F.col("cell").alias("d_cell")).agg(F.count(F.lit(1)).alias("d")), "d_cell"
@@ -227,10 +228,9 @@ def knn_fill(
     A cell without any comparable donor gets the donors' column mean.
     """
     cols = list(cols)
-    clean = df.withColumns({c: nan_to_null(c) for c in cols})
     pool = donors.select(id_col, *[nan_to_null(c).alias(c) for c in cols])
     kept = df.columns
-    work = clean.withColumns({f"__raw_{c}": F.col(c) for c in cols})
+    work = df.withColumns({f"__raw_{c}": nan_to_null(c) for c in cols})
     for target in targets or cols:
         features = [c for c in cols if c != target]
         raw = [f"__raw_{c}" for c in features]
