@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 # A key is hot when it holds at least this share of the rows, so there are never more than 1000 of them.
 HOT_SHARE = 0.001
 SPREAD = 1024
+# A table known to hold at most this many rows is sent whole.
+BROADCAST_ROWS = 100_000
+
+
+def row_bound(table: DataFrame) -> int:
+    """Rows of a stored table, counted up to just above the broadcast limit."""
+    return table.limit(BROADCAST_ROWS + 1).count()
 
 
 def lookup_join(
@@ -19,15 +26,22 @@ def lookup_join(
     weight: str,
     values: Sequence[str],
     spread_by: Sequence[str] | None = None,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Left join with a table that holds one row per key, safe for hot keys and for big tables.
 
+    With `known_rows` at or below BROADCAST_ROWS the table is broadcast as it is. Otherwise it is split:
     `weight` is the number of rows behind each key. Keys with a thousandth of all rows or more (at
     most 1000, by arithmetic) are matched by a broadcast join. The others go through an ordinary
     shuffle join, which AQE turns into a broadcast when the table turns out to be small. Rows that
     the first join has matched carry a random-looking second key there, so that a hot key does not
     land in one task.
     """
+    if known_rows is not None and known_rows <= BROADCAST_ROWS:
+        small = table.select(*[F.col(k).alias(f"__h_{k}") for k in on], *[F.col(v).alias(f"__h_{v}") for v in values])
+        same = [left[k].eqNullSafe(small[f"__h_{k}"]) for k in on]
+        joined = left.join(F.broadcast(small), same, "left")
+        return joined.select(*left.columns, *[F.col(f"__h_{v}").alias(v) for v in values])
     total = table.agg(F.sum(weight)).scalar()
     hot = F.col(weight) >= HOT_SHARE * total
     heads = table.where(hot).select(

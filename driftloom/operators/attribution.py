@@ -58,7 +58,7 @@ def shapley_sampled(
     `background` is a small reference table (its size is checked); sampling is what this estimator does.
     """
     limit = 10_000
-    others = background.select(F.struct(*[F.col(c).cast("double") for c in features]).alias("o")).limit(limit + 1)
+    others = background.select(F.struct(*[F.col(c).cast("double").alias(c) for c in features]).alias("o")).limit(limit + 1)
     rows = [r["o"] for r in others.collect()]
     if not rows or len(rows) > limit:
         raise ValueError(f"the background needs 1 to {limit} rows")

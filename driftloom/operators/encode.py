@@ -24,10 +24,16 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 
 
 def frequency_encode(
-    df: DataFrame, counts: DataFrame, key: str, out: str, unseen: int = 1, spread_by: Sequence[str] | None = None
+    df: DataFrame,
+    counts: DataFrame,
+    key: str,
+    out: str,
+    unseen: int = 1,
+    spread_by: Sequence[str] | None = None,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Add the number of fit rows that share the key; `unseen` for keys not known at fit."""
-    joined = lookup_join(df, counts, [key], "n", ["n"], spread_by)
+    joined = lookup_join(df, counts, [key], "n", ["n"], spread_by, known_rows)
     return joined.withColumn(out, F.coalesce("n", F.lit(unseen)).cast("long")).drop("n")
 
 
@@ -57,6 +63,7 @@ def apply_target_encoding(
     prior: Column | float,
     suffix: str = "_TE",
     spread_by: Sequence[str] | None = None,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Add <col>_TE; unseen categories, and columns the table does not know, get the prior."""
     prior = prior if isinstance(prior, Column) else F.lit(float(prior))
@@ -66,7 +73,7 @@ def apply_target_encoding(
             continue
         one = table.where(F.col("column") == c).select(F.col("category").alias("__category"), "n", "encoding")
         keyed = df.withColumn("__category", as_category(c))
-        joined = lookup_join(keyed, one, ["__category"], "n", ["encoding"], spread_by)
+        joined = lookup_join(keyed, one, ["__category"], "n", ["encoding"], spread_by, known_rows)
         df = joined.withColumn(f"{c}{suffix}", F.coalesce("encoding", prior)).drop("encoding", "__category")
     return df
 
@@ -92,12 +99,18 @@ def fold_encoding(df: DataFrame, cols: Sequence[str], label: Column | str, fold:
 
 
 def apply_fold_encoding(
-    df: DataFrame, table: DataFrame, cols: Sequence[str], fold: str, suffix: str = "_TE", spread_by=None
+    df: DataFrame,
+    table: DataFrame,
+    cols: Sequence[str],
+    fold: str,
+    suffix: str = "_TE",
+    spread_by: Sequence[str] | None = None,
+    known_rows: int | None = None,
 ) -> DataFrame:
     for c in cols:
         one = table.where(F.col("column") == c).select(F.col("category").alias("__category"), fold, "n", "encoding")
         keyed = df.withColumn("__category", as_category(c))
-        joined = lookup_join(keyed, one, ["__category", fold], "n", ["encoding"], spread_by)
+        joined = lookup_join(keyed, one, ["__category", fold], "n", ["encoding"], spread_by, known_rows)
         df = joined.withColumnRenamed("encoding", f"{c}{suffix}").drop("__category")
     return df
 

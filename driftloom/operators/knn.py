@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftloom.functions.columns import bucket_index, nan_to_null
-from driftloom.functions.joins import lookup_join
+from driftloom.functions.joins import lookup_join, row_bound
 from driftloom.session import durable
 
 DONORS_PER_BLOCK = 4096
@@ -241,7 +241,7 @@ def knn_fill(
         means = neighbour_means(points, pool, features, target, id_col, k, len(cols), donors_per_block)
         table = durable(means.select(*[F.col(c).alias(r) for r, c in zip(raw, features)], "n", "estimate"))
         fallback = pool.agg(F.avg(target)).scalar()
-        joined = lookup_join(work, table, raw, "n", ["estimate"], spread_by=[id_col])
+        joined = lookup_join(work, table, raw, "n", ["estimate"], [id_col], row_bound(table))
         work = joined.withColumn(
             target, F.coalesce(F.col(f"__raw_{target}"), F.col("estimate"), fallback)
         ).drop("estimate")

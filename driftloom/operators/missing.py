@@ -138,7 +138,9 @@ def group_medians(df: DataFrame, group: str, value: str, rows_per_bucket: int =
     return found.select(group, "n", F.col("quantiles")[0].alias("median"))
 
 
-def fill_group_median(df: DataFrame, medians: DataFrame, group: str, value: str) -> DataFrame:
+def fill_group_median(
+    df: DataFrame, medians: DataFrame, group: str, value: str, known_rows: int | None = None
+) -> DataFrame:
     """Fill a missing value with the median of its group. Groups unknown at fit stay missing."""
-    joined = lookup_join(df, medians, [group], "n", ["median"])
+    joined = lookup_join(df, medians, [group], "n", ["median"], known_rows=known_rows)
     return joined.withColumn(value, F.coalesce(nan_to_null(value), "median")).drop("median")

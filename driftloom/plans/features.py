@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.columns import nan_to_null
+from driftloom.functions.joins import row_bound
 from driftloom.operators import bins, encode, knn, missing, parse
 from driftloom.operators.folds import stratified_folds
 from driftloom.plans.persist import ComposedModel
@@ -62,6 +63,13 @@ class FeatureBuilderModel(ComposedModel):
     def columns(self) -> list[str]:
         return self.state["columns"]
 
+    def known(self, table: str) -> int:
+        """Rows of a fitted table, counted once; tables above the broadcast limit are joined by shuffle."""
+        sizes = self.state.setdefault("sizes", {})
+        if table not in sizes:
+            sizes[table] = row_bound(self.tables[table])
+        return sizes[table]
+
     def prepare(self, df: DataFrame, fill_fare: bool = True) -> DataFrame:
         """All features but the encodings and flags."""
         s = self.state
@@ -69,11 +77,13 @@ class FeatureBuilderModel(ComposedModel):
         rows = parsed(encode.drop_label(df, s["label"]) if s["label"] else df)
         rows = rows.withColumn("Embarked", F.coalesce("Embarked", F.lit(s["mode"])))
         if fill_fare:
-            rows = missing.fill_group_median(rows, self.tables["fares"], "Pclass", "Fare")
+            rows = missing.fill_group_median(rows, self.tables["fares"], "Pclass", "Fare", self.known("fares"))
         rows = rows.withColumn("Age_is_na", F.col("Age").isNull().cast("int"))
         rows = knn.knn_fill(rows, self.tables["donors"], NEIGHBOUR_INPUTS, id_col, s["k"], targets=["Age"])
         rows = derived(rows, s["quartiles"])
-        return encode.frequency_encode(rows, self.tables["tickets"], "Ticket", "TicketFrequency", spread_by=[id_col])
+        return encode.frequency_encode(
+            rows, self.tables["tickets"], "Ticket", "TicketFrequency", spread_by=[id_col], known_rows=self.known("tickets")
+        )
 
     def finish(self, encoded: DataFrame, keep: Sequence[str]) -> DataFrame:
         flags = encode.one_hot(encoded, self.state["categories"])
@@ -84,7 +94,7 @@ class FeatureBuilderModel(ComposedModel):
         rows = self.prepare(df)
         if "encodings" in self.tables:
             encoded = encode.apply_target_encoding(
-                rows, self.tables["encodings"], ENCODED_INPUTS, s["prior"], spread_by=[s["id_col"]]
+                rows, self.tables["encodings"], ENCODED_INPUTS, s["prior"], spread_by=[s["id_col"]], known_rows=self.known("encodings")
             )
         else:
             encoded = rows.withColumns({f"{c}_TE": F.lit(s["prior"]) for c in ENCODED_INPUTS})
@@ -166,7 +176,9 @@ class FeatureBuilder(Estimator):
             rows = model.prepare(df).join(labels.withColumnRenamed(label, "__label"), self.id_col)
         split = durable(stratified_folds(rows, "__label", self.id_col, folds, SEED, "__fold"))
         table = durable(encode.fold_encoding(split, ENCODED_INPUTS, "__label", "__fold", self.m))
-        encoded = encode.apply_fold_encoding(split, table, ENCODED_INPUTS, "__fold", spread_by=[self.id_col])
+        encoded = encode.apply_fold_encoding(
+            split, table, ENCODED_INPUTS, "__fold", spread_by=[self.id_col], known_rows=row_bound(table)
+        )
         encoded = encoded.withColumn(label, F.col("__label"))
         return model, model.finish(encoded, [self.id_col, label])
 
