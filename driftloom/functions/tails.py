@@ -93,11 +93,14 @@ def two_sample_ks_sf(n1: int, n2: int, d: float) -> float:
     return kolmogorov_sf(d, round(n1 * n2 / (n1 + n2)))
 
 
+# A Python function is evaluated for every row, also where a `when` around it picks another branch, so both
+# take missing input.
 @F.pandas_udf(T.DoubleType())
 def chi2_p(statistic: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(x, k) for x, k in zip(statistic, df)], dtype=float)
+    return pd.Series([1.0 if pd.isna(x) or pd.isna(k) else chi2_sf(x, k) for x, k in zip(statistic, df)], dtype=float)
 
 
 @F.pandas_udf(T.DoubleType())
 def ks_p(n1: pd.Series, n2: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([two_sample_ks_sf(int(a), int(b), x) for a, b, x in zip(n1, n2, d)], dtype=float)
+    rows = zip(n1.fillna(0), n2.fillna(0), d)
+    return pd.Series([1.0 if pd.isna(x) else two_sample_ks_sf(int(a), int(b), x) for a, b, x in rows], dtype=float)

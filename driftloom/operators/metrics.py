@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +17,8 @@ NARROW_GRID = (0.30, 0.70 + 0.01, 0.01)
 
 
 def grid(start: float, stop: float, step: float) -> list[float]:
-    """The doubles start + i * step below stop."""
-    points, i = [], 0
-    while start + i * step < stop - step * 1e-9:
-        points.append(start + i * step)
-        i += 1
-    return points
+    """The grid's own doubles: thresholds are compared with these, never with rounded ones."""
+    return [float(t) for t in np.arange(start, stop, step)]
 
 
 def ranking_metrics(
