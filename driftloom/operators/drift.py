@@ -111,17 +111,25 @@ def psi_of(cells: Column, bins: Column, n_ref: Column, n_cur: Column, limits: Dr
 def numeric_statistics(pair: Pair, limits: DriftLimits = LIMITS) -> DataFrame:
     """(column, n_ref, n_cur, ks_statistic, wasserstein_distance, psi) of all numeric columns in one pass."""
     edges = psi_edges(pair, limits)
-    inner = {c: F.array(*[F.lit(e) for e in points[1:-1]]).cast("array<double>") for c, points in edges.items()}
-    bins = lookup("column", {c: max(len(points) - 1, 0) for c, points in edges.items()} or {"": 0}, 0)
-    pairs = [x for c, a in inner.items() for x in (F.lit(c), a)] or [F.lit(""), F.array().cast("array<double>")]
-    own = F.coalesce(F.element_at(F.create_map(*pairs), F.col("column")), F.array().cast("array<double>"))
-    prefix = ecdf.prefix_sums(pair.values, ["column"], ["n_ref", "n_cur"])
+    # one row per column: its inner edges side by side, and how many bins they make
+    width = limits.psi_bins - 1
+    names = [f"__e{i}" for i in range(width)]
+    lines = []
+    for c in pair.numeric:
+        points = edges.get(c, [])
+        inner = points[1:-1]
+        lines.append((c, max(len(points) - 1, 0), *inner, *[None] * (width - len(inner))))
+    schema = "column string, __bins int" + "".join(f", {e} double" for e in names)
+    table = pair.rows.sparkSession.createDataFrame(lines, schema)
+    prefix = ecdf.prefix_sums(pair.values, ["column"], ["n_ref", "n_cur"]).join(F.broadcast(table), "column")
+    reached = [F.coalesce((F.col("value") >= F.col(e)).cast("int"), F.lit(0)) for e in names]
     f = (F.col("below_n_ref") + F.col("n_ref")) / F.nullif(F.col("total_n_ref"), F.lit(0))
     g = (F.col("below_n_cur") + F.col("n_cur")) / F.nullif(F.col("total_n_cur"), F.lit(0))
     per_bin = (
-        prefix.withColumns({"__gap": F.abs(f - g), "bin": F.size(F.filter(own, lambda e: e <= F.col("value")))})
+        prefix.withColumns({"__gap": F.abs(f - g), "bin": sum(reached, F.lit(0))})
         .groupBy("column", "bin")
         .agg(
+            F.max("__bins").alias("__bins"),
             F.max("__gap").alias("__ks"),
             F.sum(F.col("__gap") * (F.col("next_value") - F.col("value"))).alias("__w"),
             F.sum("n_ref").alias("c_ref"),
@@ -132,14 +140,15 @@ def numeric_statistics(pair: Pair, limits: DriftLimits = LIMITS) -> DataFrame:
     return (
         per_bin.groupBy("column")
         .agg(
+            F.max("__bins").alias("__bins"),
             F.sum("c_ref").alias("n_ref"),
             F.sum("c_cur").alias("n_cur"),
             F.max("__ks").alias("ks_statistic"),
             F.coalesce(F.sum("__w"), F.lit(0.0)).alias("wasserstein_distance"),
             F.collect_list(F.struct("c_ref", "c_cur")).alias("__cells"),
         )
-        .withColumn("psi", psi_of(F.col("__cells"), bins, F.col("n_ref"), F.col("n_cur"), limits))
-        .drop("__cells")
+        .withColumn("psi", psi_of(F.col("__cells"), F.col("__bins"), F.col("n_ref"), F.col("n_cur"), limits))
+        .drop("__cells", "__bins")
     )
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from driftloom.functions.columns import nan_to_null
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 16_384
 
 
@@ -112,13 +112,8 @@ def prefix_sums(
     by: Sequence[str],
     sums: Sequence[str],
     order: str = "value",
-    needed: Column | None = None,
 ) -> DataFrame:
-    """Add below_<s> (sum over strictly smaller values in the group), total_<s> and next_value.
-
-    `needed` is a condition on the bucket's off_<s>, in_<s>, total_<s>; buckets that fail it are
-    dropped before the window, so a percentile sorts only the buckets its ranks fall in.
-    """
+    """Add below_<s> (sum over strictly smaller values in the group), total_<s> and next_value."""
     by = list(by)
     if "bucket" not in counts.columns:
         whole = Window.partitionBy(*by)
@@ -132,21 +127,7 @@ def prefix_sums(
             *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums],
             F.lead(order).over(ordered).alias("next_value"),
         )
-    totals = counts.groupBy(*by, "bucket").agg(
-        *[F.sum(s).alias(f"in_{s}") for s in sums], F.min(order).alias("__first")
-    )
-    along = Window.partitionBy(*by).orderBy("bucket")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *by,
-        "bucket",
-        F.lead("__first").over(along).alias("__next_first"),
-        *[F.col(f"in_{s}") for s in sums],
-        *[F.coalesce(F.sum(f"in_{s}").over(before), F.lit(0)).alias(f"off_{s}") for s in sums],
-        *[F.sum(f"in_{s}").over(Window.partitionBy(*by)).alias(f"total_{s}") for s in sums],
-    )
-    if needed is not None:
-        offsets = offsets.where(needed)
+    offsets = _bucket_offsets(counts, by, sums, order)
     inside = Window.partitionBy(*by, "bucket").orderBy(order)
     inside_before = inside.rowsBetween(Window.unboundedPreceding, -1)
     return counts.join(offsets, [*by, "bucket"]).select(
@@ -159,29 +140,53 @@ def prefix_sums(
     )
 
 
-def _ranks(probs: Column, total: Column) -> Column:
-    """The order statistics (0-based) around each probability."""
-    around = F.transform(probs, lambda p: F.array(F.floor((total - 1) * p), F.ceil((total - 1) * p)))
-    return F.array_distinct(F.flatten(around))
+def _bucket_offsets(counts: DataFrame, by: Sequence[str], sums: Sequence[str], order: str) -> DataFrame:
+    """(by..., bucket, in_<s>, off_<s>, total_<s>, __next_first): one row per non-empty bucket."""
+    totals = counts.groupBy(*by, "bucket").agg(
+        *[F.sum(s).alias(f"in_{s}") for s in sums], F.min(order).alias("__first")
+    )
+    along = Window.partitionBy(*by).orderBy("bucket")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        *by,
+        "bucket",
+        F.lead("__first").over(along).alias("__next_first"),
+        *[F.col(f"in_{s}") for s in sums],
+        *[F.coalesce(F.sum(f"in_{s}").over(before), F.lit(0)).alias(f"off_{s}") for s in sums],
+        *[F.sum(f"in_{s}").over(Window.partitionBy(*by)).alias(f"total_{s}") for s in sums],
+    )
 
 
 def percentiles_of_counts(counts: DataFrame, by: Sequence[str], probs: Column, n: str = "n") -> DataFrame:
     """(by..., n, quantiles ARRAY) from value counts. `probs` is an array, which may differ per group.
 
-    Only buckets that hold a wanted rank are sorted. What is collected per group is two values per probability.
+    The wanted ranks are a small table, two rows per probability and group. Ranks first pick the
+    buckets they fall in, so that only those are sorted, and then the values.
     """
     by = list(by)
-    wanted = _ranks(probs, F.col(f"total_{n}"))
-    holds = F.exists(wanted, lambda r: (F.col(f"off_{n}") <= r) & (r < F.col(f"off_{n}") + F.col(f"in_{n}")))
-    bucket = ["bucket"] if "bucket" in counts.columns else []
-    table = prefix_sums(counts.select(*by, *bucket, "value", n), by, [n], needed=holds)
-    below, here = F.col(f"below_{n}"), F.col(n)
-    hits = table.select(
-        *by,
-        F.col(f"total_{n}").alias("__total"),
-        "value",
-        F.explode(F.filter(wanted, lambda r: (below <= r) & (r < below + here))).alias("__rank"),
+    total, rank, here = F.col("__total"), F.col("__rank"), F.col(n)
+    around = F.transform(probs, lambda p: F.array(F.floor((total - 1) * p), F.ceil((total - 1) * p)))
+    ranks = (
+        counts.groupBy(*by)
+        .agg(F.sum(n).alias("__total"))
+        .select(*by, "__total", F.explode(F.array_distinct(F.flatten(around))).alias("__rank"))
     )
+    keys = by
+    values = counts.select(*by, *[c for c in ("bucket",) if c in counts.columns], "value", n)
+    if "bucket" in counts.columns:
+        keys = [*by, "bucket"]
+        placed = _bucket_offsets(values, by, [n], "value").select(*keys, f"off_{n}", f"in_{n}").join(ranks, by)
+        start = F.col(f"off_{n}")
+        ranks = placed.where((start <= rank) & (rank < start + F.col(f"in_{n}"))).select(
+            *keys, "__total", (rank - start).alias("__local"), "__rank"
+        )
+        values = values.join(ranks.select(*keys).distinct(), keys, "left_semi")
+    else:
+        ranks = ranks.withColumn("__local", rank)
+    smaller = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    running = values.withColumn("__below", F.coalesce(F.sum(n).over(smaller), F.lit(0)))
+    local = F.col("__local")
+    hits = running.join(ranks, keys).where((F.col("__below") <= local) & (local < F.col("__below") + here))
     found = hits.groupBy(*by).agg(
         F.max("__total").alias("n"), F.map_from_entries(F.collect_list(F.struct("__rank", "value"))).alias("__at")
     )
