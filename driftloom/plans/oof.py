@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Transformer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftloom.operators.scoring import positive_probability
@@ -20,8 +20,9 @@ def fit_parallel(tasks: Sequence[Callable[[], object]], parallel: int = PARALLEL
     """Run independent fits at the same time on one session; results come in task order."""
     if parallel <= 1 or len(tasks) <= 1:
         return [t() for t in tasks]
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPool(min(parallel, len(tasks))) as pool:
-        return pool.map(lambda task: task(), [inheritable_thread_target(t) for t in tasks], chunksize=1)
+        return pool.map(lambda task: task(), [inherit(t) for t in tasks], chunksize=1)
 
 
 def union(frames: Sequence[DataFrame]) -> DataFrame:

@@ -231,7 +231,7 @@ def parse_urls(spark, sf):
 @query(
     f"""WITH {MARKET_SQL} SELECT o_orderkey, family + family % 3 + 1 AS family_size,
     CAST(family + family % 3 + 1 = 2 AS INTEGER) AS is_alone, CAST(label = 1 AS INTEGER) AS has_label,
-    round(o_totalprice / (family + family % 3 + 1), 3) AS price_per_person,
+    round(o_totalprice / (family + family % 3 + 1), 6) AS price_per_person,
     CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(family AS INTEGER) ELSE 0 END AS family_builders
     FROM market"""
 )
@@ -242,7 +242,7 @@ def row_features(spark, sf):
         "family_size",
         parse.flag(F.col("family_size") == 2).alias("is_alone"),
         parse.flag(F.col("label") == 1).alias("has_label"),
-        F.round(F.col("o_totalprice") / F.col("family_size"), 3).alias("price_per_person"),
+        F.round(F.col("o_totalprice") / F.col("family_size"), 6).alias("price_per_person"),
         parse.interaction("family", F.col("c_mktsegment") == "BUILDING").alias("family_builders"),
     )
 
