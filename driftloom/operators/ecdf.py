@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,12 +30,18 @@ ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 16_384
 
 
+# The profile is merged in this many groups of partitions, each of which sends this many points per column.
+PROFILE_GROUPS = 64
+PROFILE_POINTS = 1_024
+
+
 @dataclass(frozen=True)
 class Profile:
-    """One pass over the data: per column the split points, and any extra sums asked for."""
+    """One pass over the data: rows, per column the split points, and any extra counts asked for."""
 
+    rows: int
     splits: dict[str, list[float]]
-    extras: dict[str, object]
+    extras: dict[str, int]
 
 
 def profile(
@@ -43,26 +50,40 @@ def profile(
     extras: Mapping[str, Column] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> Profile:
-    """Find split points for all columns (and extra aggregates) in one aggregate without a shuffle of rows.
+    """Find split points for all columns, and extra counts, in one aggregate.
 
-    The splits only balance the work; results do not depend on them. The number of buckets grows with
-    the rows up to twice the shuffle partitions, and what comes to the driver is that many doubles per column.
+    The splits only balance the work; results do not depend on them. Sketches are merged per group of
+    partitions, so that no single task takes the sketches of the whole cluster; the driver merges at most
+    64 x 1024 points per column. The number of buckets grows with the rows, up to twice the shuffle partitions.
     """
     extras = dict(extras or {})
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    most = min(MAX_BUCKETS, max(64, 2 * partitions))
-    probs = [i / most for i in range(1, most)]
+    probs = [(i + 0.5) / PROFILE_POINTS for i in range(PROFILE_POINTS)]
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        aggs.append(F.percentile_approx(nan_to_null(c), probs, 4 * most).alias(f"__q{i}"))
-    row = df.agg(*aggs, *[e.alias(f"__x_{k}") for k, e in extras.items()]).first()
-    buckets = min(most, max(1, -(-row["__rows"] // rows_per_bucket)))
+        x = nan_to_null(c)
+        aggs += [F.count(x).alias(f"__n{i}"), F.percentile_approx(x, probs, 4 * PROFILE_POINTS).alias(f"__q{i}")]
+    group = (F.spark_partition_id() % PROFILE_GROUPS).alias("__group")
+    parts = df.groupBy(group).agg(*aggs, *[e.alias(f"__x_{k}") for k, e in extras.items()]).collect()
+    rows = sum(p["__rows"] for p in parts)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    buckets = min(MAX_BUCKETS, max(64, 2 * partitions), max(1, -(-rows // rows_per_bucket)))
     splits = {}
     for i, c in enumerate(cols):
-        quantiles = row[f"__q{i}"] or []
-        chosen = [quantiles[j * most // buckets - 1] for j in range(1, buckets)] if quantiles else []
-        splits[c] = sorted(set(chosen))
-    return Profile(splits, {k: row[f"__x_{k}"] for k in extras})
+        points = [np.array(p[f"__q{i}"]) for p in parts if p[f"__q{i}"]]
+        weights = [np.full(PROFILE_POINTS, p[f"__n{i}"] / PROFILE_POINTS) for p in parts if p[f"__q{i}"]]
+        splits[c] = _weighted_splits(points, weights, buckets)
+    return Profile(rows, splits, {k: sum(p[f"__x_{k}"] for p in parts) for k in extras})
+
+
+def _weighted_splits(points: list[np.ndarray], weights: list[np.ndarray], buckets: int) -> list[float]:
+    """Distinct values that cut the weighted points into about equal parts."""
+    if buckets < 2 or not points:
+        return []
+    values, weight = np.concatenate(points), np.concatenate(weights)
+    order = np.argsort(values, kind="stable")
+    reached = np.cumsum(weight[order])
+    at = np.searchsorted(reached, reached[-1] * np.arange(1, buckets) / buckets)
+    return [float(v) for v in np.unique(values[order][np.minimum(at, len(order) - 1)])]
 
 
 def long_values(

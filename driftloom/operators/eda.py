@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.columns import bucket_index, col, lookup, nan_to_null
-from driftloom.functions.joins import lookup_join
+from driftloom.functions.joins import lookup_join, row_bound
 from driftloom.operators.ecdf import ROWS_PER_BUCKET, percentiles
+from driftloom.session import durable
 
 
 def kpis(df: DataFrame, label: str, mean_col: str, money_col: str) -> DataFrame:
@@ -85,14 +86,15 @@ def box_stats(
     df: DataFrame, value: str, group: str, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """Per group: quartiles and the outermost values within 1.5 IQR of them."""
-    fitted = percentiles(df, [value], [0.25, 0.5, 0.75], by=[group], rows_per_bucket=rows_per_bucket).select(
-        group, "n", *[F.col("quantiles")[i].alias(q) for i, q in enumerate(("q1", "median", "q3"))]
+    quartiles = percentiles(df, [value], [0.25, 0.5, 0.75], by=[group], rows_per_bucket=rows_per_bucket)
+    fitted = durable(
+        quartiles.select(group, "n", *[F.col("quantiles")[i].alias(q) for i, q in enumerate(("q1", "median", "q3"))])
     )
     x, q1, q3 = nan_to_null(value), F.col("q1"), F.col("q3")
     reach = (q3 - q1) * 1.5
     rows = df.where(F.col(group).isNotNull()).select(group, x.alias(value))
     return (
-        lookup_join(rows, fitted, [group], "n", ["q1", "median", "q3"])
+        lookup_join(rows, fitted, [group], "n", ["q1", "median", "q3"], known_rows=row_bound(fitted))
         .groupBy(group)
         .agg(
             F.first("q1").alias("q1"),

@@ -45,6 +45,12 @@ def category_sums(df: DataFrame, cols: Sequence[str], label: Column | str, by: S
     return long.groupBy("column", "category", *by).agg(F.count("__y").alias("n"), F.sum("__y").alias("s"))
 
 
+def _of_first(sums: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The sums of one column, which cover every row once. Zeroed and not filtered, so the same shuffle serves again."""
+    mine = F.col("column") == cols[0]
+    return sums.withColumns({"n": F.when(mine, F.col("n")).otherwise(0), "s": F.when(mine, F.col("s")).otherwise(0.0)})
+
+
 def m_estimate(s: Column, n: Column, prior: Column, m: float) -> Column:
     return (s + prior * m) / (n + m)
 
@@ -52,7 +58,7 @@ def m_estimate(s: Column, n: Column, prior: Column, m: float) -> Column:
 def target_encoding(df: DataFrame, cols: Sequence[str], label: Column | str, m: float = 10.0) -> DataFrame:
     """(column, category, n, encoding, prior): the m-estimate of every category."""
     sums = category_sums(df, cols, label)
-    prior = df.agg(F.avg(col(label).cast("double"))).scalar()
+    prior = _of_first(sums, cols).agg(F.sum("s") / F.sum("n")).scalar()
     return sums.select("column", "category", "n", m_estimate(F.col("s"), F.col("n"), prior, m).alias("encoding"))
 
 
@@ -86,9 +92,9 @@ def fold_encoding(df: DataFrame, cols: Sequence[str], label: Column | str, fold:
     """
     sums = category_sums(df, cols, label, [fold])
     totals = sums.groupBy("column", "category").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"))
-    y = col(label).cast("double")
-    folds = df.groupBy(fold).agg(F.count(y).alias("__nf"), F.sum(y).alias("__sf"))
-    whole = df.agg(F.struct(F.count(y).alias("n"), F.sum(y).alias("s"))).scalar()
+    once = _of_first(sums, cols)
+    folds = once.groupBy(fold).agg(F.sum("n").alias("__nf"), F.sum("s").alias("__sf"))
+    whole = once.agg(F.struct(F.sum("n").alias("n"), F.sum("s").alias("s"))).scalar()
     priors = folds.select(
         fold, ((whole["s"] - F.col("__sf")) / (whole["n"] - F.col("__nf"))).alias("prior")
     )

@@ -46,7 +46,7 @@ def missing_patterns(df: DataFrame, cols: Sequence[str], window_limit: int = 16)
     def names(missing: int) -> Column:
         return F.array_compact(F.array(*[F.when(F.col(b) == missing, F.lit(c)) for b, c in zip(bits, cols)]))
 
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = masks.agg(F.sum("count")).scalar()
     if len(cols) <= window_limit:
         numbered = masks.withColumn("pattern_id", F.row_number().over(Window.orderBy(*bits)).cast("long"))
     elif len(cols) <= 52:
@@ -88,17 +88,34 @@ def fill_values(
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
-    """Most frequent value per column, the smallest on ties.
+    """Most frequent value per column, the smallest on ties, for all columns in one job.
 
-    Counts are combined per value before the best one is picked by a max over (count, value), so no
-    task holds the distinct values of a column.
+    Values are counted first; then the smallest value per (column, count) and the largest count per column
+    are plain aggregates, so no task holds the distinct values of a column.
     """
+    kinds = {c: df.schema[c].dataType for c in cols}
+    numeric = {c: isinstance(k, NUMERIC) for c, k in kinds.items()}
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"),
+            (nan_to_null(c) if numeric[c] else F.lit(None).cast("double")).alias("number"),
+            (F.lit(None) if numeric[c] else F.col(c)).cast("string").alias("text"),
+        )
+        for c in cols
+    ]
+    counted = (
+        df.select(F.inline(F.array(*cells)))
+        .where(F.col("number").isNotNull() | F.col("text").isNotNull())
+        .groupBy("column", "number", "text")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    least = counted.groupBy("column", "n").agg(F.min(F.struct("number", "text")).alias("v"))
+    top = {r["column"]: r["v"] for r in least.groupBy("column").agg(F.max_by("v", "n").alias("v")).collect()}
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     best = {}
     for c in cols:
-        x = nan_to_null(c) if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else F.col(c)
-        counted = df.select(x.alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        top = counted.groupBy("n").agg(F.min("v").alias("v")).orderBy(F.desc("n")).limit(1).first()
-        best[c] = top["v"] if top else None
+        value = None if c not in top else top[c]["number"] if numeric[c] else top[c]["text"]
+        best[c] = int(value) if value is not None and isinstance(kinds[c], whole) else value
     return best
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftloom.functions.columns import cut, normalise_missing
+from driftloom.functions.joins import row_bound
 from driftloom.operators import bins, contract, eda, encode, missing, parse
-from driftloom.session import durable_dir
+from driftloom.session import durable, durable_dir
 from driftloom.sources import tables
 from driftloom.specs import FieldRule
 from workload.fixtures import GAPS_SQL, MARKET_SQL, gaps, market
@@ -168,8 +171,9 @@ def missing_flags(spark, sf):
 )
 def impute_group_median(spark, sf):
     df = gaps(spark, sf)
-    medians = missing.group_medians(df, "x3", "x1")
-    return r6(missing.fill_group_median(df, medians, "x3", "x1").select("o_orderkey", "x1"))
+    medians = durable(missing.group_medians(df, "x3", "x1"))
+    filled = missing.fill_group_median(df, medians, "x3", "x1", row_bound(medians))
+    return r6(filled.select("o_orderkey", "x1"))
 
 
 NAMES_SQL = """
@@ -512,8 +516,6 @@ def nested_payload(spark, sf):
 
 
 def _scratch(spark, name):
-    import uuid
-
     return f"{durable_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
