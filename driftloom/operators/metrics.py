@@ -111,7 +111,10 @@ def threshold_sweep(
     slots = F.when(F.col("__passed") > 0, F.sequence(F.lit(0), F.col("__passed") - 1))
     reached = per.select(*by, F.explode(slots).alias("idx"), F.col("pos").alias("tp"), F.col("neg").alias("fp"))
     # every group gets every threshold, also those above its highest score
-    totals = per.groupBy(*by).agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
+    zero = F.lit(0)
+    totals = per.groupBy(*by).agg(
+        F.coalesce(F.sum("pos"), zero).alias("__p"), F.coalesce(F.sum("neg"), zero).alias("__n")
+    )
     full = totals.select(*by, "__p", "__n", F.posexplode(points).alias("idx", "threshold"))
     summed = reached.groupBy(*by, "idx").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
     cells = full.join(summed, [*by, "idx"], "left").select(
