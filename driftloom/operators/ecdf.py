@@ -32,7 +32,7 @@ MAX_BUCKETS = 16_384
 
 # The profile is merged in this many groups of partitions, each of which sends this many points per column.
 PROFILE_GROUPS = 64
-PROFILE_POINTS = 1_024
+PROFILE_POINTS = 256
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ def profile(
 
     The splits only balance the work; results do not depend on them. Sketches are merged per group of
     partitions, so that no single task takes the sketches of the whole cluster; the driver merges at most
-    64 x 1024 points per column. The number of buckets grows with the rows, up to twice the shuffle partitions.
+    64 x 256 points per column. The number of buckets grows with the rows, up to twice the shuffle partitions.
     """
     extras = dict(extras or {})
     probs = [(i + 0.5) / PROFILE_POINTS for i in range(PROFILE_POINTS)]
@@ -76,14 +76,17 @@ def profile(
 
 
 def _weighted_splits(points: list[np.ndarray], weights: list[np.ndarray], buckets: int) -> list[float]:
-    """Distinct values that cut the weighted points into about equal parts."""
+    """Distinct numbers that cut the weighted points into about equal parts, interpolated between points."""
     if buckets < 2 or not points:
         return []
     values, weight = np.concatenate(points), np.concatenate(weights)
-    order = np.argsort(values, kind="stable")
-    reached = np.cumsum(weight[order])
-    at = np.searchsorted(reached, reached[-1] * np.arange(1, buckets) / buckets)
-    return [float(v) for v in np.unique(values[order][np.minimum(at, len(order) - 1)])]
+    finite = np.isfinite(values)
+    order = np.argsort(values[finite], kind="stable")
+    if not len(order):
+        return []
+    reached = np.cumsum(weight[finite][order])
+    cuts = np.interp(reached[-1] * np.arange(1, buckets) / buckets, reached, values[finite][order])
+    return [float(v) for v in np.unique(cuts)]
 
 
 def long_values(
