@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftloom.llm import languages, minmax
+from driftloom.llm import chat, languages, licenses, minmax
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,93 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     answer = languages.identify(F.col("text"), net)
     rows = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), answer.alias("a"))
     return rows.select("doc_id", "held_out", F.col("a.lang").alias("lang_pred"), F.col("a.score").alias("score"))
+
+
+def _license_sql() -> str:
+    """Blocks are lines; places are looked for in the words of the whole text."""
+    listed = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+    places = []
+    for phrase, label in licenses.PHRASES.items():
+        parts = phrase.split()
+        same = " AND ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(parts))
+        places.append(
+            f"list_transform(list_filter(range(0, len(w) - {len(parts) - 1}), lambda i: {same}), lambda i: {{'at': i, 'label': '{label}'}})"
+        )
+    notices = ", ".join(
+        f"('{label}', {listed(sorted(set(t.split())))}, {licenses.need(len(set(t.split())), licenses.THRESHOLD)})"
+        for label, t in licenses.TEMPLATES
+    )
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, doc_id, {LOWERED} AS t FROM documents
+), words AS (
+  SELECT id, doc_id, regexp_extract_all(t, '{licenses.WORD}') AS w FROM docs
+), placed AS (
+  SELECT id, doc_id, len(w)::BIGINT AS n_words, list_concat({places[0]}, list_concat({places[1]}, {places[2]})) AS p FROM words
+), lines AS (
+  SELECT id, regexp_extract_all(line, '{licenses.WORD}') AS w
+  FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM docs)
+), notices(label, words, must) AS (VALUES {notices}),
+met AS (
+  SELECT id, label, len(list_intersect(words, w)) / len(words) AS share
+  FROM lines, notices WHERE len(list_intersect(words, w)) >= must
+), found AS (
+  SELECT id, list(label) AS labels, max(share) AS share FROM met GROUP BY id
+)
+SELECT doc_id, n_words, len(p)::BIGINT AS n_base,
+  list_min(list_transform(p, lambda x: x.at))::BIGINT AS first_word,
+  list_max(list_transform(p, lambda x: x.at))::BIGINT AS last_word,
+  array_to_string(list_sort(list_distinct(list_transform(p, lambda x: x.label))), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(list_transform(p, lambda x: x.label), coalesce(labels, [])))), ',') AS labels,
+  CASE WHEN len(p) > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM placed LEFT JOIN found USING (id)
+"""
+
+
+@query(_license_sql())
+def op1_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+_CONTROL_OUT = rf"regexp_replace(text, '{chat.CONTROL}', '\1\\\2\3', 'g')"
+CHAT_SQL = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), said AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS flat,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(17 + length(role) + length({_CONTROL_OUT}))::BIGINT AS formatted_chars
+  FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(flat) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM said
+"""
+
+
+@query(CHAT_SQL)
+def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    # a streamed log: every message is opened empty and filled line by line; rows of one turn follow one another
+    row = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.unionByName(own).groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    rows = rows.select("conv_id", "turn", F.posexplode("rows").alias("nth", "row"))
+    parts = F.concat(F.array(F.lit("")), F.split("row.text", r"(?<=\n)"))
+    events = rows.select("conv_id", "turn", "nth", F.col("row.role").alias("role"), F.posexplode(parts).alias("at", "text"))
+    kind = F.when(F.col("at") == 0, "message").otherwise("delta")
+    seq = F.col("nth").cast("long") * 2**31 + F.col("at")
+    read = chat.parse(chat.render(chat.fold(events.select("conv_id", "turn", seq.alias("seq"), kind.alias("kind"), "role", "text"))))
+    flat = F.array_join(F.transform("turns", lambda m: F.concat(m["role"], F.lit("\n"), m["text"], F.lit("\n"))), "")
+    loss = F.array_join("losses", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(flat, 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
