@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftloom.llm import chat, languages, licenses, minmax
+from driftloom.llm import chat, languages, licenses, minmax, pieces, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,28 @@ def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def tokenizer_file(name: str) -> bytes:
+    """Bytes of a vocabulary file of the installed public tokenizers, read on the driver and sent with the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+@query()
+def op6_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    coded = docs.select("doc_id", pieces.encode(F.col("text"), tokenizer_file(PIECES), with_ids=False).alias("c"))
+    return coded.select("doc_id", "c.n_tokens", "c.ids_sha256", "c.parity", "c.round_trip")
+
+
+@query()
+def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, tokenizer_file(PIECES))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
