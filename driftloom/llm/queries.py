@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftloom.llm import chat, languages, licenses, minmax, pieces, token_counts
+from driftloom.llm import chat, languages, licenses, minmax, pages, pieces, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -179,3 +179,9 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, tokenizer_file(PIECES))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@query()
+def op4_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    read = table(spark, sf, "pages").select("page_id", "url", pages.main_text(F.col("html")).alias("m"))
+    return read.select("page_id", "url", F.col("m.text").alias("text"), F.char_length("m.text").cast("long").alias("n_chars"))
