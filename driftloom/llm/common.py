@@ -15,7 +15,7 @@ from driftloom.session import durable_dir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 # Bytes that a kernel works on at once; a longer text is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 # A table is broadcast only after its rows have been counted and are at most this many (of a few numbers each).
 BROADCAST_ROWS = 200_000
 # Fixed odd multipliers of the hashes below.

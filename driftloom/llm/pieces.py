@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from driftloom.llm.sp_model import BPE, BYTE, MARK, NORMAL, UNIGRAM, USER_DEFINED, Boundaries, SpModel, parse
 
 # Encoded parts that a task remembers; beyond that it forgets them all and goes on.
-MEMORY = 1_000_000
+MEMORY = 700_000
 
 
 def _merges(model: SpModel) -> list[tuple[str, str]]:

@@ -19,7 +19,7 @@ from driftloom.llm.common import Steps
 from driftloom.llm.sp_model import BYTE, MARK, Boundaries, parse
 
 # Counted parts that a task remembers; beyond that it forgets them all and goes on.
-MEMORY = 1_500_000
+MEMORY = 1_000_000
 
 
 @dataclass(frozen=True)
