@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftloom.llm import chat, languages, licenses, minmax, pages, pieces, token_counts
+from driftloom.llm import chat, epsilon_grid, languages, licenses, minmax, pages, pieces, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +185,25 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 def op4_main_text(spark: SparkSession, sf: str) -> DataFrame:
     read = table(spark, sf, "pages").select("page_id", "url", pages.main_text(F.col("html")).alias("m"))
     return read.select("page_id", "url", F.col("m.text").alias("text"), F.char_length("m.text").cast("long").alias("n_chars"))
+
+
+VECTOR_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), counted AS (SELECT u, count(*) AS n FROM links GROUP BY u),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.v FROM reach r JOIN links l ON r.other = l.u
+)
+SELECT r.vec_id, coalesce(any_value(c.n), 0)::BIGINT AS n_links, min(r.other) AS component_id, r.vec_id = min(r.other) AS kept
+FROM reach r LEFT JOIN counted c ON c.u = r.vec_id GROUP BY r.vec_id
+"""
+
+
+@query(VECTOR_SQL)
+def op5_epsilon_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return epsilon_grid.near_duplicates(table(spark, sf, "embeddings"))
