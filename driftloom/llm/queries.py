@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftloom.llm import chat, epsilon_grid, languages, licenses, minmax, pages, pieces, token_counts
+from driftloom.llm import chat, decontaminate, epsilon_grid, languages, licenses, minmax, pages, pieces, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -207,3 +207,44 @@ FROM reach r LEFT JOIN counted c ON c.u = r.vec_id GROUP BY r.vec_id
 @query(VECTOR_SQL)
 def op5_epsilon_grid(spark: SparkSession, sf: str) -> DataFrame:
     return epsilon_grid.near_duplicates(table(spark, sf, "embeddings"))
+
+
+_SHINGLES = (
+    "list_transform(range(1, len(w) - least(5, {length}) + 2), lambda i: array_to_string(w[i:i + least(5, {length}) - 1], ' '))"
+)
+LEAK_SQL = rf"""
+WITH items AS (
+  SELECT item_id, w, len(w) AS length, {_SHINGLES.format(length="len(w)")} AS g
+  FROM (SELECT item_id, regexp_extract_all({LOWERED}, '{licenses.WORD}') AS w FROM benchmark) WHERE len(w) > 0
+), item_grams AS (
+  SELECT item_id, length, unnest(g) AS gram, unnest(range(0, len(g))) AS pos FROM items
+), docs AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '{licenses.WORD}') AS w FROM documents
+), doc_grams AS (
+  SELECT doc_id, n, unnest(g) AS gram, unnest(range(0, len(g))) AS place
+  FROM (SELECT doc_id, len(w) AS n, {_SHINGLES.format(length="5")} AS g FROM docs)
+  UNION ALL SELECT doc_id, n, unnest(g), unnest(range(0, len(g)))
+  FROM (SELECT doc_id, len(w) AS n, length, {_SHINGLES.format(length="length")} AS g
+    FROM docs, (SELECT DISTINCT length FROM items WHERE length < 5))
+), spots AS (
+  SELECT DISTINCT doc_id, length, least(greatest(place - pos, 0), greatest(n - length, 0)) AS start
+  FROM doc_grams JOIN item_grams USING (gram)
+), windows AS (
+  SELECT doc_id, length, start, {_SHINGLES.format(length="length")} AS g
+  FROM (SELECT s.doc_id, length, start, w[start + 1:start + length] AS w FROM spots s JOIN docs USING (doc_id))
+), pairs AS (
+  SELECT doc_id, item_id, start, len(v.g) AS nw, len(i.g) AS ni,
+    list_sum(list_transform(list_distinct(v.g), lambda x: least(len(list_filter(v.g, lambda y: y = x)), len(list_filter(i.g, lambda y: y = x))))) AS shared
+  FROM windows v JOIN items i USING (length)
+), sure AS (
+  SELECT doc_id, item_id, start, (shared / (nw + ni - shared))::DOUBLE AS similarity FROM pairs WHERE shared >= 0.75 * (nw + ni - shared)
+)
+SELECT doc_id, item_id, max(similarity) AS similarity, arg_min(start, struct_pack(a := -similarity, b := start))::BIGINT AS first_word
+FROM sure GROUP BY doc_id, item_id
+"""
+
+
+@query(LEAK_SQL)
+def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "first_word")
