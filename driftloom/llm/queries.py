@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftloom.llm import chat, decontaminate, epsilon_grid, languages, licenses, minmax, pages, pieces, token_counts
+from driftloom.llm import chat, decontaminate, epsilon_grid, languages, licenses, minmax, pages, pieces, suffixes, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -248,3 +248,10 @@ FROM sure GROUP BY doc_id, item_id
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "first_word")
+
+
+@query()
+def op8_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    spans = suffixes.repeated_spans(table(spark, sf, "documents").select("doc_id", "text"))
+    cut = spans.select("doc_id", suffixes.cut_out(F.col("text"), F.col("spans")).alias("c"))
+    return cut.select("doc_id", "c.n_bytes", "c.n_removed", "c.n_spans", "c.kept_sha256")
