@@ -44,6 +44,22 @@ class Steps:
             where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+# Rows and bytes of an Arrow batch, where the session has Spark's defaults: a batch of long texts must stay small.
+BATCH_ROWS, ARROW_BYTES = 1000, 8 << 20
+
+
+def kernel(function, kind: str):
+    """An Arrow function on columns. Sets the session's batch limits once, unless the user has set others."""
+    conf = SparkSession.active().conf
+    for name, default, value in (
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", BATCH_ROWS),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", str(2**31 - 1), ARROW_BYTES),
+    ):
+        if conf.get(name, default) in (default, f"{default}b"):
+            conf.set(name, str(value))
+    return F.arrow_udf(function, kind)
+
+
 def lowered(text: Column) -> Column:
     """A-Z in lower case, other characters as they are; null is empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import pieces, utf8
+from driftloom.llm.common import kernel, pieces, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -203,4 +203,4 @@ def identify(text: Column, net: Network | None) -> Column:
         names, values = made[0].texts(column)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.float64())], ["lang", "score"])
 
-    return F.arrow_udf(predict, "lang string, score double")(text)
+    return kernel(predict, "lang string, score double")(text)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import Steps, maybe_broadcast, mixed, pieces, prefix_hashes, span_hash, utf8
+from driftloom.llm.common import Steps, kernel, maybe_broadcast, mixed, pieces, prefix_hashes, span_hash, utf8
 from driftloom.llm.components import components
 
 _SPACE = np.zeros(256, bool)
@@ -127,7 +127,7 @@ def signature(text: Column, how: Banding) -> Column:
         parts = [pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, kind)]
         return pa.StructArray.from_arrays(parts, ["n", "key", "bands"])
 
-    return F.arrow_udf(sign, "n long, key binary, bands array<long>")(text)
+    return kernel(sign, "n long, key binary, bands array<long>")(text)
 
 
 def keyed_set(text: Column, how: Banding) -> Column:
@@ -143,7 +143,7 @@ def keyed_set(text: Column, how: Banding) -> Column:
         parts = [pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))]
         return pa.StructArray.from_arrays(parts, ["key", "set"])
 
-    return F.arrow_udf(collect, "key binary, set array<long>")(text)
+    return kernel(collect, "key binary, set array<long>")(text)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, how: Banding) -> DataFrame:

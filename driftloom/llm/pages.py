@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from driftloom.llm.common import kernel
+
 # Elements whose start or end ends a block.
 BREAKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -229,4 +231,4 @@ def main_text(html: Column, tree: Tree | None = None) -> Column:
         parts = [pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(mains, pa.int64())]
         return pa.StructArray.from_arrays(parts, ["text", "n_blocks", "n_main"])
 
-    return F.arrow_udf(run, "text string, n_blocks long, n_main long")(html)
+    return kernel(run, "text string, n_blocks long, n_main long")(html)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from driftloom.llm.common import kernel
 from driftloom.llm.sp_model import BPE, BYTE, MARK, NORMAL, UNIGRAM, USER_DEFINED, Boundaries, SpModel, parse
 
 # Encoded parts that a task remembers; beyond that it forgets them all and goes on.
@@ -149,7 +150,7 @@ def encode(text: Column, data: bytes, verify: bool = True, with_ids: bool = True
         names = ["ids", "n_tokens", "ids_sha256", "parity", "round_trip"]
         return pa.StructArray.from_arrays([pa.array(p, k) for p, k in zip(parts, kinds, strict=True)], names)
 
-    return F.arrow_udf(run, "ids array<int>, n_tokens long, ids_sha256 string, parity boolean, round_trip boolean")(text)
+    return kernel(run, "ids array<int>, n_tokens long, ids_sha256 string, parity boolean, round_trip boolean")(text)
 
 
 def decode(ids: Column, data: bytes) -> Column:
@@ -161,4 +162,4 @@ def decode(ids: Column, data: bytes) -> Column:
             made.append(Codec(data, False))
         return pa.array([made[0].decode(np.array(i or [], np.int32)) for i in column.to_pylist()], pa.string())
 
-    return F.arrow_udf(run, "string")(ids)
+    return kernel(run, "string")(ids)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import Steps, maybe_broadcast, pieces, prefix_hashes, span_hash, utf8
+from driftloom.llm.common import Steps, kernel, maybe_broadcast, pieces, prefix_hashes, span_hash, utf8
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,7 @@ def anchors(text: Column, how: Repeats) -> Column:
         fields = [pa.array(v.astype(k.to_pandas_dtype()), k) for v, k in zip(joined, kinds, strict=True)]
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays(fields, names))
 
-    return F.arrow_udf(run, "array<struct<core:long,context:long,centre:int,low:smallint,high:smallint>>")(text)
+    return kernel(run, "array<struct<core:long,context:long,centre:int,low:smallint,high:smallint>>")(text)
 
 
 class _Node:
@@ -243,7 +243,7 @@ def _crowded(contexts: DataFrame, how: Repeats) -> DataFrame:
             out.append(np.packbits(bits, bitorder="little").tobytes())
         return pa.array(out, pa.binary())
 
-    return hits.select("piece", F.arrow_udf(pack, "binary")("ds").alias("mask"))
+    return hits.select("piece", kernel(pack, "binary")("ds").alias("mask"))
 
 
 def _spans(found: Column, length: int) -> Column:
@@ -266,7 +266,7 @@ def _spans(found: Column, length: int) -> Column:
             out.append([{"start": int(a), "end": int(b)} for a, b in zip(begin, end, strict=True)])
         return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
 
-    return F.arrow_udf(run, "array<struct<start:long,end:long>>")(found)
+    return kernel(run, "array<struct<start:long,end:long>>")(found)
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Repeats | None = None) -> DataFrame:
@@ -342,4 +342,4 @@ def cut_out(text: Column, spans: Column) -> Column:
         names = ["kept", "kept_sha256", "n_bytes", "n_removed", "n_spans"]
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return F.arrow_udf(run, "kept string, kept_sha256 string, n_bytes long, n_removed long, n_spans long")(text, spans)
+    return kernel(run, "kept string, kept_sha256 string, n_bytes long, n_removed long, n_spans long")(text, spans)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import Steps
+from driftloom.llm.common import Steps, kernel
 from driftloom.llm.sp_model import BYTE, MARK, Boundaries, parse
 
 # Counted parts that a task remembers; beyond that it forgets them all and goes on.
@@ -117,7 +117,7 @@ def _whole(text: Column, data: bytes) -> Column:
             counts += made[0].whole(texts[at : at + 512])
         return pa.array(counts, pa.int64())
 
-    return F.arrow_udf(run, "long")(text)
+    return kernel(run, "long")(text)
 
 
 def _part(chunk: Column, number: Column, chunks: Column, data: bytes, size: int, overlap: int) -> Column:
@@ -131,7 +131,7 @@ def _part(chunk: Column, number: Column, chunks: Column, data: bytes, size: int,
         n, ok = zip(*found, strict=True) if found else ((), ())
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ok, pa.bool_())], ["n", "ok"])
 
-    return F.arrow_udf(run, "n long, ok boolean")(chunk, number, chunks)
+    return kernel(run, "n long, ok boolean")(chunk, number, chunks)
 
 
 def count_tokens(docs: DataFrame, data: bytes, text: str = "text", how: Chunking | None = None) -> DataFrame:
