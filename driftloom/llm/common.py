@@ -53,7 +53,7 @@ def kernel(function, kind: str):
     conf = SparkSession.active().conf
     for name, default, value in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", BATCH_ROWS),
-        ("spark.sql.execution.arrow.maxBytesPerBatch", str(2**31 - 1), ARROW_BYTES),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20), ARROW_BYTES),
     ):
         if conf.get(name, default) in (default, f"{default}b"):
             conf.set(name, str(value))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from driftloom.llm import chat, decontaminate, epsilon_grid, languages, licenses, minmax, pages, pieces, suffixes, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -255,3 +256,8 @@ def op8_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     spans = suffixes.repeated_spans(table(spark, sf, "documents").select("doc_id", "text"))
     cut = spans.select("doc_id", suffixes.cut_out(F.col("text"), F.col("spans")).alias("c"))
     return cut.select("doc_id", "c.n_bytes", "c.n_removed", "c.n_spans", "c.kept_sha256")
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
