@@ -129,6 +129,7 @@ class _Reader(HTMLParser):
         self.link = False
         self.open: list[tuple[str, int]] = []
         self.place = UNKNOWN_PLACE
+        self.own: int | None = None  # place that the block's own element says
         self.silent: list[str] = []
 
     def end_block(self) -> None:
@@ -136,8 +137,8 @@ class _Reader(HTMLParser):
             words = "".join(self.text).split()
             if words:
                 linked = len("".join(self.linked).split())
-                self.blocks.append((" ".join(words), len(words), min(linked, len(words)), self.place))
-        self.text, self.linked = [], []
+                self.blocks.append((" ".join(words), len(words), min(linked, len(words)), self.place if self.own is None else self.own))
+        self.text, self.linked, self.own = [], [], None
 
     def _place(self, tag: str, attrs) -> int:
         names, hidden = set(), False
@@ -162,6 +163,8 @@ class _Reader(HTMLParser):
             if tag in BOXES:
                 self.open.append((tag, self.place))
                 self.place = self._place(tag, attrs)
+            elif attrs:
+                self.own = self._place(tag, attrs)
         elif tag == "a":
             self.link = True
         elif tag == "br":
