@@ -30,25 +30,26 @@ def lookup_join(
 ) -> DataFrame:
     """Left join with a table that holds one row per key, safe for hot keys and for big tables.
 
-    With `known_rows` at or below BROADCAST_ROWS the table is broadcast as it is. Otherwise it is split:
-    `weight` is the number of rows behind each key. Keys with a thousandth of all rows or more (at
-    most 1000, by arithmetic) are matched by a broadcast join. The others go through an ordinary
-    shuffle join, which AQE turns into a broadcast when the table turns out to be small. Rows that
-    the first join has matched carry a random-looking second key there, so that a hot key does not
-    land in one task.
+    With `known_rows` at or below BROADCAST_ROWS the table is broadcast as it is. Otherwise the keys of the left side are
+    counted: those with a thousandth of all rows or more (at most 1000, by arithmetic; NULL and keys that the table
+    does not have are counted too) get their values from the table once and are matched by a broadcast join. The others go
+    through an ordinary shuffle join, which AQE turns into a broadcast when the table turns out to be small. Rows with a
+    hot key carry a random-looking second key there, so that none of them meet in one task. `weight` names the table's
+    column of rows behind each key, which is at least 0.
     """
     if known_rows is not None and known_rows <= BROADCAST_ROWS:
         small = table.select(*[F.col(k).alias(f"__h_{k}") for k in on], *[F.col(v).alias(f"__h_{v}") for v in values])
         same = [left[k].eqNullSafe(small[f"__h_{k}"]) for k in on]
         joined = left.join(F.broadcast(small), same, "left")
         return joined.select(*left.columns, *[F.col(f"__h_{v}").alias(v) for v in values])
-    total = table.agg(F.sum(weight)).scalar()
-    hot = F.col(weight) >= HOT_SHARE * total
-    heads = table.where(hot).select(
-        *[F.col(k).alias(f"__h_{k}") for k in on], F.lit(True).alias("__hot"), *[F.col(v).alias(f"__h_{v}") for v in values]
-    )
-    tails = table.where(~hot).select(
-        *[F.col(k).alias(f"__t_{k}") for k in on], F.lit(0).alias("__t_spread"), *[F.col(v).alias(f"__t_{v}") for v in values]
+    # 0, but not a literal: a literal would be moved out of the join's keys, and rows of a hot key would meet again
+    zero = F.least(F.col(weight).cast("int"), F.lit(0))
+    tails = table.select(*[F.col(k).alias(f"__t_{k}") for k in on], zero.alias("__t_spread"), *[F.col(v).alias(f"__t_{v}") for v in values])
+    counted = left.groupBy(*[F.col(k).alias(f"__h_{k}") for k in on]).agg(F.count(F.lit(1)).alias("__rows"))
+    often = counted.where(F.col("__rows") >= HOT_SHARE * left.count())
+    of_table = [often[f"__h_{k}"].eqNullSafe(tails[f"__t_{k}"]) for k in on]
+    heads = often.join(tails, of_table, "left").select(
+        *[f"__h_{k}" for k in on], F.lit(True).alias("__hot"), *[F.col(f"__t_{v}").alias(f"__h_{v}") for v in values]
     )
     by_head = [left[k].eqNullSafe(heads[f"__h_{k}"]) for k in on]
     matched = left.join(F.broadcast(heads), by_head, "left")
@@ -56,6 +57,4 @@ def lookup_join(
     matched = matched.withColumn("__spread", F.when(F.col("__hot"), spread).otherwise(0).cast("int"))
     by_tail = [matched[k].eqNullSafe(tails[f"__t_{k}"]) for k in on] + [matched["__spread"] == tails["__t_spread"]]
     joined = matched.join(tails, by_tail, "left")
-    return joined.select(
-        *left.columns, *[F.coalesce(f"__h_{v}", f"__t_{v}").alias(v) for v in values]
-    )
+    return joined.select(*left.columns, *[F.coalesce(f"__h_{v}", f"__t_{v}").alias(v) for v in values])

@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.columns import nan_to_null
+from driftloom.functions.joins import BROADCAST_ROWS
+from driftloom.functions.numbering import numbered
 from driftloom.operators.ecdf import bucketed_ranks
 from driftloom.operators.metrics import ranking_metrics
 from driftloom.operators.scoring import positive_probability
+from driftloom.session import durable
 
 
 def linear_attribution(df: DataFrame, weights: Mapping[str, float]) -> DataFrame:
@@ -55,17 +58,16 @@ def shapley_sampled(
     Each row is put through a few feature orders against background rows: features are switched from the
     background to the row one after the other, and the change of the probability belongs to the
     switched feature. Rows and orders are exploded, scored in one transform, and grouped.
-    `background` is a small reference table (its size is checked); sampling is what this estimator does.
+    All rows of `background` that have a value for every feature can be drawn; they are numbered in Spark, and joined
+    by their number: sent whole when they are few, by shuffle otherwise. Drawing is what this estimator does.
     """
-    limit = 10_000
-    others = background.select(F.struct(*[F.col(c).cast("double").alias(c) for c in features]).alias("o")).limit(limit + 1)
-    rows = [r["o"] for r in others.collect()]
-    if not rows or len(rows) > limit:
-        raise ValueError(f"the background needs 1 to {limit} rows")
-    pool = df.sparkSession.createDataFrame(
-        [(i, *[float(r[c]) for c in features]) for i, r in enumerate(rows)],
-        "__b long, " + ", ".join(f"`{c}` double" for c in features),
-    ).select("__b", F.struct(*features).alias("__other"))
+    others = background.select(*[nan_to_null(c).alias(c) for c in features]).dropna()
+    pool = durable(numbered(others, list(features), "__b").select("__b", F.struct(*features).alias("__other")))
+    size = pool.count()
+    if not size:
+        raise ValueError("no background row has a value for every feature")
+    if size <= BROADCAST_ROWS:
+        pool = F.broadcast(pool)
     names = F.array(*[F.lit(c) for c in features])
     draw = F.xxhash64(F.col(id_col), F.col("__perm"), F.lit(seed))
     ordered = F.transform(
@@ -77,8 +79,8 @@ def shapley_sampled(
         df.select(F.col(id_col), *cast)
         .withColumn("__perm", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
         .withColumn("__order", ordered)
-        .withColumn("__b", F.pmod(F.xxhash64(draw, F.lit("b")), F.lit(len(rows))))
-        .join(F.broadcast(pool), "__b")
+        .withColumn("__b", F.pmod(F.xxhash64(draw, F.lit("b")), F.lit(size)))
+        .join(pool, "__b")
     )
     steps = drawn.withColumn("__step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
     points = steps.select(id_col, "__perm", "__order", "__step", *_mixed(features, "__order", F.col("__step"), "__other"))
@@ -113,8 +115,6 @@ def permutation_importance(
     even hash buckets, and each row takes the value of the row with its rank in the other order. All
     features are scored as one long table and the areas come from one grouped job.
     """
-    from driftloom.operators.ecdf import bucketed_ranks
-
     base = df.select(F.col(id_col).alias("__id"), F.col(label).alias("__y"), *[F.col(c).cast("double").alias(c) for c in features])
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     bits = max(4, (2 * partitions - 1).bit_length())

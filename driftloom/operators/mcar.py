@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from driftloom.functions.columns import numeric_columns
 from driftloom.functions.tails import chi2_sf
 from driftloom.operators.missing import missing_patterns
-from driftloom.operators.patterns import Patterns, fits_driver, pattern_moments, unpack
+from driftloom.operators.patterns import Patterns, added_up, fits_driver, pattern_moments, unpack
 from driftloom.session import durable
 
 RIDGE = 1e-6
@@ -113,8 +113,41 @@ class _Runner:
             if total is not None:
                 yield pd.DataFrame({"v": [total.tolist()]})
 
-        parts = self.table.mapInPandas(partial, "v array<double>").collect()
-        return np.sum([np.array(r["v"]) for r in parts], axis=0)
+        return added_up(self.table.mapInPandas(partial, "v array<double>"))
+
+
+def _fit(run: _Runner, mu: np.ndarray, total: float, max_iter: int, tol: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Means, covariances and rounds of expectation-maximisation from the observed means."""
+    p = len(mu)
+    eye = np.eye(p) * RIDGE
+    sigma = run.sum(lambda s: _start(s, mu).ravel()).reshape(p, p) / max(total - 1, 1) + eye
+    done = 0
+    for done in range(1, max_iter + 1):
+
+        def step(s: Patterns, mu=mu, sigma=sigma) -> np.ndarray:
+            first, second = _expected(s, mu, sigma)
+            return np.concatenate([first, second.ravel()])
+
+        summed = run.sum(step)
+        move = summed[:p] / total
+        sigma = summed[p:].reshape(p, p) / total - np.outer(move, move)
+        sigma = (sigma + sigma.T) / 2 + eye
+        mu = mu + move
+        if np.max(np.abs(move)) < tol:
+            break
+    return mu, sigma, done
+
+
+def normal_moments(
+    df: DataFrame, columns: Sequence[str], max_iter: int = 100, tol: float = 1e-4
+) -> tuple[np.ndarray, np.ndarray]:
+    """Means and covariances of a normal law fitted to rows with gaps."""
+    p = len(columns)
+    run = _Runner(durable(pattern_moments(df, list(columns))), p)
+    sums = run.sum(lambda s: np.concatenate([[s.n.sum()], *_observed_sums(s)]))
+    counts = sums[1 : 1 + p]
+    mu = np.divide(sums[1 + p :], counts, out=np.zeros(p), where=counts > 0)
+    return _fit(run, mu, sums[0], max_iter, tol)[:2]
 
 
 def littles_test(
@@ -151,22 +184,7 @@ def littles_test(
         return McarResult(True, 0.0, 0, 1.0, verdict, "passthrough", int(patterns_count), int(total), names)
     counts, sums = known[4 : 4 + p], known[4 + p :]
     mu = np.divide(sums, counts, out=np.zeros(p), where=counts > 0)
-    eye = np.eye(p) * RIDGE
-    sigma = run.sum(lambda s: _start(s, mu).ravel()).reshape(p, p) / max(total - 1, 1) + eye
-    done = 0
-    for done in range(1, max_iter + 1):
-
-        def step(s: Patterns, mu=mu, sigma=sigma) -> np.ndarray:
-            first, second = _expected(s, mu, sigma)
-            return np.concatenate([first, second.ravel()])
-
-        summed = run.sum(step)
-        move = summed[:p] / total
-        sigma = summed[p:].reshape(p, p) / total - np.outer(move, move)
-        sigma = (sigma + sigma.T) / 2 + eye
-        mu = mu + move
-        if np.max(np.abs(move)) < tol:
-            break
+    mu, sigma, done = _fit(run, mu, total, max_iter, tol)
     d2 = float(run.sum(lambda s: np.array([_statistic(s, mu, sigma, include_complete)]))[0])
     dof = max(0, int(observed_columns) - p)
     p_value = chi2_sf(d2, dof) if dof > 0 else 1.0

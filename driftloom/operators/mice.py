@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftloom.functions.columns import nan_to_null
-from driftloom.operators.patterns import Patterns, fits_driver, pattern_moments, unpack
+from driftloom.operators.patterns import Patterns, added_up, fits_driver, pattern_moments, unpack
 from driftloom.session import durable
 
 
@@ -127,8 +127,7 @@ def _row_gram(rows: DataFrame, start: np.ndarray, steps: Sequence[Step], j: int)
         if total is not None:
             yield pd.DataFrame({"v": [total.ravel().tolist()]})
 
-    parts = rows.mapInPandas(partial, "v array<double>").collect()
-    return np.sum([np.array(r["v"]) for r in parts], axis=0).reshape(len(start) + 1, -1)
+    return added_up(rows.mapInPandas(partial, "v array<double>")).reshape(len(start) + 1, -1)
 
 
 def _largest_change(rows: DataFrame, start: np.ndarray, steps: Sequence[Step], per_round: int) -> float:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftloom.functions.columns import NUMERIC, nan_to_null
 from driftloom.functions.joins import lookup_join
-from driftloom.operators.ecdf import ROWS_PER_BUCKET, percentiles, row_ranks
+from driftloom.functions.numbering import numbered
+from driftloom.operators.ecdf import ROWS_PER_BUCKET, percentiles
 
 
 def is_missing(df: DataFrame, c: str) -> Column:
@@ -31,34 +32,24 @@ def missing_percent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def missing_patterns(df: DataFrame, cols: Sequence[str], window_limit: int = 16) -> DataFrame:
-    """Distinct NULL masks in lexicographic order with their rows.
+def missing_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct NULL masks in lexicographic order with their rows, for any number of columns.
 
-    Up to 2^16 masks are numbered by one small window; with more columns the numbering uses the
-    bucketed ranks instead.
+    A mask is one string with a character per column, so the order of the strings is the order of the masks.
     """
     cols = list(cols)
-    masks = df.groupBy(*[is_missing(df, c).cast("int").alias(f"__m{i}") for i, c in enumerate(cols)]).agg(
-        F.count(F.lit(1)).alias("count")
-    )
-    bits = [f"__m{i}" for i in range(len(cols))]
-
-    def names(missing: int) -> Column:
-        return F.array_compact(F.array(*[F.when(F.col(b) == missing, F.lit(c)) for b, c in zip(bits, cols)]))
-
-    total = masks.agg(F.sum("count")).scalar()
-    if len(cols) <= window_limit:
-        numbered = masks.withColumn("pattern_id", F.row_number().over(Window.orderBy(*bits)).cast("long"))
-    elif len(cols) <= 52:
-        code = sum((F.col(b) * F.lit(2**i) for i, b in enumerate(reversed(bits))), F.lit(0))
-        numbered = row_ranks(masks.withColumn("__code", code), "__code", out="pattern_id")
-        numbered = numbered.withColumn("pattern_id", F.col("pattern_id") + 1)
-    else:
-        raise ValueError("masks of more than 52 columns are not numbered")
-    return numbered.select(
+    bits = [is_missing(df, c).cast("int").cast("string") for c in cols]
+    masks = df.groupBy(F.concat(*bits).alias("__mask")).agg(F.count(F.lit(1)).alias("count"))
+    total = df.count()
+    names = F.array(*[F.lit(c) for c in cols])
+
+    def at(bit: str) -> Column:
+        return F.filter(names, lambda c, i: F.substring("__mask", i + 1, F.lit(1)) == bit)
+
+    return numbered(masks, ["__mask"], "pattern_id", 1).select(
         "pattern_id",
-        names(0).alias("observed_columns"),
-        names(1).alias("missing_columns"),
+        at("0").alias("observed_columns"),
+        at("1").alias("missing_columns"),
         "count",
         F.round(F.col("count") * 100.0 / total, 2).alias("percentage"),
     )

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.functions.columns import col
+from driftloom.functions.columns import nan_to_null
 from driftloom.specs import BUFFER_ROWS, RISK_HIGH, RISK_MODERATE
 
 
@@ -18,7 +18,9 @@ def positive_probability(vector: Column | str = "probability") -> Column:
 
 
 def risk_band(p: Column | str, high: float = RISK_HIGH, moderate: float = RISK_MODERATE) -> Column:
-    return F.when(col(p) >= high, "High").when(col(p) >= moderate, "Moderate").otherwise("Low")
+    """Band of a probability; one that is missing or not a number has no band."""
+    p = nan_to_null(p)
+    return F.when(p >= high, "High").when(p >= moderate, "Moderate").when(p.isNotNull(), "Low")
 
 
 def decide(
@@ -29,15 +31,18 @@ def decide(
     status: tuple[str, str] = ("Survived", "Did Not Survive"),
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, prediction, probability 4 dp, status, risk_level). Class and band come from the unrounded value."""
-    p = F.col(probability)
+    """(id, prediction, probability 4 dp, status, risk_level). Class and band come from the unrounded value.
+
+    A probability that is NULL or not a number is no score: class, probability, status and band are NULL.
+    """
+    p = nan_to_null(probability)
     hit = p >= threshold
     return scored.select(
         F.col(id_col).cast("long").alias("id"),
         hit.cast("int").alias("prediction"),
         F.round(p, 4).alias("probability"),
-        F.when(hit, status[0]).otherwise(status[1]).alias("status"),
-        risk_band(p).alias("risk_level"),
+        F.when(hit, status[0]).when(~hit, status[1]).alias("status"),
+        risk_band(probability).alias("risk_level"),
         *keep,
     )
 

@@ -70,10 +70,12 @@ class FeatureBuilderModel(ComposedModel):
             sizes[table] = row_bound(self.tables[table])
         return sizes[table]
 
-    def prepare(self, df: DataFrame, fill_fare: bool = True) -> DataFrame:
-        """All features but the encodings and flags."""
+    def prepare(self, df: DataFrame, fill_fare: bool = True, labelled: bool = False) -> DataFrame:
+        """All features but the encodings and flags. `labelled` carries the label along as __label, on its own row."""
         s = self.state
         id_col = s["id_col"]
+        if labelled:
+            df = df.withColumn("__label", F.col(s["label"]).cast("int"))
         rows = parsed(encode.drop_label(df, s["label"]) if s["label"] else df)
         rows = rows.withColumn("Embarked", F.coalesce("Embarked", F.lit(s["mode"])))
         if fill_fare:
@@ -90,15 +92,16 @@ class FeatureBuilderModel(ComposedModel):
         return encode.align(flags, self.columns, keep)
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        return self.finish(self.encoded(self.prepare(df)), [self.state["id_col"]])
+
+    def encoded(self, rows: DataFrame) -> DataFrame:
+        """Prepared rows with the fitted encodings."""
         s = self.state
-        rows = self.prepare(df)
         if "encodings" in self.tables:
-            encoded = encode.apply_target_encoding(
+            return encode.apply_target_encoding(
                 rows, self.tables["encodings"], ENCODED_INPUTS, s["prior"], spread_by=[s["id_col"]], known_rows=self.known("encodings")
             )
-        else:
-            encoded = rows.withColumns({f"{c}_TE": F.lit(s["prior"]) for c in ENCODED_INPUTS})
-        return self.finish(encoded, [s["id_col"]])
+        return rows.withColumns({f"{c}_TE": F.lit(s["prior"]) for c in ENCODED_INPUTS})
 
 
 class FeatureBuilder(Estimator):
@@ -143,11 +146,7 @@ class FeatureBuilder(Estimator):
         state["age_flag"], state["fare_gaps"] = "Age" in gaps, "Fare" in gaps
         model = FeatureBuilderModel(state, {"fares": fares, "donors": donors, "tickets": tickets})
         # as at fit time: fares keep their gaps, only ages are filled
-        rows = model.prepare(df, fill_fare=False)
-        if label:
-            labels = df.select(self.id_col, F.col(label).cast("int").alias("__label"))
-            rows = rows.join(labels, self.id_col)
-        rows = durable(rows)
+        rows = durable(model.prepare(df, fill_fare=False, labelled=label is not None))
         if label:
             model.tables["encodings"] = durable(encode.target_encoding(rows, ENCODED_INPUTS, "__label", self.m))
             state["prior"] = rows.agg(F.avg(F.col("__label").cast("double"))).first()[0]
@@ -161,19 +160,20 @@ class FeatureBuilder(Estimator):
         """(model, training features with id and label).
 
         Training rows get out-of-fold encodings, so their own label does not reach their features.
-        leaky=True gives them the full-data encodings instead, as a plain fit and transform would.
+        leaky=True gives them the full-data encodings instead, as a plain fit and transform would. The label stays on
+        its row: repeated or missing ids neither multiply nor lose rows.
         """
         model, rows = self._fitted(df)
         label = model.state["label"]
         if not label:
             return model, model.transform(df)
-        labels = df.select(self.id_col, F.col(label).cast("int").alias(label))
         folds = encode.effective_folds(rows, "__label", self.folds)
         if leaky or folds < 2:
-            return model, model.transform(df).join(labels, self.id_col)
+            whole = model.encoded(model.prepare(df, labelled=True)).withColumn(label, F.col("__label"))
+            return model, model.finish(whole, [self.id_col, label])
         if model.state["fare_gaps"]:
             # a filled fare changes distances and bins, so these rows are prepared as in transform
-            rows = model.prepare(df).join(labels.withColumnRenamed(label, "__label"), self.id_col)
+            rows = model.prepare(df, labelled=True)
         split = durable(stratified_folds(rows, "__label", self.id_col, folds, SEED, "__fold"))
         table = durable(encode.fold_encoding(split, ENCODED_INPUTS, "__label", "__fold", self.m))
         encoded = encode.apply_fold_encoding(

@@ -6,10 +6,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from driftloom.specs import BUFFER_ROWS
 
+# Tasks that cut what is left of one segment before its state sees it.
+SLICES = 8
 STATE = "orders array<long>, probabilities array<double>, predictions array<int>"
 
 
@@ -28,12 +31,14 @@ def _trimmed(key: str, order: str, n: int):
 def last_n_by_segment(stream: DataFrame, segment: str, order: str, n: int = BUFFER_ROWS) -> DataFrame:
     """(segment, buffer_size, average_probability, positive_rate), updated per micro-batch.
 
-    `order` is a growing number (an arrival id). Each task first cuts its rows to the last n per segment:
-    no other row can be among the last n, and a segment with most of the traffic sends no more than n rows per task
-    to its state.
+    `order` is a growing number (an arrival id). Each task first cuts its rows to the last n per segment: no other row can
+    be among the last n. What is left of a segment meets in SLICES tasks, which cut again, so its state
+    gets at most SLICES * n rows, however many tasks the segment came from.
     """
     rows = stream.select(segment, order, "probability", "prediction")
     rows = rows.mapInPandas(_trimmed(segment, order, n), rows.schema)
+    rows = rows.repartition(F.col(segment), F.pmod(F.xxhash64(order), F.lit(SLICES)))
+    rows = rows.mapInPandas(_trimmed(segment, order, n), rows.schema)
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         orders, probabilities, predictions = (list(x) for x in state.get) if state.exists else ([], [], [])

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,18 +11,15 @@ def frame(spark, **cols):
     return spark.createDataFrame(pd.DataFrame(cols))
 
 
-def numpy_psi(ref, cur, bins=10, eps=1e-4):
-    if len(ref) < 10 or len(cur) < 10:
-        return 0.0
-    k = min(bins, max(3, len(ref) // 25))
-    edges = np.unique(np.percentile(ref, np.linspace(0, 100, k + 1)))
-    if len(edges) < 2:
-        return 0.0
-    inner = edges[1:-1]
-    r = np.bincount(np.searchsorted(inner, ref, side="right"), minlength=len(edges) - 1) / len(ref) + eps
-    c = np.bincount(np.searchsorted(inner, cur, side="right"), minlength=len(edges) - 1) / len(cur) + eps
-    r, c = r / r.sum(), c / c.sum()
-    return float(np.clip(((c - r) * np.log(c / r)).sum(), 0, 10))
+def share_index(pairs, rows_ref, rows_cur):
+    """PSI from hand-counted (reference, current) rows per bin: each share is raised by 1e-4 and scaled back to one."""
+    raise_by = 1e-4
+    whole = 1 + raise_by * len(pairs)
+    total = 0.0
+    for a, b in pairs:
+        p, q = (a / rows_ref + raise_by) / whole, (b / rows_cur + raise_by) / whole
+        total += (q - p) * math.log(q / p)
+    return total
 
 
 def numpy_distances(ref, cur):
@@ -31,48 +30,65 @@ def numpy_distances(ref, cur):
 
 
 @pytest.mark.parametrize("rows_per_bucket", [10**6, 120])
-def test_statistics_equal_numpy(spark, rows_per_bucket):
-    rng = np.random.default_rng(42)
-    ref = {"a": rng.normal(100, 15, 1000), "b": np.round(rng.exponential(10, 1000), 1), "c": np.where(rng.random(1000) < 0.4, 7.0, rng.random(1000))}
-    cur = {"a": rng.normal(140, 25, 700), "b": np.round(rng.exponential(11, 700), 1), "c": np.where(rng.random(700) < 0.3, 7.0, rng.random(700))}
+def test_distances_equal_numpy(spark, rows_per_bucket):
+    rng = np.random.default_rng(11)
+    ref = {"a": rng.gamma(3, 2, 900), "b": np.round(rng.uniform(0, 60, 900)), "c": np.where(rng.random(900) < 0.5, -1.0, rng.random(900))}
+    cur = {"a": rng.gamma(4, 2, 650), "b": np.round(rng.uniform(5, 70, 650)), "c": np.where(rng.random(650) < 0.2, -1.0, rng.random(650))}
     pair = drift.pair_up(frame(spark, **ref), frame(spark, **cur), rows_per_bucket=rows_per_bucket)
     for r in drift.numeric_statistics(pair).collect():
-        a, b = ref[r["column"]], cur[r["column"]]
-        ks, w1 = numpy_distances(a, b)
+        ks, w1 = numpy_distances(ref[r["column"]], cur[r["column"]])
         assert r["ks_statistic"] == pytest.approx(ks, abs=1e-12)
         assert r["wasserstein_distance"] == pytest.approx(w1, rel=1e-9)
-        assert r["psi"] == pytest.approx(numpy_psi(a, b), abs=1e-9)
-        assert (r["n_ref"], r["n_cur"]) == (1000, 700)
+        assert (r["n_ref"], r["n_cur"]) == (900, 650)
 
 
-def test_psi_levels(spark):
-    rng = np.random.default_rng(42)
-    ref, same, moved = rng.normal(100, 15, 1000), rng.normal(100, 15, 1000), rng.normal(140, 25, 1000)
-    stats = {}
-    for name, cur in (("same", same), ("moved", moved)):
-        pair = drift.pair_up(frame(spark, x=ref), frame(spark, x=cur))
-        stats[name] = drift.numeric_statistics(pair).first()["psi"]
-    assert stats["same"] < 0.10 and stats["moved"] >= 0.20
+@pytest.mark.parametrize("rows_per_bucket", [10**6, 30])
+def test_psi_of_tables_counted_by_hand(spark, rows_per_bucket):
+    # 1..100: four bins with the quartiles 25.75, 50.5, 75.25 as edges, 25 rows each
+    ref = frame(spark, x=[float(i) for i in range(1, 101)])
+    cur = frame(spark, x=[10.0] * 20 + [30.0] * 5 + [60.0] * 10 + [50.5] * 3 + [80.0] * 2 + [999.0] * 10)
+    pair = drift.pair_up(ref, cur, rows_per_bucket=rows_per_bucket)
+    counted = [(25, 20), (25, 5), (25, 13), (25, 12)]  # an edge belongs to the bin above it
+    assert drift.numeric_statistics(pair).first()["psi"] == pytest.approx(share_index(counted, 100, 50), abs=1e-9)
+    # 30 rows make three bins; equal edges fall together: 0, 0, 0, 9 is one bin
+    few = drift.pair_up(frame(spark, x=[0.0] * 29 + [9.0]), frame(spark, x=[9.0] * 12))
+    assert drift.numeric_statistics(few).first()["psi"] == 0.0
+    short = drift.pair_up(ref, frame(spark, x=[5.0] * 9))
+    assert drift.numeric_statistics(short).first()["psi"] == 0.0
 
 
 def test_numeric_verdicts(spark):
-    rng = np.random.default_rng(42)
-    ref, same, moved = rng.exponential(10, 500), rng.exponential(10, 500), rng.exponential(50, 500)
-    got = {}
-    for name, cur in (("same", same), ("moved", moved)):
-        got[name] = drift.drift_report(frame(spark, x=ref), frame(spark, x=cur)).first()
-    assert not got["same"]["is_drift"] and got["moved"]["is_drift"]
-    assert got["moved"]["p_value"] < 0.05 and got["moved"]["psi"] >= 0.25
-    d = numpy_distances(ref, same)[0]
-    assert got["same"]["p_value"] == pytest.approx(tails.two_sample_exact_sf(500, 500, d), abs=1e-6)
+    base = [float(i % 200) for i in range(600)]
+    moved = [float(i % 200) + 150 for i in range(400)]
+    shuffled = [float(i % 200) for i in range(7, 407)]
+    same = drift.drift_report(frame(spark, x=base), frame(spark, x=shuffled)).first()
+    far = drift.drift_report(frame(spark, x=base), frame(spark, x=moved)).first()
+    assert not same["is_drift"] and same["ks_statistic"] == 0.0 and same["p_value"] == 1.0 and same["psi"] == 0.0
+    assert far["is_drift"] and far["ks_statistic"] == 0.75 and far["p_value"] == 0.0 and far["psi"] > 1
+
+
+def test_small_batches_against_a_large_reference_have_exact_tails(spark):
+    """P(D >= d) by drawing: the order statistics of n uniform numbers."""
+    rng = np.random.default_rng(3)
+    for n in (5, 10, 20, 50):
+        u = np.sort(rng.random((200_000, n)), axis=1)
+        i = np.arange(1, n + 1)
+        drawn = np.maximum((i / n - u).max(axis=1), (u - (i - 1) / n).max(axis=1))
+        for d in (0.9 / math.sqrt(n), 1.4 / math.sqrt(n)):
+            assert tails.two_sample_ks_sf(10**7, n, d) == pytest.approx((drawn >= d).mean(), abs=0.004)
+    # n = 1: D >= d for d > 1/2 has probability 2 (1 - d); n = 5, d = 0.2: 1 - 5! / 5^5
+    assert tails.one_sample_exact_sf(1, 0.7) == pytest.approx(0.6)
+    assert tails.one_sample_exact_sf(5, 0.2) == pytest.approx(1 - math.factorial(5) / 5**5)
+    assert tails.kolmogorov_sf(0.03, 2000) == pytest.approx(tails.kolmogorov_sf(0.03, 2001), rel=4e-3)
 
 
 def test_categorical_verdicts(spark):
-    ref = frame(spark, port=["S"] * 700 + ["C"] * 200 + ["Q"] * 100)
-    stable = drift.drift_report(ref, frame(spark, port=["S"] * 70 + ["C"] * 20 + ["Q"] * 10)).first()
-    moved = drift.drift_report(ref, frame(spark, port=["S"] * 10 + ["C"] * 80 + ["Q"] * 10)).first()
+    ref = frame(spark, shop=["n"] * 120 + ["w"] * 60 + ["e"] * 20)
+    stable = drift.drift_report(ref, frame(spark, shop=["n"] * 30 + ["w"] * 15 + ["e"] * 5)).first()
+    moved = drift.drift_report(ref, frame(spark, shop=["n"] * 10 + ["w"] * 15 + ["e"] * 25)).first()
     assert not stable["is_drift"] and stable["tvd"] == 0.0 and stable["p_value"] == 1.0
-    assert moved["is_drift"] and moved["tvd"] == 0.6 and moved["statistic"] == pytest.approx(231.4286, abs=1e-4)
+    # expected 30, 15, 5: 400 / 30 + 0 + 400 / 5, half of the shares' distances 0.4 + 0 + 0.4
+    assert moved["is_drift"] and moved["tvd"] == 0.4 and moved["statistic"] == pytest.approx(93.3333, abs=1e-4)
 
 
 def test_missing_is_a_category_and_unseen_is_reported(spark):
@@ -84,35 +100,30 @@ def test_missing_is_a_category_and_unseen_is_reported(spark):
 
 
 def test_report_and_summary(spark):
-    rng = np.random.default_rng(42)
-
-    def people(n, old, rich, share):
-        return frame(
-            spark, Age=rng.normal(30 + old, 10, n), Fare=rng.exponential(32 * rich, n), Sex=rng.choice(["male", "female"], n, p=[share, 1 - share])
-        )
+    def parcels(n, heavy, far, share):
+        rows = [(float(i % 50 + heavy), float((i * 7) % 90 * far), "day" if i % 10 < share else "night") for i in range(n)]
+        return spark.createDataFrame(rows, "weight double, miles double, shift string")
 
-    ref, cur = people(200, 0, 1, 0.6), people(100, 40, 5, 0.1)
+    ref, cur = parcels(300, 0, 1, 7), parcels(120, 45, 6, 1)
     pair = drift.pair_up(ref, cur)
     report = drift.drift_report(ref, cur, pair=pair)
-    assert {r["column"]: r["column_type"] for r in report.collect()} == {"Age": "numerical", "Fare": "numerical", "Sex": "categorical"}
+    assert {r["column"]: r["column_type"] for r in report.collect()} == {"weight": "numerical", "miles": "numerical", "shift": "categorical"}
     summary = drift.drift_summary(report, pair).first()
     assert summary["dataset_drift"] and summary["drift_share"] == 1.0 and summary["number_of_features"] == 3
-    assert summary["reference_rows"] == 200 and summary["current_rows"] == 100
+    assert summary["reference_rows"] == 300 and summary["current_rows"] == 120
     shown = drift.display_table(report).collect()
-    assert [r["status"] for r in shown] == ["DRIFT"] * 3 and [r["metric_name"] for r in shown] == ["PSI", "PSI", "TVD"]
+    assert [r["status"] for r in shown] == ["DRIFT"] * 3 and sorted(r["metric_name"] for r in shown) == ["PSI", "PSI", "TVD"]
 
 
 def test_prediction_drift_levels(spark):
-    rng = np.random.default_rng(42)
-
-    def scores(p):
-        return frame(spark, probability=p, prediction=(p >= 0.34).astype(int))
+    def scores(values):
+        return frame(spark, probability=values, prediction=[int(v >= 0.5) for v in values])
 
-    base = scores(rng.beta(2, 5, 891))
-    moved = drift.prediction_drift(base, scores(rng.beta(8, 2, 100))).first()
-    assert moved["overall_status"] == "CRITICAL_DRIFT" and moved["is_drift_detected"] and moved["psi"] >= 0.25
+    base = scores([i % 100 / 250 + (0.4 if i % 9 == 0 else 0.0) for i in range(800)])
+    high = drift.prediction_drift(base, scores([0.6 + i % 40 / 100 for i in range(150)])).first()
+    assert high["overall_status"] == "CRITICAL_DRIFT" and high["is_drift_detected"] and high["psi"] >= 0.25
     assert drift.prediction_drift(base, base).first()["overall_status"] == "STABLE"
-    few = scores(rng.beta(2, 5, 4))
+    few = scores([0.1, 0.2, 0.3])
     assert drift.prediction_drift(base, few).first()["overall_status"] == "COLLECTING_DATA"
     assert drift.prediction_drift(few, base).first()["overall_status"] == "NO_BASELINE"
 
@@ -136,12 +147,11 @@ def test_infinite_values_count_in_the_outer_bins(spark):
 
 
 def test_baseline_as_literals_gives_the_same_psi(spark):
-    rng = np.random.default_rng(1)
-    ref, cur = rng.normal(0, 1, 800), rng.normal(0.3, 1, 500)
     from driftloom.streaming.windows import window_psi
     from pyspark.sql import functions as F
 
-    base = drift.psi_baseline(frame(spark, x=ref), "x")
-    rows = frame(spark, x=cur).withColumn("ts", F.lit("2024-01-01 05:00:00").cast("timestamp"))
+    ref = frame(spark, x=[float(i) for i in range(1, 101)])
+    base = drift.psi_baseline(ref, "x")
+    rows = frame(spark, x=[10.0] * 20 + [30.0] * 5 + [60.0] * 15 + [80.0] * 10).withColumn("ts", F.lit("2024-01-01 05:00:00").cast("timestamp"))
     got = window_psi(rows, "ts", "x", base, F.window("ts", "1 day")).first()
-    assert got["psi"] == pytest.approx(numpy_psi(ref, cur), abs=1e-9) and got["n"] == 500
+    assert got["psi"] == pytest.approx(share_index([(25, 20), (25, 5), (25, 15), (25, 10)], 100, 50), abs=1e-9) and got["n"] == 50

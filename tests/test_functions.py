@@ -105,3 +105,22 @@ def test_hot_keys_do_not_meet_in_one_task(spark):
         assert joined.where("k = -1 and n = 3000").count() == 3000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("kind", ["missing", "unseen", "known"])
+def test_rows_of_a_frequent_key_are_spread_evenly(spark, kind):
+    hot = {"missing": F.lit(None).cast("long"), "unseen": F.lit(-5), "known": F.lit(1)}[kind]
+    left = spark.range(20_000).select("id", F.when(F.col("id") % 5 < 3, hot).otherwise(F.col("id")).cast("long").alias("k"))
+    table = left.where("k is not null and k <> -5").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    for key, value in (("autoBroadcastJoinThreshold", "-1"), ("adaptive.enabled", "false")):
+        spark.conf.set(f"spark.sql.{key}", value)
+    try:
+        joined = lookup_join(left, table, ["k"], "n", ["n"], ["id"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        found = joined.where("n is not null").count()
+    finally:
+        for key in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
+            spark.conf.unset(f"spark.sql.{key}")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and max(sizes) <= 2 * 20_000 / len(sizes)
+    assert found == (20_000 if kind == "known" else 8_000)

@@ -9,62 +9,70 @@ def frame(spark, data):
     return spark.createDataFrame(pd.DataFrame(data))
 
 
-def mcar_data():
-    rng = np.random.default_rng(42)
-    x1, x2 = rng.normal(10, 2, 300), rng.normal(50, 5, 300)
-    x3 = 0.5 * x1 + rng.normal(0, 1, 300)
-    x1[rng.random(300) < 0.15] = np.nan
-    x2[rng.random(300) < 0.10] = np.nan
-    return {"x1": x1, "x2": x2, "x3": x3}
+def gappy(n=240, seed=7):
+    """Three related columns with gaps that depend on nothing, some rows without two of them, some without any."""
+    rng = np.random.default_rng(seed)
+    z = rng.standard_normal((n, 3)) @ np.array([[2.0, 0.6, 0.0], [0.0, 1.0, -0.4], [0.0, 0.0, 0.5]]) + [3.0, -1.0, 20.0]
+    z[rng.random((n, 3)) < [0.2, 0.12, 0.05]] = np.nan
+    z[:3] = np.nan
+    return {"u": z[:, 0], "v": z[:, 1], "w": z[:, 2]}
 
 
-def em_by_rows(data, include_complete=False):
-    """The test with expectation-maximisation over single rows."""
+def fitted_moments(spark, data):
+    return mcar.normal_moments(frame(spark, data), list(data), max_iter=400, tol=1e-9)
+
+
+def log_likelihood(x, mu, sigma):
+    """Of the observed cells of each row under a normal law."""
+    total = 0.0
+    for row in x:
+        seen = ~np.isnan(row)
+        if seen.any():
+            s, r = sigma[np.ix_(seen, seen)], row[seen] - mu[seen]
+            total -= 0.5 * (np.linalg.slogdet(2 * np.pi * s)[1] + r @ np.linalg.solve(s, r))
+    return total
+
+
+@pytest.mark.parametrize("on_driver", [True, False])
+def test_fitted_moments_are_a_maximum_of_the_likelihood(spark, monkeypatch, on_driver):
+    """By definition: no small step in any mean or covariance raises the likelihood of what was observed."""
+    if not on_driver:
+        monkeypatch.setattr(patterns, "DRIVER_NUMBERS", 1)
+    data = gappy()
     x = np.column_stack(list(data.values()))
-    gone = np.isnan(x)
-    n, p = x.shape
-    mu = np.nanmean(x, axis=0)
-    sigma = np.cov(np.where(gone, mu, x), rowvar=False) + 1e-6 * np.eye(p)
-    for _ in range(100):
-        total, products = np.zeros(p), np.zeros((p, p))
-        for row, m in zip(x, gone):
-            y, extra = np.where(m, mu, row), np.zeros((p, p))
-            if m.any() and not m.all():
-                b = sigma[np.ix_(m, ~m)] @ np.linalg.pinv(sigma[np.ix_(~m, ~m)])
-                y[m] = mu[m] + b @ (row[~m] - mu[~m])
-                extra[np.ix_(m, m)] = sigma[np.ix_(m, m)] - b @ sigma[np.ix_(~m, m)]
-            elif m.all():
-                extra = sigma
-            total += y
-            products += np.outer(y, y) + extra
-        new = total / n
-        sigma = products / n - np.outer(new, new)
-        sigma = (sigma + sigma.T) / 2 + 1e-6 * np.eye(p)
-        moved, mu = np.abs(new - mu).max(), new
-        if moved < 1e-4:
-            break
-    d2, observed = 0.0, 0
-    for m in np.unique(gone, axis=0):
-        observed += (~m).sum()
-        if 0 < (~m).sum() < p or (include_complete and not m.any()):
-            rows = x[(gone == m).all(axis=1)][:, ~m]
-            d = rows.mean(axis=0) - mu[~m]
-            d2 += len(rows) * d @ np.linalg.pinv(sigma[np.ix_(~m, ~m)]) @ d
-    return d2, observed - p
+    mu, sigma = fitted_moments(spark, data)
+    top = log_likelihood(x, mu, sigma)
+    for i in range(3):
+        for step in (-0.05, 0.05):
+            moved = mu.copy()
+            moved[i] += step * np.sqrt(sigma[i, i])
+            assert log_likelihood(x, moved, sigma) < top
+            for j in range(i + 1):
+                other = sigma.copy()
+                other[i, j] += step * np.sqrt(sigma[i, i] * sigma[j, j])
+                other[j, i] = other[i, j]
+                assert log_likelihood(x, mu, other) < top
 
 
 @pytest.mark.parametrize("include_complete", [False, True])
 @pytest.mark.parametrize("on_driver", [True, False])
-def test_littles_test_equals_em_over_rows(spark, monkeypatch, include_complete, on_driver):
+def test_littles_statistic_from_the_fitted_moments(spark, monkeypatch, include_complete, on_driver):
+    """Sum over patterns of n (mean - mu)' S^-1 (mean - mu); degrees: observed columns of the patterns less the columns."""
     if not on_driver:
         monkeypatch.setattr(patterns, "DRIVER_NUMBERS", 1)
-    data = mcar_data()
-    data["x3"][:5] = np.nan
-    data["x1"][:2] = data["x2"][:2] = np.nan
-    d2, dof = em_by_rows(data, include_complete)
+    data = gappy()
+    mu, sigma = fitted_moments(spark, data)
+    table = pd.DataFrame(data)
+    statistic, degrees = 0.0, -3
+    for mask, rows in table.groupby([table[c].notna() for c in table], sort=False):
+        seen = np.array(mask)
+        degrees += seen.sum()
+        if seen.any() and (include_complete or not seen.all()):
+            away = rows.loc[:, seen].mean().to_numpy() - mu[seen]
+            statistic += len(rows) * away @ np.linalg.solve(sigma[np.ix_(seen, seen)], away)
     got = mcar.littles_test(frame(spark, data), include_complete=include_complete)
-    assert got.chi_square_stat == pytest.approx(d2, abs=2e-4) and got.degrees_of_freedom == dof
-    assert got.total_records == 300
+    assert got.chi_square_stat == pytest.approx(statistic, abs=2e-3) and got.degrees_of_freedom == degrees
+    assert got.total_records == 240
 
 
 def test_complete_data_is_trivial(spark):
@@ -74,50 +82,57 @@ def test_complete_data_is_trivial(spark):
     assert nothing.is_mcar and nothing.recommended_strategy == "mean"
 
 
-def test_random_and_conditional_absence(spark):
-    random = frame(spark, mcar_data())
+def test_absence_that_depends_on_a_value_is_found(spark):
+    random = frame(spark, gappy(seed=8))
     assert mcar.littles_test(random).p_value > 0.01
-    assert mcar.patterns_of(random).count() >= 2
-    rng = np.random.default_rng(42)
-    x1, x2 = rng.normal(10, 2, 300), rng.normal(50, 5, 300) + 0
-    x2[x1 > 11.5] = np.nan
-    got = mcar.littles_test(frame(spark, {"x1": x1, "x2": x2}))
+    assert mcar.patterns_of(random).count() >= 4
+    even = np.arange(160.0)
+    late = np.where(even > 120, np.nan, np.sin(even))
+    got = mcar.littles_test(frame(spark, {"t": even, "s": late}))
     assert got.patterns_count == 2 and not got.is_mcar
 
 
 def test_pattern_table(spark):
     df = spark.createDataFrame([(1.0, None), (None, 1.0), (1.0, 1.0), (float("nan"), 2.0)], "a double, b double")
-    for limit in (16, 0):
-        rows = missing.missing_patterns(df, ["a", "b"], window_limit=limit).orderBy("pattern_id").collect()
-        assert [(r["pattern_id"], r["missing_columns"], r["count"]) for r in rows] == [(1, [], 1), (2, ["b"], 1), (3, ["a"], 2)]
+    rows = missing.missing_patterns(df, ["a", "b"]).orderBy("pattern_id").collect()
+    assert [(r["pattern_id"], r["missing_columns"], r["count"]) for r in rows] == [(1, [], 1), (2, ["b"], 1), (3, ["a"], 2)]
+
+
+def test_masks_of_many_columns(spark):
+    names = [f"c{i:02d}" for i in range(70)]
+    gone = [set(), {0}, {69}, {0, 69}, {33}, {0}]
+    df = spark.createDataFrame([tuple(None if i in g else 1 for i in range(70)) for g in gone], ", ".join(f"{n} int" for n in names))
+    rows = missing.missing_patterns(df.repartition(4), names).orderBy("pattern_id").collect()
+    want = [(1, [], 1), (2, ["c69"], 1), (3, ["c33"], 1), (4, ["c00"], 2), (5, ["c00", "c69"], 1)]
+    assert [(r["pattern_id"], r["missing_columns"], r["count"]) for r in rows] == want
 
 
 def table(spark):
-    data = {"id": range(7), "feature_1": [1.0, 2.0, np.nan, 4.0, 5.0, np.nan, 7.0], "feature_2": [10.0, np.nan, 30.0, 40.0, 50.0, 60.0, 70.0]}
+    data = {"id": range(6), "left": [3.5, np.nan, 1.5, 8.0, 6.25, 2.0], "right": [np.nan, 12.0, 15.0, 11.0, 19.0, np.nan]}
     return frame(spark, data)
 
 
 @pytest.mark.parametrize("strategy", ["mean", "median", "most_frequent", "constant", "knn", "iterative_mice", "auto"])
 def test_every_strategy_fills_and_flags(spark, strategy, tmp_path):
     df = table(spark)
-    cols = ["feature_1", "feature_2"]
+    cols = ["left", "right"]
     model = MissingImputer(cols, strategy, id_col="id", k=2).fit(df)
     out = model.transform(df)
     assert unfilled(out, cols).count() == 0
-    flags = {r["id"]: (r["feature_1_is_na"], r["feature_2_is_na"]) for r in out.collect()}
-    assert flags[2] == (1, 0) and flags[1] == (0, 1) and flags[0] == (0, 0)
+    flags = {r["id"]: (r["left_is_na"], r["right_is_na"]) for r in out.collect()}
+    assert flags == {0: (0, 1), 1: (1, 0), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (0, 1)}
     model.write().save(str(tmp_path / "m"))
     again = MissingImputerModel.load(str(tmp_path / "m")).transform(df)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
 
 
 def test_new_missing_columns_are_refused_or_flagged(spark):
-    fitted = table(spark).fillna(0.0, ["feature_2"])
-    args = dict(columns=["feature_1", "feature_2"], strategy="mean", diagnose=False)
+    fitted = table(spark).fillna(0.0, ["right"])
+    args = dict(columns=["left", "right"], strategy="mean", diagnose=False)
     with pytest.raises(ValueError):
         MissingImputer(**args).fit(fitted).transform(table(spark))
-    assert "feature_2_is_na" in MissingImputer(on_new="add", **args).fit(fitted).transform(table(spark)).columns
-    assert "feature_2_is_na" not in MissingImputer(on_new="ignore", **args).fit(fitted).transform(table(spark)).columns
+    assert "right_is_na" in MissingImputer(on_new="add", **args).fit(fitted).transform(table(spark)).columns
+    assert "right_is_na" not in MissingImputer(on_new="ignore", **args).fit(fitted).transform(table(spark)).columns
 
 
 def test_an_empty_column_is_left_and_reported(spark):
@@ -224,6 +239,6 @@ def test_group_median_only_fills_gaps(spark):
 
 
 def test_patterns_are_one_aggregate(spark):
-    df = frame(spark, mcar_data())
-    plan = patterns.pattern_moments(df, ["x1", "x2", "x3"])._jdf.queryExecution().executedPlan().toString()
+    df = frame(spark, gappy())
+    plan = patterns.pattern_moments(df, ["u", "v", "w"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
