@@ -332,23 +332,19 @@ def soft_vote(spark, sf):
     )
 
 
-WEIGHTS = {"e1": 0.8, "e2": -1.5, "e3": 0.3, "e4": 2.0, "e5": -0.1}
+DIMENSIONS = 64
+WEIGHTS = {f"e{i}": (i * 37 % 41 - 20) / 10 for i in range(1, DIMENSIONS + 1)}
 
 
 @query(
-    "WITH e AS (SELECT "
-    + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, 6))
-    + " FROM embeddings), m AS (SELECT "
-    + ", ".join(f"avg(e{i}) AS m{i}" for i in range(1, 6))
-    + " FROM e) "
-    + " UNION ALL ".join(
-        f"SELECT 'e{i}' AS feature, round(avg(abs({WEIGHTS[f'e{i}']} * (e{i} - m{i}))), 6) AS mean_abs_contribution FROM e, m"
-        for i in range(1, 6)
-    )
+    "WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(1, 65)) AS i FROM embeddings), "
+    "m AS (SELECT i, avg(x) AS m FROM e GROUP BY i) "
+    "SELECT 'e' || i AS feature, round(avg(abs((i * 37 % 41 - 20) / 10 * (x - m))), 6) AS mean_abs_contribution "
+    "FROM e JOIN m USING (i) GROUP BY i"
 )
 def linear_attribution(spark, sf):
     vectors = load(spark, sf, "embeddings")
-    dims = vectors.select(*[F.col("embedding")[i].cast("double").alias(f"e{i + 1}") for i in range(5)])
+    dims = vectors.select(*[F.col("embedding")[i].cast("double").alias(f"e{i + 1}") for i in range(DIMENSIONS)])
     return r6(attribution.linear_attribution(dims, WEIGHTS))
 
 
@@ -386,33 +382,50 @@ def registry_aliases(spark, sf):
 
 
 GATE = (("accuracy", ">=", 0.6), ("f1_macro", ">=", 0.99), ("mean_latency_ms", "<=", 200.0), ("p95_latency_ms", "<=", 250.0), ("roc_auc", ">=", 0.5))
+GATE_SQL = f"""{SCORED_SQL.replace('l_orderkey % 5 AS fold', '0 AS fold')}, {AREA_SQL},
+    c AS (SELECT count(*) FILTER (label = 1 AND score >= 0.5) AS tp, count(*) FILTER (label = 0 AND score >= 0.5) AS fp,
+      count(*) FILTER (label = 1 AND score < 0.5) AS fn, count(*) FILTER (label = 0 AND score < 0.5) AS tn FROM scored),
+    m AS (SELECT 'accuracy' AS metric, (tp + tn) / (tp + fp + fn + tn) AS value FROM c
+      UNION ALL SELECT 'f1_macro', (2 * tp / (2 * tp + fp + fn) + 2 * tn / (2 * tn + fp + fn)) / 2 FROM c
+      UNION ALL SELECT 'roc_auc', sum(pos * (below + neg / 2.0)) / (any_value(p) * CAST(any_value(n) AS DOUBLE)) FROM w
+      UNION ALL SELECT 'mean_latency_ms', avg(value) FROM events
+      UNION ALL SELECT 'p95_latency_ms', quantile_cont(value, 0.95) FROM events),
+    l(metric, op, "limit") AS (VALUES {', '.join(f"('{m}', '{o}', CAST({v} AS DOUBLE))" for m, o, v in GATE)}),
+    g AS (SELECT metric, op, "limit", round(value, 4) AS actual,
+      coalesce(CASE WHEN op = '>=' THEN value >= "limit" ELSE value <= "limit" END, false) AS passed FROM l LEFT JOIN m USING (metric))"""
 
 
-@query(
-    f"""WITH {SCORED_SQL}, m AS (SELECT 'accuracy' AS metric, avg(CAST((score >= 0.5) = (label = 1) AS INTEGER)) AS value FROM scored
-      UNION ALL SELECT 'mean_latency_ms', avg(value) FROM events
-      UNION ALL SELECT 'p95_latency_ms', quantile_cont(value, 0.95) FROM events
-      UNION ALL SELECT 'f1_macro', avg(label) FROM scored),
-    l(metric, op, "limit") AS (VALUES {', '.join(f"('{m}', '{o}', CAST({v} AS DOUBLE))" for m, o, v in GATE)})
-    SELECT metric, op, "limit", round(value, 4) AS actual,
-    coalesce(CASE WHEN op = '>=' THEN value >= "limit" ELSE value <= "limit" END, false) AS passed
-    FROM l LEFT JOIN m USING (metric)"""
-)
+@query(f"WITH {GATE_SQL} SELECT * FROM g")
 def quality_gate(spark, sf):
     df = scored(spark, sf)
-    hit = ((F.col("score") >= 0.5) == (F.col("label") == 1)).cast("int")
+    hits = df.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+    rates = metrics.classification_metrics(hits, "label", "prediction").select("accuracy", "f1_macro")
+    area = metrics.ranking_metrics(df, "label", "score").select(F.col("auc").alias("roc_auc"))
     latency = eda.latency_summary(load(spark, sf, "events"), "value")
-    wide = df.agg(F.avg(hit).alias("accuracy"), F.avg("label").alias("f1_macro"))
-    values = eda.melt(wide, [], ["accuracy", "f1_macro"]).unionByName(
-        eda.melt(latency.select(F.col("mean_ms").alias("mean_latency_ms"), F.col("p95_ms").alias("p95_latency_ms")), [], ["mean_latency_ms", "p95_latency_ms"])
-    )
-    return governance.quality_gate(values, GATE)
+    times = latency.select(F.col("mean_ms").alias("mean_latency_ms"), F.col("p95_ms").alias("p95_latency_ms"))
+    values = eda.melt(rates, [], rates.columns).unionByName(eda.melt(area, [], area.columns))
+    return governance.quality_gate(values.unionByName(eda.melt(times, [], times.columns)), GATE)
 
 
-@query("SELECT 'FAILED' AS status, CAST(2 AS BIGINT) AS checks, CAST(CASE WHEN avg(value) > 1 THEN 1 ELSE 0 END AS BIGINT) AS failed FROM events")
+@query(f"WITH {GATE_SQL} SELECT CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END AS status, count(*) AS checks, count(*) FILTER (NOT passed) AS failed FROM g")
 def gate_status(spark, sf):
-    row = load(spark, sf, "events").agg(F.avg("value").alias("mean"), F.max("value").alias("top"))
-    return governance.gate_status(governance.quality_gate(eda.melt(row, [], ["mean", "top"]), (("mean", "<=", 1.0), ("top", ">=", 1.0))))
+    return governance.gate_status(quality_gate(spark, sf))
+
+
+HOLES_SQL = """holes AS (SELECT l_orderkey // 2 AS id, CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN 'nan'::DOUBLE
+    ELSE score END AS p FROM scored)"""
+
+
+@query(
+    f"""WITH {SCORED_SQL}, {HOLES_SQL}, h AS (SELECT id, CASE WHEN NOT isnan(p) THEN p END AS p FROM holes)
+    SELECT id, CAST(p >= 0.34 AS INTEGER) AS prediction, round(p, 4) AS probability,
+    CASE WHEN p >= 0.34 THEN 'Survived' WHEN p < 0.34 THEN 'Did Not Survive' END AS status,
+    CASE WHEN p >= 0.7 THEN 'High' WHEN p >= 0.4 THEN 'Moderate' WHEN p < 0.4 THEN 'Low' END AS risk_level FROM h"""
+)
+def decisions_without_score(spark, sf):
+    key = F.col("l_orderkey")
+    p = F.when(key % 7 != 0, F.when(key % 11 == 0, F.lit(float("nan"))).otherwise(F.col("score")))
+    return scoring.decide(scored(spark, sf).select(F.floor(key / 2).alias("id"), p.alias("p")), "id", "p", 0.34)
 
 
 @query(

@@ -152,18 +152,28 @@ def sliding_psi(spark, sf):
     return _psi_out(windows.window_psi(events, "ts", "value", baseline, F.window("ts", "2 days", "1 day")))
 
 
-@query(
-    """WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR
-        OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS fresh FROM events),
-    s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM g),
-    t AS (SELECT user_id, session, count(*) AS n FROM s GROUP BY 1, 2)
-    SELECT user_id, count(*) AS sessions, CAST(sum(n) AS BIGINT) AS n FROM t GROUP BY user_id"""
-)
+SESSIONS = """WITH q AS (SELECT list_sort(list_distinct(quantile_cont(value, [0,.1,.2,.3,.4,.5,.6,.7,.8,.9,1]))) AS e FROM events),
+    binned AS (SELECT user_id, ts, len([x FOR x IN e[2:-2] IF x <= value]) AS bin, len(e) - 1 AS k FROM events, q),
+    base AS (SELECT bin, count(*) AS r FROM binned GROUP BY bin),
+    g AS (SELECT *, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR
+        OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS fresh FROM binned),
+    s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM g),
+    per AS (SELECT user_id, session, bin, count(*) AS c FROM s GROUP BY ALL),
+    sizes AS (SELECT user_id, session, min(ts) AS began, count(*) AS n, any_value(k) AS k FROM s GROUP BY ALL),
+    cells AS (SELECT z.*, (base.r / (SELECT count(*) FROM events) + 1e-4) / (1 + k * 1e-4) AS r,
+        (coalesce(per.c, 0) / n + 1e-4) / (1 + k * 1e-4) AS q
+      FROM sizes z CROSS JOIN base LEFT JOIN per ON per.user_id = z.user_id AND per.session = z.session AND per.bin = base.bin)
+    SELECT user_id, strftime(began, '%Y-%m-%d %H:%M:%S') AS window_start, n,
+      round(CASE WHEN n >= 10 THEN least(greatest(sum((q - r) * ln(q / r)), 0), 10) ELSE 0 END, 6) AS psi
+    FROM cells GROUP BY user_id, session, began, n"""
+
+
+@query(SESSIONS)
 def session_psi(spark, sf):
     events = windows.event_time(load(spark, sf, "events"), "ts")
     baseline = drift.psi_baseline(events, "value")
     sessions = windows.window_psi(events, "ts", "value", baseline, F.session_window("ts", "6 hours"), ["user_id"])
-    return sessions.groupBy("user_id").agg(F.count("psi").alias("sessions"), F.sum("n").alias("n"))
+    return r6(sessions.select("user_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n", "psi"))
 
 
 @query(
