@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftloom.functions.columns import NUMERIC, bucket_index, col, lookup, nan_to_null, p_value_text
@@ -22,7 +23,8 @@ LIMITS = DriftLimits()
 class Pair:
     """Both sides in one frame, with the shared columns and the row and missing counts of each side.
 
-    `values` holds the value counts of the numeric columns: (column, bucket, value, n_ref, n_cur).
+    `values` holds the value counts of the numeric columns: (column, bucket, value, n_ref, n_cur). With a fitted
+    reference, `rows` holds the current side only, and its category counts and PSI edges come along.
     """
 
     rows: DataFrame
@@ -30,6 +32,8 @@ class Pair:
     categorical: list[str]
     values: DataFrame | None
     counts: dict[str, int]
+    categories: DataFrame | None = None
+    edges: dict[str, list[float]] | None = None
 
     def present(self, side: str, c: str) -> int:
         return self.counts[f"{side}_rows"] - self.counts[f"{side}_missing_{c}"]
@@ -70,6 +74,102 @@ def pair_up(
     return Pair(rows, numeric, categorical, values, found.extras)
 
 
+def _side_counts(rows: DataFrame, cols: Sequence[str], side: str) -> dict[str, Column]:
+    return {f"{side}_rows": F.count(F.lit(1))} | {f"{side}_missing_{c}": F.count_if(is_missing(rows, c)) for c in cols}
+
+
+def _cells(rows: DataFrame, categorical: Sequence[str]) -> DataFrame:
+    lines = [F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in categorical]
+    return rows.select(F.inline(F.array(*lines))).groupBy("column", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@dataclass(frozen=True)
+class Reference:
+    """A reference table reduced to what drift needs: per column its value or category counts, edges, and row counts.
+
+    Fitted once and saved; a batch that is compared with it reads no reference row again.
+    """
+
+    numeric: list[str]
+    categorical: list[str]
+    splits: dict[str, list[float]]
+    edges: dict[str, list[float]]
+    counts: dict[str, int]
+    values: DataFrame | None  # (column, [bucket,] value, n_ref)
+    categories: DataFrame | None  # (column, category, n)
+
+    def save(self, path: str) -> None:
+        """Write the tables and, as one row of JSON, the rest."""
+        facts = json.dumps({k: getattr(self, k) for k in ("numeric", "categorical", "splits", "edges", "counts")})
+        spark = (self.values if self.values is not None else self.categories).sparkSession
+        spark.createDataFrame([(facts,)], "facts string").write.mode("overwrite").parquet(f"{path}/facts")
+        for name in ("values", "categories"):
+            if getattr(self, name) is not None:
+                getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load_reference(spark: SparkSession, path: str) -> Reference:
+    facts = json.loads(spark.read.parquet(f"{path}/facts").first()["facts"])
+    values = spark.read.parquet(f"{path}/values") if facts["numeric"] else None
+    return Reference(**facts, values=values, categories=spark.read.parquet(f"{path}/categories") if facts["categorical"] else None)
+
+
+def fit_reference(
+    reference: DataFrame,
+    features: Sequence[str] | None = None,
+    limits: DriftLimits = LIMITS,
+    rows_per_bucket: int = ecdf.ROWS_PER_BUCKET,
+) -> Reference:
+    """Reduce a reference table: one pass for split points and row counts, one for the value counts."""
+    cols = common_columns(reference, reference, features)
+    numeric = [c for c in cols if isinstance(reference.schema[c].dataType, NUMERIC)]
+    categorical = [c for c in cols if c not in numeric]
+    rows = reference.select(*[F.col(c).cast("double" if c in numeric else "string").alias(c) for c in cols])
+    found = ecdf.profile(rows, numeric, _side_counts(rows, cols, "ref"), rows_per_bucket)
+    values = durable(ecdf.value_counts(rows, numeric, found.splits, {"n_ref": F.lit(1)})) if numeric else None
+    categories = durable(_cells(rows, categorical)) if categorical else None
+    fitted = Reference(numeric, categorical, found.splits, {}, found.extras, values, categories)
+    edges = psi_edges(Pair(rows, numeric, categorical, values, found.extras), limits) if numeric else {}
+    return replace(fitted, edges=edges)
+
+
+def pair_with(reference: Reference, current: DataFrame) -> Pair:
+    """Pair a fitted reference with a current table: only the current rows are read and counted."""
+    numeric = [c for c in reference.numeric if c in current.columns]
+    categorical = [c for c in reference.categorical if c in current.columns]
+    cols = [*numeric, *categorical]
+    rows = current.select(*[F.col(c).cast("double" if c in numeric else "string").alias(c) for c in cols])
+    sides = _side_counts(rows, cols, "cur")
+    got = rows.agg(*[v.alias(k) for k, v in sides.items()]).first().asDict()
+    values = categories = None
+    if numeric:
+        new = ecdf.value_counts(rows, numeric, reference.splits, {"n_cur": F.lit(1)})
+        old = reference.values.where(F.col("column").isin(numeric))
+        if "bucket" in old.columns and "bucket" not in new.columns:
+            new = new.withColumn("bucket", F.lit(0))
+        both = old.withColumn("n_cur", F.lit(0).cast("long")).unionByName(new.withColumn("n_ref", F.lit(0).cast("long")))
+        keys = [c for c in ("column", "bucket", "value") if c in both.columns]
+        values = durable(both.groupBy(*keys).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")))
+    if categorical:
+        old = reference.categories.where(F.col("column").isin(categorical))
+        both = old.select("column", "category", F.col("n").alias("c_ref"), F.lit(0).cast("long").alias("c_cur")).unionByName(
+            _cells(rows, categorical).select("column", "category", F.lit(0).cast("long").alias("c_ref"), F.col("n").alias("c_cur"))
+        )
+        categories = both.groupBy("column", "category").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    return Pair(rows, numeric, categorical, values, reference.counts | got, categories, reference.edges)
+
+
+def _paired(
+    reference: DataFrame | Reference,
+    current: DataFrame,
+    features: Sequence[str] | None = None,
+    rows_per_bucket: int = ecdf.ROWS_PER_BUCKET,
+) -> Pair:
+    if isinstance(reference, Reference):
+        return pair_with(reference, current)
+    return pair_up(reference, current, features, rows_per_bucket)
+
+
 def _both_sides() -> dict[str, Column]:
     return {"n_ref": F.col(SIDE).cast("int"), "n_cur": (~F.col(SIDE)).cast("int")}
 
@@ -79,6 +179,8 @@ def psi_edges(pair: Pair, limits: DriftLimits = LIMITS) -> dict[str, list[float]
 
     At most eleven numbers per column come to the driver.
     """
+    if pair.edges is not None:
+        return pair.edges
     probs = {}
     for c in pair.numeric:
         bins = min(limits.psi_bins, max(limits.psi_min_bins, pair.present("ref", c) // limits.psi_rows_per_bin))
@@ -198,6 +300,8 @@ def numeric_report(pair: Pair, limits: DriftLimits = LIMITS) -> DataFrame:
 
 def category_counts(pair: Pair) -> DataFrame:
     """(column, category, c_ref, c_cur); a missing value is a category (NULL) of its own."""
+    if pair.categories is not None:
+        return pair.categories
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in pair.categorical]
     sides = _both_sides()
     return (
@@ -264,15 +368,15 @@ def categorical_report(pair: Pair, limits: DriftLimits = LIMITS) -> DataFrame:
 
 
 def drift_report(
-    reference: DataFrame,
+    reference: DataFrame | Reference,
     current: DataFrame,
     features: Sequence[str] | None = None,
     limits: DriftLimits = LIMITS,
     rows_per_bucket: int = ecdf.ROWS_PER_BUCKET,
     pair: Pair | None = None,
 ) -> DataFrame:
-    """One row per shared column, numeric and categorical."""
-    pair = pair or pair_up(reference, current, features, rows_per_bucket)
+    """One row per shared column, numeric and categorical. A fitted reference has its columns chosen already."""
+    pair = pair or _paired(reference, current, features, rows_per_bucket)
     parts = []
     if pair.numeric:
         parts.append(numeric_report(pair, limits))
@@ -315,8 +419,15 @@ def display_table(report: DataFrame) -> DataFrame:
     ).orderBy("column")
 
 
+def prediction_rows(df: DataFrame, probability: str = "probability", prediction: str = "prediction") -> DataFrame:
+    """The columns that prediction drift looks at. Fit a baseline on these."""
+    return df.select(
+        F.col(probability).cast("double").alias("probability"), F.col(prediction).cast("string").alias("decision")
+    )
+
+
 def prediction_drift(
-    baseline: DataFrame,
+    baseline: DataFrame | Reference,
     current: DataFrame,
     probability: str = "probability",
     prediction: str = "prediction",
@@ -324,16 +435,12 @@ def prediction_drift(
 ) -> DataFrame:
     """One row: drift of the scores and of the decided class, with a severity.
 
-    Both inputs hold a probability and a 0/1 prediction column.
+    Both inputs hold a probability and a 0/1 prediction column; the baseline may be fitted on `prediction_rows`.
     """
-    spark = baseline.sparkSession
-
-    def shaped(df: DataFrame) -> DataFrame:
-        return df.select(
-            F.col(probability).cast("double").alias("probability"), F.col(prediction).cast("string").alias("decision")
-        )
-
-    pair = pair_up(shaped(baseline), shaped(current))
+    spark = current.sparkSession
+    if not isinstance(baseline, Reference):
+        baseline = prediction_rows(baseline, probability, prediction)
+    pair = _paired(baseline, prediction_rows(current, probability, prediction))
     n_ref, n_cur = pair.counts["ref_rows"], pair.counts["cur_rows"]
     schema = (
         "sample_size long, baseline_samples long, psi double, ks_statistic double, p_value double, "

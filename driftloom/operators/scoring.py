@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.functions.columns import nan_to_null
+from driftloom.functions.columns import col, nan_to_null
 from driftloom.specs import BUFFER_ROWS, RISK_HIGH, RISK_MODERATE
 
 

@@ -48,19 +48,20 @@ def scoring_sink(
 
 
 def data_drift_sink(
-    reference: DataFrame, reports: str, features: Sequence[str] | None = None, limits: DriftLimits = DriftLimits()
+    reference: DataFrame | drift.Reference, reports: str, features: Sequence[str] | None = None, limits: DriftLimits = DriftLimits()
 ) -> Sink:
-    """A drift report of every arriving batch against the reference table."""
+    """A drift report of every arriving batch against the reference, which is fitted once if it is a table."""
+    fitted = reference if isinstance(reference, drift.Reference) else drift.fit_reference(reference, features, limits)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            write_batch(drift.drift_report(reference, durable(batch), features, limits), reports, batch_id)
+            write_batch(drift.drift_report(fitted, durable(batch), limits=limits), reports, batch_id)
 
     return sink
 
 
 def prediction_drift_sink(
-    baseline: DataFrame,
+    baseline: DataFrame | drift.Reference,
     score: Callable[[DataFrame], DataFrame],
     buffers: str,
     statuses: str,
@@ -71,8 +72,11 @@ def prediction_drift_sink(
     """Keep the last n scores and compare them with the baseline after every batch.
 
     The buffer of a batch is made from the buffer before it, so a batch reads n old rows however long
-    the stream has run. Scores carry `probability`, `prediction` and the order columns.
+    the stream has run. Scores carry `probability`, `prediction` and the order columns. A baseline table is
+    reduced once (`drift.fit_reference` of `drift.prediction_rows`); its rows are not read again.
     """
+    if not isinstance(baseline, drift.Reference):
+        baseline = drift.fit_reference(drift.prediction_rows(baseline), limits=limits)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

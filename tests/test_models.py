@@ -237,3 +237,29 @@ def test_metrics_of_an_empty_buffer(spark):
     empty = spark.createDataFrame([], "id long, probability double, prediction int")
     row = inference_metrics(empty, ["id"], 0.39).first()
     assert row["buffer_status"] == "AWAITING_INFERENCES" and row["average_probability"] == 0.0 and row["total_inferences"] == 0
+
+
+def test_rows_with_repeated_and_missing_ids_stay_as_they_are(spark):
+    """The label stays on its row: as many training rows as records, each with its own label."""
+    from driftloom.plans.features import FeatureBuilder
+
+    kinds = "PassengerId int, Pclass int, Name string, Sex string, Age double, SibSp int, Parch int, Ticket string, Fare double, Cabin string, Embarked string, Survived int"
+    rows = [
+        (1 if i % 6 == 0 else None if i % 6 == 1 else i, i % 3 + 1, f"N{i}, Mr. X", "male" if i % 2 else "female", float(i % 60) if i % 7 else None,
+         i % 3, i % 2, f"PC {i % 9}", float(i) if i % 10 else None, None, "SCQ"[i % 3], int(i % 4 == 0))
+        for i in range(60)
+    ]
+    records = spark.createDataFrame(rows, kinds)
+    for leaky in (False, True):
+        _, out = FeatureBuilder(folds=3).fit_transform(records, leaky=leaky)
+        got = out.select("PassengerId", "Survived").collect()
+        key = lambda x: (str(x[0]), x[1])
+        assert sorted(map(tuple, got), key=key) == sorted(((r[0], r[-1]) for r in rows), key=key)
+
+
+def test_no_score_is_no_decision(spark):
+    from driftloom.operators.scoring import decide
+
+    df = spark.createDataFrame([(1, 0.9), (1, None), (2, float("nan")), (3, 0.1)], "id long, p double")
+    got = sorted(map(tuple, decide(df, "id", "p", 0.5).collect()), key=str)
+    assert got == sorted([(1, 1, 0.9, "Survived", "High"), (1, None, None, None, None), (2, None, None, None, None), (3, 0, 0.1, "Did Not Survive", "Low")], key=str)

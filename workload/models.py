@@ -14,8 +14,8 @@ from workload.fixtures import gaps, signal_label
 from workload.registry import load, query, r6
 
 LOGISTIC = Learner("logistic", "logistic", {"regParam": 0.01, "maxIter": 20})
-BOOSTED = Learner("boosted", "gbt", {"maxIter": 3, "maxDepth": 3})
-FOREST = Learner("forest", "forest", {"numTrees": 8, "maxDepth": 4})
+BOOSTED = Learner("boosted", "gbt", {"maxIter": 20, "maxDepth": 3})
+FOREST = Learner("forest", "forest", {"numTrees": 100, "maxDepth": 5})
 TEXT_FEATURES = ["n_chars", "words", "lines", "digit_share"]
 
 
@@ -28,21 +28,25 @@ def _items(spark, sf):
     return VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(rows)
 
 
-def _texts(spark, sf):
-    """Labelled documents with simple counts over their whole texts."""
-    docs, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
+def _counted(docs, *keep):
+    """Simple counts over whole texts."""
     text = F.col("text")
     digits = F.length(F.regexp_replace(text, "[^0-9]", ""))
-    rows = docs.join(labels, "doc_id").select(
+    rows = docs.select(
         "doc_id",
-        F.col("quality").alias("label"),
+        *keep,
         F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split(text, r"\s+")).cast("double").alias("words"),
         F.size(F.split(text, "\n")).cast("double").alias("lines"),
         (digits / F.greatest(F.col("n_chars"), F.lit(1))).alias("digit_share"),
     )
-    vectors = VectorAssembler(inputCols=TEXT_FEATURES, outputCol="features").transform(rows)
-    return durable(folds.stratified_folds(vectors, "label", "doc_id", 3))
+    return VectorAssembler(inputCols=TEXT_FEATURES, outputCol="features").transform(rows)
+
+
+def _texts(spark, sf):
+    """Labelled documents with their counts."""
+    docs = load(spark, sf, "documents").join(load(spark, sf, "labels"), "doc_id")
+    return durable(folds.stratified_folds(_counted(docs, F.col("quality").alias("label")), "label", "doc_id", 3))
 
 
 @query()
@@ -54,9 +58,10 @@ def oof_scores(spark, sf):
 
 @query()
 def fold_mean_scores(spark, sf):
-    rows = _texts(spark, sf)
-    models = oof.fold_models(rows, lambda: LOGISTIC.estimator(), "fold", 3)
-    return r6(oof.mean_of_folds(rows, models, ["doc_id"]))
+    """Documents without a label, scored by the mean of the fold models."""
+    models = oof.fold_models(_texts(spark, sf), lambda: LOGISTIC.estimator(), "fold", 3)
+    unlabelled = load(spark, sf, "documents").join(load(spark, sf, "labels"), "doc_id", "left_anti")
+    return r6(oof.mean_of_folds(_counted(unlabelled), models, ["doc_id"]))
 
 
 @query()
@@ -76,7 +81,7 @@ def voting(spark, sf):
 @query()
 def stacking_weights(spark, sf):
     rows = _texts(spark, sf).drop("fold")
-    model = stacking.StackingEstimator([LOGISTIC, BOOSTED, FOREST], "doc_id", folds=2).fit(rows)
+    model = stacking.StackingEstimator([LOGISTIC, BOOSTED, FOREST], "doc_id", folds=5).fit(rows)
     return r6(model.weights(spark), 4)
 
 
@@ -126,8 +131,7 @@ def model_benchmark(spark, sf):
 def shap_sampled(spark, sf):
     rows = _texts(spark, sf)
     model = LOGISTIC.estimator().fit(rows)
-    background = rows.orderBy(F.xxhash64("doc_id")).limit(50)
-    return r6(attribution.shapley_sampled(rows.drop("features"), model, TEXT_FEATURES, "doc_id", background, 2))
+    return r6(attribution.shapley_sampled(rows.drop("features"), model, TEXT_FEATURES, "doc_id", rows, 4))
 
 
 @query()
