@@ -27,13 +27,15 @@ class Banding:
     """permutations give two values each; a band has two minima and two maxima of two permutations.
 
     64 permutations are 32 bands: a pair of similarity 0.75 shares none with a probability of 5e-6.
-    similarity: hundredths that the size of the intersection must be of the union's.
+    similarity: hundredths that the size of the intersection must be of the union's. turns: rounds at most in which
+    components that share a bucket are tried to be joined by single pairs, before all pairs that are still possible are.
     """
 
     permutations: int = 64
     words: int = 5
     similarity: int = 75
     seed: int = 11
+    turns: int = 6
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,14 +158,55 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, how: Banding) -> DataFrame:
     return both.where(100 * shared >= how.similarity * union).select("u", "v")
 
 
+def _edges(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
+
+
+def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that still hold several components, with their component."""
+    named = members.join(labels, members["key"] == labels["node"], "left").select(
+        "band", "key", "n", F.coalesce("component", "key").alias("component")
+    )
+    several = named.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+    return named.join(several.select("band"), "band", "left_semi")
+
+
+def _between(placed: DataFrame, turn: int) -> DataFrame:
+    """One pair per further component of a bucket: drawn members of it and of the component drawn first in the bucket."""
+    draw = F.struct(F.xxhash64(F.lit(turn), "key").alias("h"), "key")
+    drawn = placed.groupBy("band", "component").agg(F.min(draw)["key"].alias("key"))
+    lead = F.struct(F.xxhash64(F.lit(turn), "component").alias("h"), "key")
+    first = drawn.groupBy("band").agg(F.min(lead)["key"].alias("centre"))
+    pairs = drawn.join(first, "band").where("key <> centre")
+    return pairs.select(F.least("key", "centre").alias("u"), F.greatest("key", "centre").alias("v")).distinct()
+
+
+def _possible(placed: DataFrame, sets: DataFrame, how: Banding, steps: Steps) -> DataFrame:
+    """placed with `usable`: shingles that some other member of these buckets has too. Nothing else can be shared.
+
+    A member is left out of a bucket in which even the smallest set is too large for what the member can share.
+    """
+    placed = steps.keep(placed)
+    held = sets.join(placed.select("key").distinct(), "key", "left_semi").select("key", F.explode("set").alias("shingle"))
+    own = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("key")).where("c = 1")
+    single = own.groupBy("key").agg(F.count(F.lit(1)).alias("single"))
+    usable = placed.join(single, "key", "left").withColumn("usable", F.col("n") - F.coalesce("single", F.lit(0))).drop("single")
+    least = placed.groupBy("band").agg(F.min("n").alias("smallest"))
+    enough = F.expr(f"100 * usable >= {how.similarity} * (n + smallest - usable)")
+    kept = steps.keep(usable.join(least, "band").where(enough).drop("smallest"))
+    steps.drop(placed)
+    return kept
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Banding | None = None) -> DataFrame:
     """(key, n_shingles, component_id, kept) for each row of docs.
 
     component_id is the smallest key reachable over links, itself included; kept marks rows whose key it is. Rows without words
     link with nothing; a null key stays null and takes no part in the minimum of its component unless it is alone. Rows
-    with equal sets are one class. Within a bucket each class is first compared with one member; classes of a bucket
-    that are still in different components are then compared with each other, so links are never lost to the star, and
-    pairs within one component, which could not change the result, are not made.
+    with equal sets are one class. Within a bucket each class is first compared with one member, then drawn members of its
+    components with each other. Classes of a bucket that are still in different components are at last all compared,
+    but for pairs that cannot link because too many of their shingles stand in no other of these sets. So no link that
+    could change a component is lost, and pairs within one component are not made.
     """
     how = how or Banding()
     steps = Steps(docs.sparkSession)
@@ -182,15 +225,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     full = chosen.select("node", keyed_set(F.col("text"), how).alias("s")).where("s.key = node")
     sets = steps.keep(full.select("node", "s.set").dropDuplicates(["node"]).withColumnRenamed("node", "key"))
 
-    sure = steps.keep(_confirmed(stars, sets, how))
-    labels = steps.keep(components(sure, steps))
-    placed = members.join(labels, members["key"] == labels["node"], "left").select(
-        "band", "key", "n", F.coalesce("component", "key").alias("component")
-    )
-    mixed_up = placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    placed = steps.keep(placed.join(mixed_up.select("band"), "band", "left_semi"))
-    mine, other = placed.alias("l"), placed.alias("r")
-    fits = F.expr(f"100 * least(l.n, r.n) >= {how.similarity} * greatest(l.n, r.n)")
+    links = steps.keep(_confirmed(stars, sets, how))
+    labels = steps.keep(components(links, steps))
+    for turn in range(1, how.turns + 1):
+        placed = _placed(members, labels)
+        more = steps.keep(_confirmed(_between(placed, turn), sets, how))
+        if more.isEmpty():
+            break
+        joined = steps.keep(components(_edges(labels).union(more), steps))
+        steps.drop(labels, more)
+        labels = joined
+    left = _possible(_placed(members, labels), sets, how, steps)
+    mine, other = left.alias("l"), left.alias("r")
+    shared = "least(l.usable, r.usable)"
+    fits = F.expr(f"100 * {shared} >= {how.similarity} * (l.n + r.n - {shared})")
     cross = (
         mine.join(other, F.expr("l.band = r.band and l.component < r.component") & fits)
         .select(F.col("l.key").alias("u"), F.col("r.key").alias("v"))
@@ -199,14 +247,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     more = steps.keep(_confirmed(cross, sets, how))
     joined = labels
     if not more.isEmpty():
-        links = labels.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more)
-        joined = steps.keep(components(links, steps))
+        joined = steps.keep(components(_edges(labels).union(more), steps))
     named = classes.join(joined, classes["key"] == joined["node"], "left").select(
         "key", "first", F.coalesce("component", "key").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     answer = steps.keep(named.join(smallest, "component").select(F.col("key").alias("class"), "component_id"))
-    steps.drop(sets, members, placed, sure, labels, more, classes)
+    steps.drop(sets, members, links, more, left, classes)
     out = signed.join(answer, signed["key"] == answer["class"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(
