@@ -282,9 +282,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", how
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(whole).alias("hash"), whole.alias("text")).where(F.octet_length(whole) >= how.length)
     found = rows.select("id", "hash", F.explode(anchors(F.col("text"), how)).alias("a")).select("id", "hash", "a.*")
     found = steps.keep(found)
-    twice = found.groupBy("core").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("core")
+    # stored, so that the join is one of two plain tables, which is split where an anchor stands very often
+    twice = steps.keep(found.groupBy("core").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("core"))
     kept = steps.keep(found.join(twice, "core", "left_semi"))
-    steps.drop(found)
+    steps.drop(found, twice)
     same = ["core", "context", "low", "high"]
     piece = kept.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash", "centre")).alias("at"))
     piece = steps.keep(piece.withColumn("piece", F.monotonically_increasing_id()))
