@@ -8,19 +8,26 @@ from pyspark.sql import functions as F
 from driftloom.llm.common import Steps
 
 
-def _large(links: DataFrame) -> DataFrame:
-    """Every node's larger neighbours are linked to its smallest neighbour (itself counts)."""
+def _large(links: DataFrame, steps: Steps) -> DataFrame:
+    """Every node's larger neighbours are linked to its smallest neighbour (itself counts).
+
+    Minima are stored before they are joined: only a join of two plain tables is split where a node has very many links.
+    """
     both = links.union(links.select("v", "u"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = steps.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+    out = steps.keep(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    steps.drop(least)
+    return out
 
 
-def _small(links: DataFrame) -> DataFrame:
+def _small(links: DataFrame, steps: Steps) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = steps.keep(down.groupBy("u").agg(F.min("v").alias("m")))
     moved = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    out = steps.keep(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
+    steps.drop(least)
+    return out
 
 
 def components(links: DataFrame, steps: Steps) -> DataFrame:
@@ -35,8 +42,9 @@ def components(links: DataFrame, steps: Steps) -> DataFrame:
     sign = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
     mark = None
     while True:
-        after = steps.keep(_small(_large(now)))
-        steps.drop(now)
+        large = _large(now, steps)
+        after = _small(large, steps)
+        steps.drop(now, large)
         now = after
         new = now.agg(sign.alias("s")).first()["s"]
         if new == mark:

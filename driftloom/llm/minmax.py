@@ -162,13 +162,14 @@ def _edges(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
 
-def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _placed(members: DataFrame, labels: DataFrame, steps: Steps) -> DataFrame:
     """Members of buckets that still hold several components, with their component."""
     named = members.join(labels, members["key"] == labels["node"], "left").select(
         "band", "key", "n", F.coalesce("component", "key").alias("component")
     )
+    named = steps.keep(named)
     several = named.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    return named.join(several.select("band"), "band", "left_semi")
+    return named.join(steps.keep(several.select("band")), "band", "left_semi")
 
 
 def _between(placed: DataFrame, turn: int) -> DataFrame:
@@ -216,6 +217,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     classes = steps.keep(classes.select("key", "first", "s.n", "s.bands"))
     banded = classes.select("key", "n", F.explode("bands").alias("band"))
     centres = banded.groupBy("band").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    # stored, so that the join is one of two plain tables, which is split where a bucket is very large
+    centres = steps.keep(centres)
     members = steps.keep(banded.join(centres, "band").select("band", "key", "n", "centre"))
     stars = members.where("key <> centre").select(F.col("centre").alias("u"), F.col("key").alias("v")).distinct()
 
@@ -228,14 +231,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     links = steps.keep(_confirmed(stars, sets, how))
     labels = steps.keep(components(links, steps))
     for turn in range(1, how.turns + 1):
-        placed = _placed(members, labels)
+        placed = _placed(members, labels, steps)
         more = steps.keep(_confirmed(_between(placed, turn), sets, how))
         if more.isEmpty():
             break
         joined = steps.keep(components(_edges(labels).union(more), steps))
         steps.drop(labels, more)
         labels = joined
-    left = _possible(_placed(members, labels), sets, how, steps)
+    left = _possible(_placed(members, labels, steps), sets, how, steps)
     mine, other = left.alias("l"), left.alias("r")
     shared = "least(l.usable, r.usable)"
     fits = F.expr(f"100 * {shared} >= {how.similarity} * (l.n + r.n - {shared})")
