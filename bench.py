@@ -47,6 +47,9 @@ HEADLINE = {
     "last_n_metrics": "events",
     "promote_history": "events",
     "oof_scores": "lineitem",
+    "psi_saved_reference": "lineitem",
+    "feature_builder": "customer",
+    "stream_score": "events",
 }
 
 

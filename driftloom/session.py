@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "driftloom") -> SparkSession:
     """Session for tests and the bench. On a cluster, pass your own session to the operators."""
@@ -44,5 +49,21 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{durable_dir(spark)}/{uuid.uuid4().hex}"
+    if (paths := _written.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that durable() writes inside are removed at the end. For work whose result has been written elsewhere by then."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftloom.operators import contract, drift, scoring
-from driftloom.session import durable
+from driftloom.session import durable, passing
 from driftloom.specs import BUFFER_ROWS, DriftLimits, FieldRule
 
 Sink = Callable[[DataFrame, int], None]
@@ -40,7 +40,8 @@ def scoring_sink(
     def sink(batch: DataFrame, batch_id: int) -> None:
         checked = contract.check(contract.normalise(batch, rules, fill), rules, cross)
         checked = checked.persist()
-        write_batch(score(contract.valid_rows(checked)), predictions, batch_id)
+        with passing(batch.sparkSession):
+            write_batch(score(contract.valid_rows(checked)), predictions, batch_id)
         write_batch(contract.quarantine(checked), rejects, batch_id)
         checked.unpersist()
 
@@ -54,7 +55,9 @@ def data_drift_sink(
     fitted = reference if isinstance(reference, drift.Reference) else drift.fit_reference(reference, features, limits)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
+        with passing(batch.sparkSession):
+            if batch.isEmpty():
+                return
             write_batch(drift.drift_report(fitted, durable(batch), limits=limits), reports, batch_id)
 
     return sink
@@ -81,12 +84,13 @@ def prediction_drift_sink(
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         columns = [*order, "probability", "prediction"]
-        rows = score(batch).select(*columns)
-        if batch_id > 0:
-            rows = rows.unionByName(spark.read.parquet(f"{buffers}/batch_id={batch_id - 1}").select(*columns))
-        write_batch(scoring.recent(rows, order, n), buffers, batch_id)
-        kept = spark.read.parquet(f"{buffers}/batch_id={batch_id}")
-        write_batch(drift.prediction_drift(baseline, kept, limits=limits), statuses, batch_id)
+        with passing(spark):
+            rows = score(batch).select(*columns)
+            if batch_id > 0:
+                rows = rows.unionByName(spark.read.parquet(f"{buffers}/batch_id={batch_id - 1}").select(*columns))
+            write_batch(scoring.recent(rows, order, n), buffers, batch_id)
+            kept = spark.read.parquet(f"{buffers}/batch_id={batch_id}")
+            write_batch(drift.prediction_drift(baseline, kept, limits=limits), statuses, batch_id)
 
     return sink
 

@@ -97,3 +97,18 @@ def test_totals_and_replays(spark, arriving, tmp_path):
     assert sinks.read_batches(spark, out).agg(F.max("total_inferences")).first()[0] == 300
     twice = spark.createDataFrame([row(1, 1), row(1, 1), row(2, 2)], SCHEMA)
     assert windows.drop_replays(twice, ["id"]).count() == 2
+
+
+def test_a_batch_leaves_nothing_in_the_durable_folder(spark, tmp_path):
+    from pathlib import Path
+
+    from driftloom.session import durable_dir
+
+    rows = [(float(i % 31), "ab"[i % 2], i) for i in range(400)]
+    table = spark.createDataFrame(rows, "value double, kind string, n int")
+    sink = sinks.data_drift_sink(table, str(tmp_path / "reports"))
+    folder = Path(durable_dir(spark).removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()}
+    sink(table.limit(90), 0)
+    assert {p.name for p in folder.iterdir()} == before
+    assert sinks.read_batches(spark, str(tmp_path / "reports")).count() == 3
