@@ -154,7 +154,7 @@ class Scorer:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", how: Training | None = None) -> Network | None:
-    """Train on at most `how.sample` texts per language, chosen by a hash of the key; None if there is no labelled text.
+    """Train on at most `how.sample` texts per language, chosen by a hash of key and text; None if there is no labelled text.
 
     Only the bounded sample reaches the driver: the rate per language follows from one count, the rest is filtered in
     Spark. Rows with a null text or label are left out. Labels are taken in sorted order; the seed fixes the rest, so
@@ -166,7 +166,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     labels = tuple(sorted(counts))
     if not labels:
         return None
-    draw = F.pmod(F.xxhash64(F.lit(how.seed), F.col(key)), F.lit(1_000_000))
+    draw = F.pmod(F.xxhash64(F.lit(how.seed), F.col(key), F.col(text)), F.lit(1_000_000))
     wanted = F.lit(False)
     for name in labels:
         wanted = wanted | ((F.col(lang) == name) & (draw < int(min(1.0, how.sample / counts[name]) * 1_000_000) + 1))
@@ -175,7 +175,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
         F.col(lang).alias("lang"), draw.alias("draw"), F.col(text).substr(place, F.lit(how.excerpt)).alias("text")
     )
     kept: dict[str, list[tuple[int, str]]] = {name: [] for name in labels}
-    for r in sample.collect():
+    # whatever the keys are, no more rows than these reach the driver
+    for r in sample.orderBy("draw", "lang", "text").limit(4 * how.sample * len(labels)).collect():
         kept[r["lang"]].append((r["draw"], r["text"]))
     x, y = [], []
     for number, name in enumerate(labels):
