@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftloom.functions.columns import col
 from driftloom.functions.joins import lookup_join
+from driftloom.functions.numbering import numbered
 
 MISSING = "nan"
 
@@ -131,16 +132,29 @@ def effective_folds(df: DataFrame, label: str, folds: int) -> int:
 
 
 def freeze_categories(df: DataFrame, cols: Sequence[str], most: int = 10_000) -> dict[str, list[str]]:
-    """Sorted distinct values per column at fit.
+    """Sorted distinct values at fit, per column with at most `most` of them: those become columns of the wide form.
 
-    They become columns of the wide form, so a column with more than `most` of them is refused.
+    Wider columns are left out; `category_index` numbers their values in Spark instead.
     """
     cells = [F.struct(F.lit(c).alias("column"), as_category(c).alias("category")) for c in cols]
     distinct = df.select(F.inline(F.array(*cells))).distinct()
-    rows = distinct.limit(most * len(cols) + 1).collect()
-    if len(rows) > most * len(cols):
-        raise ValueError(f"more than {most} categories per column are too many for one-hot columns")
-    return {c: sorted(r["category"] for r in rows if r["column"] == c) for c in cols}
+    sizes = {r["column"]: r["n"] for r in distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    narrow = [c for c in cols if sizes.get(c, 0) <= most]
+    rows = distinct.where(F.col("column").isin(narrow)).collect()
+    return {c: sorted(r["category"] for r in rows if r["column"] == c) for c in narrow}
+
+
+def category_index(df: DataFrame, c: str) -> DataFrame:
+    """(category, n, index) at fit, numbered from 0 in the order of the values, for a column of any number of values."""
+    counts = df.groupBy(as_category(c).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    return numbered(counts, ["category"], "index")
+
+
+def apply_category_index(df: DataFrame, table: DataFrame, c: str, known_rows: int | None = None) -> DataFrame:
+    """Add <c>_index, the place of the one flag that would be 1 in the wide form; -1 for values not known at fit."""
+    keyed = df.withColumn("category", as_category(c))
+    joined = lookup_join(keyed, table, ["category"], "n", ["index"], df.columns, known_rows)
+    return joined.withColumn(f"{c}_index", F.coalesce("index", F.lit(-1))).drop("category", "index")
 
 
 def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], drop_first: bool = True) -> DataFrame:

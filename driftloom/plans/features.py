@@ -152,7 +152,7 @@ class FeatureBuilder(Estimator):
             state["prior"] = rows.agg(F.avg(F.col("__label").cast("double"))).first()[0]
         state["categories"] = encode.freeze_categories(rows, ONE_HOT_INPUTS)
         numeric = [*NUMERIC_OUTPUTS, *(["Age_is_na"] if state["age_flag"] else [])]
-        flags = [f"{c}_{v}" for c in ONE_HOT_INPUTS for v in state["categories"][c][1:]]
+        flags = [f"{c}_{v}" for c in ONE_HOT_INPUTS for v in state["categories"].get(c, [])[1:]]
         state["columns"] = [*numeric, *flags]
         return model, rows
 

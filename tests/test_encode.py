@@ -63,8 +63,19 @@ def test_one_hot_and_alignment(spark):
     assert encode.align(wide, ["c_nan", "more", "k"]).columns == ["c_nan", "more", "k"]
     with pytest.raises(ValueError):
         encode.select_columns(new, ["nope"], strict=True)
-    with pytest.raises(ValueError):
-        encode.freeze_categories(fit, ["c"], most=2)
+    assert encode.freeze_categories(fit, ["c", "k"], most=2) == {}
+    assert set(encode.freeze_categories(fit.where("k > 1"), ["c", "k"], most=2)) == {"c", "k"}
+
+
+@pytest.mark.parametrize("known", [None, 10])
+def test_wide_columns_are_numbered(spark, known):
+    fit = spark.createDataFrame([(f"v{i % 700:03d}",) for i in range(2000)] + [(None,)], "c string")
+    table = encode.category_index(fit, "c")
+    rows = {r["category"]: (r["index"], r["n"]) for r in table.collect()}
+    assert [rows[k][0] for k in sorted(rows)] == list(range(701)) and sum(n for _, n in rows.values()) == 2001
+    new = spark.createDataFrame([("v003",), ("zzz",), (None,)], "c string")
+    got = {r["c"]: r["c_index"] for r in encode.apply_category_index(new, table, "c", known).collect()}
+    assert got == {"v003": rows["v003"][0], "zzz": -1, None: rows["nan"][0]}
 
 
 def test_string_rules(spark):

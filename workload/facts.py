@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from driftloom.operators import contract, drift, folds, parse, scoring
+from driftloom.operators import contract, drift, encode, folds, parse, scoring
 from driftloom.plans import features, imputer, oof, stacking
 from driftloom.session import durable, durable_dir
 from workload import tabular  # noqa: F401  registers the SQL that is used again here
@@ -134,3 +134,14 @@ def tvd_chi2_saved_reference(spark, sf):
     pair = drift.pair_with(_saved(spark, reference), current)
     found = drift.category_distances(drift.category_counts(pair), pair)
     return found.withColumns({"tvd": F.round("tvd", 6), "statistic": F.round("statistic", 4), "unseen_share": F.round("unseen_share", 6)})
+
+
+@query(
+    """WITH c AS (SELECT o_clerk, row_number() OVER (ORDER BY o_clerk) - 1 AS i FROM (SELECT DISTINCT o_custkey::VARCHAR AS o_clerk FROM orders WHERE o_orderkey % 3 <> 0))
+    SELECT o_orderkey, coalesce(i, -1) AS o_custkey_index FROM orders LEFT JOIN c ON o_custkey::VARCHAR = o_clerk"""
+)
+def category_numbers(spark, sf):
+    """A column with very many values, numbered at fit on two thirds of the rows."""
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    table = encode.category_index(orders.where("o_orderkey % 3 <> 0"), "o_custkey")
+    return encode.apply_category_index(orders, table, "o_custkey").select("o_orderkey", "o_custkey_index")
