@@ -48,8 +48,8 @@ class Steps:
 BATCH_ROWS, ARROW_BYTES = 1000, 8 << 20
 
 
-def kernel(function, kind: str):
-    """An Arrow function on columns. Sets the session's batch limits once, unless the user has set others."""
+def small_batches() -> None:
+    """Set the session's Arrow batch limits, unless the user has set others."""
     conf = SparkSession.active().conf
     for name, default, value in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", BATCH_ROWS),
@@ -57,6 +57,11 @@ def kernel(function, kind: str):
     ):
         if conf.get(name, default) in (default, f"{default}b"):
             conf.set(name, str(value))
+
+
+def kernel(function, kind: str):
+    """An Arrow function on columns, in small batches."""
+    small_batches()
     return F.arrow_udf(function, kind)
 
 

@@ -14,12 +14,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import Steps
+from driftloom.functions.numbering import numbered
+from driftloom.llm.common import Steps, small_batches
 from driftloom.llm.components import components
+from driftloom.session import passing
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,10 @@ def _axes(classes: DataFrame, size: int, how: Grid) -> np.ndarray:
 
 
 def _blocks(classes: DataFrame, size: int, axes: np.ndarray, how: Grid) -> DataFrame:
-    """One row per sequence interval: block, low and high corner of its box, and its vectors as bytes."""
+    """One row per sequence interval: block, low and high corner of its box, and its vectors as bytes.
+
+    An interval is `how.block` neighbours in the order of all vectors, however many partitions sorted them.
+    """
     eps = math.sqrt(max(2 - 2 * how.cosine, 0.0)) or 1e-9
     k = axes.shape[1]
 
@@ -73,38 +77,27 @@ def _blocks(classes: DataFrame, size: int, axes: np.ndarray, how: Grid) -> DataF
                 parts = [*batch.columns, *[pa.array(place[:, i]) for i in range(k)]]
                 yield pa.RecordBatch.from_arrays(parts, ["node", "copies", "v", *[f"c{i}" for i in range(k)]])
 
-    def cut(batches):
-        part, nth = TaskContext.get().partitionId() << 32, 0
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            while rows >= how.block:
-                both = pa.Table.from_batches(held).combine_chunks()
-                yield box(both.slice(0, how.block), part + nth)
-                held, rows, nth = both.slice(how.block).to_batches(), rows - how.block, nth + 1
-        if rows:
-            yield box(pa.Table.from_batches(held).combine_chunks(), part + nth)
-
-    def box(rows: pa.Table, number: int) -> pa.RecordBatch:
+    def box(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("rank")
         unit = _unit(_matrix(rows.column("v").combine_chunks()))
         flat = unit @ axes
         values = [
-            pa.array([number]),
+            rows.column("block").combine_chunks().slice(0, 1),
             pa.array([flat.min(0)]),
             pa.array([flat.max(0)]),
             pa.array([rows.column("node").to_numpy().astype("<i8").tobytes()], pa.binary()),
             pa.array([rows.column("copies").to_numpy().astype("<i8").tobytes()], pa.binary()),
             pa.array([unit.astype("<f8").tobytes()], pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays(values, ["block", "low", "high", "nodes", "copies", "vectors"])
+        return pa.table(values, ["block", "low", "high", "nodes", "copies", "vectors"])
 
     kinds = "node long, copies long, v array<double>, " + ", ".join(f"c{i} int" for i in range(k))
     order = [*[f"c{i}" for i in range(k)], "node"]
     placed = classes.select("node", "copies", "v").mapInArrow(cells, kinds)
-    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "copies", "v")
+    placed = numbered(placed, order, "rank")
+    placed = placed.select("node", "copies", "v", "rank", F.floor(F.col("rank") / how.block).cast("long").alias("block"))
     shape = "block long, low array<double>, high array<double>, nodes binary, copies binary, vectors binary"
-    return placed.mapInArrow(cut, shape)
+    return placed.groupBy("block").applyInArrow(box, shape)
 
 
 def _near_blocks(blocks: DataFrame, how: Grid) -> DataFrame:
@@ -226,6 +219,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     unless its row is alone.
     """
     how = how or Grid()
+    small_batches()
     spark = vectors.sparkSession
     steps = Steps(spark)
     v = F.col(embedding).cast("array<double>")
@@ -239,7 +233,8 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     for size in sorted(r[0] for r in classes.select(F.size("v")).distinct().collect()):
         part = classes.where(F.size("v") == size)
         axes = _axes(part, size, how)
-        blocks = steps.keep(_blocks(part, size, axes, how))
+        with passing(spark):
+            blocks = steps.keep(_blocks(part, size, axes, how))
         linked = steps.keep(_linked(_near_blocks(blocks, how), blocks, axes, size, how))
         steps.drop(blocks)
         found = linked if found is None else found.unionByName(linked)
