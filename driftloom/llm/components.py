@@ -30,6 +30,16 @@ def _small(links: DataFrame, steps: Steps) -> DataFrame:
     return out
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour and no larger one, or only larger ones."""
+    ends = links.where("u < v").limit(1).count()
+    sides = links.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+        links.select("v", F.lit(0), F.lit(1))
+    )
+    nodes = sides.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not ends and nodes.where("down > 1 or down = 1 and up = 1").agg(F.count(F.lit(1))).first()[0] == 0
+
+
 def components(links: DataFrame, steps: Steps) -> DataFrame:
     """(node, component) of every node with a link, where component is the smallest node reachable.
 
@@ -39,17 +49,11 @@ def components(links: DataFrame, steps: Steps) -> DataFrame:
     folder and the round before is removed. No table is collected.
     """
     now = steps.keep(links.where("u is not null and v is not null and u <> v").distinct())
-    sign = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-    mark = None
-    while True:
+    while not _stars(now):
         large = _large(now, steps)
         after = _small(large, steps)
         steps.drop(now, large)
         now = after
-        new = now.agg(sign.alias("s")).first()["s"]
-        if new == mark:
-            break
-        mark = new
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         roots.select("node", F.col("node").alias("component"))

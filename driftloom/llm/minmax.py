@@ -158,6 +158,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, how: Banding) -> DataFrame:
     return both.where(100 * shared >= how.similarity * union).select("u", "v")
 
 
+def _any(df: DataFrame) -> bool:
+    return df.agg(F.max(F.lit(True))).first()[0] is not None
+
+
 def _edges(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
@@ -216,11 +220,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     classes = signed.where("n > 0").groupBy("key").agg(F.min("id").alias("first"), F.min(F.struct("n", "bands")).alias("s"))
     classes = steps.keep(classes.select("key", "first", "s.n", "s.bands"))
     banded = classes.select("key", "n", F.explode("bands").alias("band"))
-    centres = banded.groupBy("band").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    # stored, so that the join is one of two plain tables, which is split where a bucket is very large
-    centres = steps.keep(centres)
-    members = steps.keep(banded.join(centres, "band").select("band", "key", "n", "centre"))
-    stars = members.where("key <> centre").select(F.col("centre").alias("u"), F.col("key").alias("v")).distinct()
+    # each of these is stored, so that a join is one of two plain tables, which is split where a bucket is very large
+    sizes = steps.keep(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    members = steps.keep(banded.join(sizes, "band"))
+    # a bucket's centre is the member that meets most others: an original meets its copies more often than they each other
+    weights = steps.keep(members.groupBy("key").agg(F.sum("size").alias("weight")))
+    heavy = F.max(F.struct("weight", "key"))["key"].alias("centre")
+    centres = steps.keep(members.join(weights, "key").groupBy("band").agg(heavy))
+    stars = members.join(centres, "band").where("key <> centre")
+    stars = stars.select(F.least("centre", "key").alias("u"), F.greatest("centre", "key").alias("v")).distinct()
 
     wanted = members.select("key").distinct().join(classes.select("key", "first"), "key")
     firsts = maybe_broadcast(wanted.select("first", F.col("key").alias("node")))
@@ -233,7 +241,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     for turn in range(1, how.turns + 1):
         placed = _placed(members, labels, steps)
         more = steps.keep(_confirmed(_between(placed, turn), sets, how))
-        if more.isEmpty():
+        if not _any(more):
             break
         joined = steps.keep(components(_edges(labels).union(more), steps))
         steps.drop(labels, more)
@@ -249,14 +257,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     )
     more = steps.keep(_confirmed(cross, sets, how))
     joined = labels
-    if not more.isEmpty():
+    if _any(more):
         joined = steps.keep(components(_edges(labels).union(more), steps))
     named = classes.join(joined, classes["key"] == joined["node"], "left").select(
         "key", "first", F.coalesce("component", "key").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     answer = steps.keep(named.join(smallest, "component").select(F.col("key").alias("class"), "component_id"))
-    steps.drop(sets, members, links, more, left, classes)
+    steps.drop(sets, members, sizes, weights, centres, links, more, left, classes)
     out = signed.join(answer, signed["key"] == answer["class"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(
