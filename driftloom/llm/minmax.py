@@ -35,7 +35,7 @@ class Banding:
     words: int = 5
     similarity: int = 75
     seed: int = 11
-    turns: int = 6
+    turns: int = 3
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,6 +166,20 @@ def _edges(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
 
+def _near_labels(links: DataFrame, before: DataFrame | None, steps: Steps) -> DataFrame:
+    """(node, component): the smallest node within two links, where a label found before counts as a link.
+
+    Equal labels are surely one component; different ones may still be. They only tell which pairs need no comparing.
+    """
+    links = links if before is None else links.union(_edges(before))
+    both = steps.keep(links.union(links.select("v", "u")).where("u <> v").distinct())
+    one = steps.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+    next_ = both.join(one.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("m").alias("m"))
+    out = steps.keep(next_.select(F.col("u").alias("node"), F.least("u", "m").alias("component")))
+    steps.drop(both, one)
+    return out
+
+
 def _placed(members: DataFrame, labels: DataFrame, steps: Steps) -> DataFrame:
     """Members of buckets that still hold several components, with their component."""
     named = members.join(labels, members["key"] == labels["node"], "left").select(
@@ -237,15 +251,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     sets = steps.keep(full.select("node", "s.set").dropDuplicates(["node"]).withColumnRenamed("node", "key"))
 
     links = steps.keep(_confirmed(stars, sets, how))
-    labels = steps.keep(components(links, steps))
+    labels = _near_labels(links, None, steps)
     for turn in range(1, how.turns + 1):
         placed = _placed(members, labels, steps)
         more = steps.keep(_confirmed(_between(placed, turn), sets, how))
         if not _any(more):
             break
-        joined = steps.keep(components(_edges(labels).union(more), steps))
-        steps.drop(labels, more)
-        labels = joined
+        links = links.union(more)
+        labels = _near_labels(links, labels, steps)
     left = _possible(_placed(members, labels, steps), sets, how, steps)
     mine, other = left.alias("l"), left.alias("r")
     shared = "least(l.usable, r.usable)"
@@ -256,15 +269,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
         .distinct()
     )
     more = steps.keep(_confirmed(cross, sets, how))
-    joined = labels
-    if _any(more):
-        joined = steps.keep(components(_edges(labels).union(more), steps))
+    # labels shorten the ways: what is left to connect are links between different labels
+    u, v = labels.select(F.col("node").alias("u"), F.col("component").alias("cu")), labels.select(F.col("node").alias("v"), F.col("component").alias("cv"))
+    between = links.union(more).join(u, "u", "left").join(v, "v", "left")
+    between = between.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")).where("u <> v").distinct()
+    joined = steps.keep(components(_edges(labels).union(between), steps))
     named = classes.join(joined, classes["key"] == joined["node"], "left").select(
         "key", "first", F.coalesce("component", "key").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     answer = steps.keep(named.join(smallest, "component").select(F.col("key").alias("class"), "component_id"))
-    steps.drop(sets, members, sizes, weights, centres, links, more, left, classes)
+    steps.drop(sets, members, sizes, weights, centres, more, left, classes)
     out = signed.join(answer, signed["key"] == answer["class"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(
