@@ -1,7 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license templates, beside exact phrases.
 
-A block is a line. A block meets a template when it contains at least `THRESHOLD` of the template's distinct words. Template
-words are ordered by the number of blocks that hold them, rarest first, over the whole corpus; a block can only meet a
+A block is a line, and with `window` also a run of so many words, wherever lines break. A block meets a template when it
+contains at least `THRESHOLD` of the template's distinct words. Template words are ordered by the number of blocks that hold them, rarest first, over the whole corpus; a block can only meet a
 template if the two share a word of the template's prefix (its rarest words), if the block has enough template
 words (length), and if enough words are left at that place of both orders (position). What passes is counted exactly.
 """
@@ -40,6 +40,8 @@ TEMPLATES = (
     ("cc0", "released under cc0 1 0 universal public domain dedication"),
 )
 THRESHOLD = Fraction(9, 10)
+# Words of a window: twice the longest notice. They begin every quarter of that, so a run of three quarters is whole in one.
+WINDOW = 2 * max(len(t.split()) for _, t in TEMPLATES)
 
 
 def words(text: Column) -> Column:
@@ -76,12 +78,14 @@ def scan(
     phrases: Mapping[str, str] = PHRASES,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: Fraction = THRESHOLD,
+    window: int = 0,
 ) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Every column of docs except the text is kept; columns that have one of the new names are replaced. A null text is
     empty: no words, no labels, score 0. score is the largest contained share of a template that a block meets, 1 where
-    a phrase stands, 0 otherwise. Repeated rows are answered one by one. Works for any number of lines; lines with very
+    a phrase stands, 0 otherwise. window: words of the windows that are blocks beside the lines, 0 for lines only; with WINDOW
+    a notice is found however its lines are wrapped. Repeated rows are answered one by one. Works for any number of lines; lines with very
     frequent words cost a row in no join, since frequent words are not in prefixes.
     """
     steps = Steps(docs.sparkSession)
@@ -94,9 +98,19 @@ def scan(
     place_lists = [f"__places_{i}" for i in range(len(phrases))]
     known = F.array(*map(F.lit, vocabulary))
     lines = F.transform(F.split("__lower", "\n"), lambda line: F.array_intersect(words(line), known))
+    # texts of one line, or with too few words of every template, need no windows
+    may = F.lit(False)
+    for (_, t), size in zip(templates, sizes, strict=True):
+        held = F.size(F.array_intersect("__held", F.array(*[F.lit(w) for w in sorted(set(t.split()))])))
+        may = may | (held >= need(size, threshold))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("__words"), F.lit(1)), F.lit(max(1, window // 4)))
+    runs = F.transform(starts, lambda i: F.array_intersect(F.slice("__words", i, window), known))
+    if window:
+        lines = F.when(may & F.contains("__lower", F.lit("\n")), F.array_distinct(F.concat(lines, runs))).otherwise(lines)
     read = (
         docs.select(*others, raw.alias("__lower"))
         .select(*others, "__lower", words(F.col("__lower")).alias("__words"))
+        .select("*", F.array_intersect("__words", known).alias("__held"))
         .select(
             *others,
             F.size("__words").cast("long").alias("n_words"),

@@ -110,7 +110,7 @@ FROM placed LEFT JOIN found USING (id)
 
 @query(_license_sql())
 def op1_licenses(spark: SparkSession, sf: str) -> DataFrame:
-    found = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    found = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"), window=licenses.WINDOW)
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 

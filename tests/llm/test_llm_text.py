@@ -5,7 +5,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from driftloom.llm import chat, languages, licenses, pages
+from driftloom.llm import chat, languages, licenses, pages, queries
 
 WORDY = "word " * 30_000
 
@@ -145,3 +145,21 @@ def test_main_text(spark, html, text):
 def test_tree_answers_its_own_table():
     tree = pages.train()
     assert (tree.predict(pages.LABELLED[:, :-1].astype(float)) == pages.LABELLED[:, -1].astype(bool)).all()
+
+
+def test_wrapped_license_headers(spark, tmp_path):
+    """Headers as they are usually wrapped, with comment marks, far into a text; no label comes from words far apart."""
+    headers = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files",
+        "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that",
+        "mpl-2": "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of the MPL was not",
+        "gpl-3": "GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007",
+        "gpl-2": "the GNU General\r\n// Public License\r\n// version 2",
+    }
+    rows = [(label, f"{'word ' * n}\n{h}\n{'word ' * n}") for label, h in headers.items() for n in (0, 1, 7, 20, 33, 5000)]
+    rows.append(("", "\n".join(["gnu general", *["word"] * 60, "public license version 3"])))
+    got = licenses.scan(spark.createDataFrame(rows, "want string, text string"), window=licenses.WINDOW).collect()
+    assert len(got) == len(rows) and all(r["labels"] == r.want for r in got)
+    documents = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id: r["labels"] for r in queries.op1_licenses(spark, str(tmp_path)).collect()} == {i: w for i, (w, _) in enumerate(rows)}
