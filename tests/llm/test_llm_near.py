@@ -167,6 +167,22 @@ def test_leaks_against_all_windows(spark):
     assert decontaminate.clean(table, bench.limit(0)).count() == len(docs)
 
 
+def test_leaks_with_runs_of_one_word(spark):
+    """Runs of equal words that were changed for runs of another word: similar by the exact share, whatever is repeated."""
+    r = random.Random(10)
+    items, docs = [], []
+    for i in range(40):
+        size, run = r.choice([(176, 28), (90, 14), (78, 12)])
+        words = [f"u{i}x{k}" for k in range(size)]
+        items.append((i, " ".join([*words, *["same"] * run])))
+        docs.append((i, " ".join([*words, *["other"] * run, "end"])))
+        docs.append((100 + i, " ".join(["start", *words, *["same"] * (run - 2), "x", "y"])))
+    want = plain_leaks(docs, items)
+    assert len(want) >= 60
+    got = decontaminate.leaks(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want
+
+
 def test_hamming_blocks_cover_the_radius():
     """Every value within the radius agrees with some block up to radius // BLOCKS bits."""
     r = random.Random(1)
