@@ -27,7 +27,7 @@ BREAKS = frozenset(
 SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video select option datalist button textarea".split())
 BOXES = BREAKS - frozenset("p h1 h2 h3 h4 h5 h6 li dt dd hr tr td th tbody thead tfoot caption legend summary".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SIDE_TAGS = frozenset("nav header footer aside form menu dialog".split())
+SIDE_TAGS = frozenset("nav header footer aside menu dialog".split())
 MAIN_TAGS = frozenset("article main".split())
 # Words of class, id and role values that name a side part or the main part of a page.
 SIDE_NAMES = frozenset(
@@ -37,7 +37,9 @@ SIDE_NAMES = frozenset(
     "social sponsor sponsored subscribe teaser toolbar widget".split()
 )
 MAIN_NAMES = frozenset("article main content post entry story articlebody".split())
-UNKNOWN_PLACE, MAIN_PLACE, SIDE_PLACE = 0, 1, 2
+UNKNOWN_PLACE, MAIN_PLACE, SIDE_PLACE, HIDDEN_PLACE = 0, 1, 2, 3
+# Words that turn a name into a remark about the page: has-sidebar is no sidebar.
+REMARKS = frozenset("has with no without".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -49,13 +51,18 @@ LABELLED = np.array(
         [45, 0, 30, 0, 60, 0, 1, 1], [1, 0, 40, 0, 80, 0, 1, 1], [8, 0, 3, 100, 50, 0, 1, 1], [120, 5, 10, 0, 90, 0, 1, 1],
         [12, 50, 60, 0, 40, 0, 1, 1], [3, 0, 0, 0, 0, 0, 1, 1], [300, 0, 8, 0, 9, 0, 1, 1], [2, 100, 70, 0, 66, 0, 1, 1],
         [25, 10, 0, 0, 4, 100, 1, 1], [5, 0, 90, 0, 10, 0, 1, 1], [60, 0, 2, 100, 2, 100, 1, 1], [9, 0, 14, 0, 0, 0, 1, 1],
-        [2, 100, 2, 100, 2, 100, 1, 1], [1, 100, 0, 0, 1, 100, 1, 1], [5, 80, 40, 0, 6, 90, 1, 1], [3, 0, 2, 100, 1, 100, 1, 1],
-        [20, 90, 10, 80, 15, 95, 1, 1], [4, 0, 3, 50, 2, 0, 1, 1], [6, 0, 0, 0, 3, 100, 1, 1], [2, 0, 5, 0, 4, 0, 1, 1],
-        [30, 70, 8, 100, 25, 60, 1, 1], [8, 40, 4, 100, 3, 100, 1, 1], [3, 100, 80, 0, 2, 100, 1, 1], [5, 0, 4, 0, 0, 0, 1, 1],
+        [3, 0, 2, 100, 1, 100, 1, 1], [4, 0, 3, 50, 2, 0, 1, 1], [6, 0, 0, 0, 3, 100, 1, 1], [2, 0, 5, 0, 4, 0, 1, 1],
+        [8, 40, 4, 100, 3, 100, 1, 1], [5, 0, 4, 0, 0, 0, 1, 1], [2, 100, 45, 0, 80, 0, 1, 1], [40, 30, 25, 0, 3, 100, 1, 1],
+        # lists of links within the main part
+        [2, 100, 2, 100, 2, 100, 1, 0], [1, 100, 0, 0, 1, 100, 1, 0], [5, 80, 40, 0, 6, 90, 1, 0], [6, 100, 3, 100, 0, 0, 1, 0],
+        [20, 90, 10, 80, 15, 95, 1, 0], [4, 100, 5, 100, 30, 0, 1, 0], [3, 100, 80, 0, 2, 100, 1, 0], [7, 90, 2, 0, 4, 100, 1, 0],
         # menus, headers, footers, adverts, comments, notices
-        [1, 100, 1, 100, 1, 100, 2, 0], [14, 0, 1, 100, 8, 0, 2, 0], [9, 0, 70, 0, 0, 0, 2, 0], [60, 0, 50, 0, 45, 0, 2, 0],
-        [3, 0, 0, 0, 1, 100, 2, 0], [25, 20, 90, 0, 30, 0, 2, 0], [2, 0, 2, 0, 2, 0, 2, 0], [110, 0, 20, 10, 15, 0, 2, 0],
-        [6, 100, 40, 0, 5, 100, 2, 0], [30, 0, 1, 100, 12, 0, 2, 0], [18, 60, 5, 50, 7, 0, 2, 0], [250, 0, 6, 0, 80, 0, 2, 0],
+        [1, 100, 1, 100, 1, 100, 2, 0], [14, 0, 1, 100, 8, 0, 2, 0], [9, 0, 70, 0, 0, 0, 2, 0], [35, 0, 50, 0, 45, 0, 2, 0],
+        [3, 0, 0, 0, 1, 100, 2, 0], [25, 20, 90, 0, 30, 0, 2, 0], [2, 0, 2, 0, 2, 0, 2, 0], [70, 80, 20, 10, 15, 0, 2, 0],
+        [6, 100, 40, 0, 5, 100, 2, 0], [30, 0, 1, 100, 12, 0, 2, 0], [18, 60, 5, 50, 7, 0, 2, 0], [90, 100, 6, 0, 80, 0, 2, 0],
+        # long texts under a name of a side part
+        [60, 0, 50, 0, 45, 0, 2, 1], [110, 0, 20, 10, 15, 0, 2, 1], [250, 0, 6, 0, 80, 0, 2, 1], [45, 0, 1, 0, 70, 0, 2, 1],
+        [80, 5, 0, 0, 0, 0, 2, 1], [50, 10, 90, 0, 2, 100, 2, 1],
         # no container that says anything
         [50, 0, 40, 0, 60, 0, 0, 1], [35, 5, 3, 0, 70, 0, 0, 1], [20, 0, 45, 0, 30, 0, 0, 1], [90, 10, 1, 100, 2, 100, 0, 1],
         [16, 0, 30, 0, 25, 0, 0, 1], [70, 0, 0, 0, 0, 0, 0, 1], [7, 0, 60, 0, 55, 0, 0, 1], [6, 0, 2, 100, 80, 0, 0, 1],
@@ -135,23 +142,35 @@ class _Reader(HTMLParser):
     def end_block(self) -> None:
         if self.text:
             words = "".join(self.text).split()
-            if words:
+            place = self.place if self.own is None else self.own
+            if words and place != HIDDEN_PLACE:
                 linked = len("".join(self.linked).split())
-                self.blocks.append((" ".join(words), len(words), min(linked, len(words)), self.place if self.own is None else self.own))
+                self.blocks.append((" ".join(words), len(words), min(linked, len(words)), place))
         self.text, self.linked, self.own = [], [], None
 
     def _place(self, tag: str, attrs) -> int:
-        names, hidden = set(), False
+        side, main, hidden = False, False, False
+        # a header within the main part, and a form around anything, tell nothing by that name
+        silent = {"form"} if tag == "form" else {"header"} if self.place == MAIN_PLACE else set()
         for key, value in attrs:
             if key in ("class", "id", "role") and tag not in ("html", "body"):
-                names.update(x.lower() for x in _NAME.findall(value or ""))
+                for one in (value or "").split():
+                    names = {x.lower() for x in _NAME.findall(one)} - silent
+                    if not names & REMARKS:
+                        side, main = side or bool(names & SIDE_NAMES), main or bool(names & MAIN_NAMES)
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and _HIDDEN.search((value or "").lower())):
                 hidden = True
-        if self.place == SIDE_PLACE or hidden or names & SIDE_NAMES:
+        if hidden or self.place == HIDDEN_PLACE:
+            return HIDDEN_PLACE
+        if side:
             return SIDE_PLACE
-        if tag in SIDE_TAGS and not (tag == "header" and self.place == MAIN_PLACE):
+        if tag in MAIN_TAGS or tag == "h1":
+            return MAIN_PLACE
+        if self.place == SIDE_PLACE or (tag in SIDE_TAGS and not (tag == "header" and self.place == MAIN_PLACE)):
             return SIDE_PLACE
-        return MAIN_PLACE if tag in MAIN_TAGS or names & MAIN_NAMES else self.place
+        if main:
+            return MAIN_PLACE
+        return UNKNOWN_PLACE if tag == "form" else self.place
 
     def handle_starttag(self, tag, attrs):
         if tag in SILENT:
@@ -163,7 +182,7 @@ class _Reader(HTMLParser):
             if tag in BOXES:
                 self.open.append((tag, self.place))
                 self.place = self._place(tag, attrs)
-            elif attrs:
+            elif attrs or (tag == "h1" and self.place == SIDE_PLACE):
                 self.own = self._place(tag, attrs)
         elif tag == "a":
             self.link = True

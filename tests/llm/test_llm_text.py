@@ -163,3 +163,25 @@ def test_wrapped_license_headers(spark, tmp_path):
     documents = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     documents.write.parquet(str(tmp_path / "documents.parquet"))
     assert {r.doc_id: r["labels"] for r in queries.op1_licenses(spark, str(tmp_path)).collect()} == {i: w for i, (w, _) in enumerate(rows)}
+
+
+LONG = " ".join(["long"] * 60)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<div class='content has-sidebar'><p>short one</p><p>{LONG}</p></div>", f"short one {LONG}"),
+        (f"<form id=aspnetForm><div class=newsletter><p>join us</p></div><div><p>{LONG}</p><p>{LONG}</p></div></form>", f"{LONG} {LONG}"),
+        (f"<div class='sidebar layout'><ul><li><a href=1>one</a><li><a href=2>two</a></ul><article><h1>T</h1><p>a few words</p><p>{LONG}</p></article></div>", f"T a few words {LONG}"),
+        (f"<div id=page-with-nav><div class=nav><p>{LONG}</p></div></div>", LONG),
+        (f"<article><header class='entry-header'><h1>Title</h1></header><p>{LONG}</p></article>", f"Title {LONG}"),
+        (f"<header class='entry-header'><h1>Title</h1></header><main><p>{LONG}</p></main>", f"Title {LONG}"),
+        (f"<article><p>{LONG}</p><ul><li><a href=1>one two</a><li><a href=2>three</a><li><a href=3>four</a></ul></article>", LONG),
+        (f"<article><p>{LONG}</p><div hidden><article><p>{LONG} no</p></article></div><div class=post-comments><p>said</p></div></article>", LONG),
+    ],
+)
+def test_place_is_one_feature(html, text):
+    found = pages.blocks(html)
+    keep = pages.train().predict(pages.features(found))
+    assert " ".join(b[0] for b, k in zip(found, keep, strict=True) if k) == text
