@@ -3,7 +3,7 @@
 A huge text is cut into chunks of CHUNK characters that overlap the next one; each chunk is a row of its own, so one
 text can be counted by many tasks. Both chunks of a seam are encoded with offsets. They are spliced at the first place
 of the overlap where both have a token boundary and which is proven stable (`sp_model.Boundaries.hard`: no piece can
-reach over it). Where no such place exists, the text is cut again with a wider overlap, in the end with none at all.
+reach over it). Where no such place exists, or a chunk's tokens don't add up to its bytes, the text is cut again with a wider overlap, in the end with none at all.
 """
 
 from __future__ import annotations
@@ -78,10 +78,13 @@ class Counter:
         """
         if not (self.cuts.usable and self.model.dummy_prefix) and not (first and last):
             return 0, False
+        text = text.replace(MARK, " ")  # the library takes both for the same; offsets are those of the text that is encoded
         ids = np.array(self.library.encode(text, num_threads=1), np.int64)
         # byte offsets of token boundaries; the space that the library puts in front is not in the text
         bounds = np.concatenate([[0], np.cumsum(self.size[ids])]) - 1
         bounds[0] = 0
+        if bounds[-1] != len(text.encode()) and not (first and last):
+            return 0, False
         low, high = 0, len(ids)
         if not first:
             at = self._stable(text, seams[0], overlap)

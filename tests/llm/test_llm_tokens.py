@@ -97,6 +97,17 @@ def test_token_counts(texts, library, how):
     assert rows == [(i, len((TEXTS[i] or "").encode()), len(library.encode(TEXTS[i] or ""))) for i in want]
 
 
+def test_marks_in_chunked_texts(spark, library):
+    """Literal U+2581 before, in and after the overlaps of short words: every seam is spliced at its own bytes."""
+    r = random.Random(12)
+    words = ["a", "I", "to", "of", "the", "x▁y", "▁", "▁▃▁", "on"]
+    texts = [" ".join(r.choices(words, [9, 9, 9, 9, 9, k, k, k, 9], k=900)) for k in (0.02, 0.02, 0.1, 0.5, 5) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    for how in (token_counts.Chunking(1000, 16, 4), token_counts.Chunking(500, 64, 8)):
+        got = {x.doc_id: x.n_tokens for x in token_counts.count_tokens(df, DATA, how=how).collect()}
+        assert got == {i: len(library.encode(t)) for i, t in enumerate(texts)}
+
+
 def test_token_query(spark, sf, library):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in queries.op7_token_counts(spark, sf).collect():
