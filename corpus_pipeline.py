@@ -12,19 +12,30 @@ from pyspark.sql import functions as F
 from driftloom.llm import decontaminate, languages, minmax, pieces, suffixes
 from driftloom.llm.common import Steps, maybe_broadcast
 
-# Least mean probability of a document's language.
-LEAST_SCORE = 0.3
+# A document is in no learned language if more of its byte pairs than this were not learned: a few that any text may have, and
+# of its pairs TIMES the share that all but 1% of the held-out labelled texts stay under, within bounds.
+FEW, TIMES, LEAST_SHARE, MOST_SHARE = 8, 4, 0.1, 0.3
 PIECES = "piece_bpe_32k.model"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in no language that was learned, go. The network learns from labelled rows of docs."""
+    """Documents without a letter, or in no language that was learned, go. The network learns from labelled rows of docs.
+
+    What was not learned shows by its byte pairs: other scripts, base64, hex. The limit follows from labelled texts that the network
+    did not see. A language that was not learned but is written with the same pairs stays; the probabilities cannot tell it,
+    as the largest of k is 1/k at least.
+    """
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     net = languages.fit(docs.where(fold != 0))
+    letter = F.col("text").rlike(r"\p{L}")
     if net is None:
-        return docs.where(F.col("text").rlike(r"\p{L}"))  # nothing to learn from: only texts without a letter go
-    judged = docs.withColumn("__answer", languages.identify(F.col("text"), net))
-    good = (F.col("__answer.lang") != languages.UNDETERMINED) & (F.col("__answer.score") >= LEAST_SCORE)
+        return docs.where(letter)  # nothing to learn from: only texts without a letter go
+    judged = docs.withColumn("__answer", languages.identify(F.col("text"), net)).withColumn("__odd", languages.strange(F.col("text"), net))
+    held = docs.where((fold == 0) & F.col("lang").isNotNull() & letter).select(languages.strange(F.col("text"), net).alias("odd"))
+    share = F.col("odd.unseen") / F.greatest(F.col("odd.pairs"), F.lit(1))
+    usual = held.agg(F.percentile_approx(share, 0.99, 10_000)).first()[0] or 0.0
+    limit = min(max(TIMES * usual, LEAST_SHARE), MOST_SHARE)
+    good = (F.col("__answer.lang") != languages.UNDETERMINED) & (F.col("__odd.unseen") <= FEW + limit * F.col("__odd.pairs"))
     return judged.where(good).select(*docs.columns)
 
 

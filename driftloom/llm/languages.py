@@ -40,6 +40,7 @@ class Network:
     bias: np.ndarray
     weights: np.ndarray  # (filters of all widths, labels)
     offset: np.ndarray
+    pairs: np.ndarray  # (65536,): whether two bytes stood side by side in the windows that were learned
 
 
 def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,7 +101,9 @@ def fit_arrays(x: np.ndarray, y: np.ndarray, labels: tuple[str, ...], how: Train
             for p, g, s in zip(params, grads, seen, strict=True):
                 s += g * g
                 p -= how.rate * g / np.sqrt(s)
-    return Network(labels, tuple(conv), bias, weights, offset)
+    pairs = np.zeros(65536, bool)
+    pairs[x[:, :-1].astype(np.int32) * 256 + x[:, 1:]] = True
+    return Network(labels, tuple(conv), bias, weights, offset, pairs)
 
 
 class Scorer:
@@ -205,3 +208,24 @@ def identify(text: Column, net: Network | None) -> Column:
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.float64())], ["lang", "score"])
 
     return kernel(predict, "lang string, score double")(text)
+
+
+def strange(text: Column, net: Network) -> Column:
+    """struct(pairs, unseen) of each whole text: its pairs of neighbouring bytes, and those that no learned window had."""
+    seen = net.pairs
+
+    def count(column: pa.Array) -> pa.Array:
+        data, offsets = utf8(column)
+        unseen = np.zeros(len(column), np.int64)
+        for a, b in pieces(offsets, 1 << 20):
+            first = int(offsets[a])
+            part = data[first : int(offsets[b])]
+            new = np.zeros(len(part) + 1, np.int64)
+            np.cumsum(~seen[part[:-1].astype(np.int32) * 256 + part[1:]], out=new[1 : len(part)])
+            # new[i]: unseen pairs that begin before byte i; the pair over the end of a text is not counted
+            start = offsets[a:b] - first
+            unseen[a:b] = new[np.maximum(offsets[a + 1 : b + 1] - first - 1, start)] - new[start]
+        pairs = np.maximum(np.diff(offsets) - 1, 0)
+        return pa.StructArray.from_arrays([pa.array(pairs, pa.int64()), pa.array(unseen, pa.int64())], ["pairs", "unseen"])
+
+    return kernel(count, "pairs long, unseen long")(text)

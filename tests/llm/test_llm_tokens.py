@@ -1,5 +1,6 @@
 """SentencePiece codec and token counts against the sentencepiece library, and the pipeline against a plain version."""
 
+import base64
 import random
 from pathlib import Path
 
@@ -153,6 +154,18 @@ def test_pipeline_against_a_plain_version(spark, tmp_path, library):
     assert {r.spans for r in got.values()} <= set(range(len(rows)))
 
 
+def test_unlearned_languages_go(spark, sf):
+    """Texts in other scripts and encoded noise go, all clean documents stay; labels are those of the four languages."""
+    r = random.Random(13)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    odd = ["Это письмо написано на русском языке и здесь не выучено", "這是一篇中文文章，從來沒有學過這種語言", "これは日本語の文章です。学んでいません。"]
+    odd += [base64.b64encode(r.randbytes(n)).decode() for n in (60, 600, 60_000)] + [r.randbytes(n).hex() for n in (60, 600, 60_000)]
+    more = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(odd)], docs.schema)
+    got = {x.doc_id for x in corpus_pipeline.language(spark, docs.unionByName(more), sf).select("doc_id").collect()}
+    clean = {x.doc_id for x in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert got == clean
+
+
 def test_stages_keep_the_columns(spark, sf, tmp_path):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
