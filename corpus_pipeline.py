@@ -44,9 +44,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that share a doc_id are documents of their own; one without doc_id only stays if no other of its group has one.
     """
-    # docs is a stored table: a row's number is the same at every scan
     number = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.monotonically_increasing_id().alias("c"))
-    keyed = docs.withColumn("__key", number)
+    # stored with its numbers: a later scan may be split in another way
+    keyed = Steps(spark).keep(docs.withColumn("__key", number))
     judged = minmax.near_duplicates(keyed.select("__key", "text"), "__key")
     gone = maybe_broadcast(Steps(spark).keep(judged.where(~F.col("kept")).select(F.col("__key").alias("__gone"))))
     return keyed.join(gone, F.col("__key").eqNullSafe(F.col("__gone")), "left_anti").select(*docs.columns)

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from driftloom.llm import pieces, queries, sp_model, suffixes, token_counts
+from driftloom.llm import minmax, pieces, queries, sp_model, suffixes, token_counts
+from driftloom.llm.common import Steps
 
 DATA = queries.tokenizer_file(queries.PIECES)
 R = random.Random(6)
@@ -166,6 +167,32 @@ def test_unlearned_languages_go(spark, sf):
     assert got == clean
 
 
+def test_near_duplicates_with_other_splits_at_every_scan(spark, tmp_path, monkeypatch):
+    """Executors come and go: files are packed into other partitions between the jobs, so a scan numbers its rows anew."""
+    r = random.Random(14)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(60)) for _ in range(40)]
+    rows = [(i, texts[i % 40] + (" more" if i >= 40 else "")) for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(12).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    real, splits = minmax.near_duplicates, []
+
+    def moved(*args, **more):
+        judged = Steps(spark).keep(real(*args, **more))
+        before = docs.rdd.getNumPartitions()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        splits.append((before, spark.read.parquet(str(tmp_path / "d")).rdd.getNumPartitions()))
+        return judged
+
+    monkeypatch.setattr(minmax, "near_duplicates", moved)
+    try:
+        got = {x.doc_id for x in corpus_pipeline.near_duplicates(spark, docs, "").select("doc_id").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert splits[0][0] != splits[0][1] and got == set(range(40))
+
+
 def test_stages_keep_the_columns(spark, sf, tmp_path):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
