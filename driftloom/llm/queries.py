@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from driftloom.llm import chat, decontaminate, epsilon_grid, languages, licenses, minmax, pages, pieces, suffixes, token_counts
+from driftloom.llm import (
+    chat,
+    decontaminate,
+    divergence,
+    epsilon_grid,
+    languages,
+    licenses,
+    minmax,
+    pages,
+    pieces,
+    spellings,
+    suffixes,
+    token_counts,
+    topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -258,6 +272,107 @@ def op8_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select("doc_id", "c.n_bytes", "c.n_removed", "c.n_spans", "c.kept_sha256")
 
 
+TOP_SQL = """
+WITH good AS (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.id, q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+  FROM good q JOIN good d ON q.id <> d.id AND len(q.v) = len(d.v) WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query(TOP_SQL)
+def op11_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+DIVERGENCE_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), words AS (SELECT id, lang, source, unnest(w) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT id) >= 10
+), names AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, sum(n)::BIGINT AS total FROM counts GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n, k.n AS of_lang,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(s.total, 0) + 2 * z.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 2)) // (z.total + 2 * z.v) AS q
+  FROM names JOIN kept k USING (lang) JOIN sizes z USING (lang)
+    LEFT JOIN counts c USING (lang, source, term) LEFT JOIN sums s USING (lang, source)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM names a JOIN names b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM both_parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query(DIVERGENCE_SQL)
+def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+SPELLING_SQL = r"""
+WITH RECURSIVE bits(n, c, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) r(i)
+  UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+found AS (
+  SELECT doc_id, w, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w
+    FROM documents) WHERE length(w) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT w, n, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
+        lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [195::BIGINT, unicode(ch) - 64] END))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM found, crc
+), slipped AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(w, (h % length(w))::INTEGER) || substr(w, (h % length(w))::INTEGER + 2) ELSE w END AS word, n FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), dropped AS (
+  SELECT DISTINCT word, n, i, left(word, i::INTEGER) || substr(word, i::INTEGER + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM dropped a JOIN dropped b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, w.word, w.n FROM dropped d JOIN words w ON d.rest = w.word
+  UNION SELECT w.word, d.word, d.n FROM dropped d JOIN words w ON d.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS most, arg_min(other, struct_pack(a := -n, b := other)) AS form FROM near GROUP BY word
+), told AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * w.n THEN form END AS form,
+    CASE WHEN most >= 10 * w.n THEN most END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), way(word, goal) AS (
+  SELECT word, word FROM told UNION ALL SELECT y.word, t.form FROM way y JOIN told t ON t.word = y.goal WHERE t.form IS NOT NULL
+)
+SELECT t.word, t.form, y.goal AS root, t.n, t.n_near, t.form_n
+FROM told t JOIN way y USING (word) JOIN told e ON e.word = y.goal WHERE e.form IS NULL
+"""
+
+
+@query(SPELLING_SQL)
+def op13_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    return spellings.group(table(spark, sf, "documents"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
