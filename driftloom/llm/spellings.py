@@ -26,6 +26,7 @@ from driftloom.llm.common import BATCH_BYTES, MIX_A, POWER, Steps, kernel, mixed
 LETTERS = tallies.letters(lambda b: b >= 0xC0 or (b < 0x80 and chr(b).isalpha()))
 ALPHABET = [chr(b) for b in range(256) if LETTERS[b] == b and b != 32]
 # Alphabets to choose from; the last keeps all letters apart.
+SHORT = 64  # code points up to which words are compared by their edit distance
 SYMBOLS = (4, 6, 8, 12, 16, 24, 32, 48, len(ALPHABET))
 
 
@@ -168,6 +169,27 @@ def alphabet(words: DataFrame, how: Variants) -> int:
     return next((s for s in SYMBOLS if pairs.get(s, 0) <= how.crowd * total), SYMBOLS[-1])
 
 
+def one_edit(a: Column, b: Column) -> Column:
+    """Whether two words differ by exactly one inserted, deleted or replaced code point.
+
+    The distance function takes the square of the length; for long words the common beginning is found by halving, and
+    the ends behind the edit are compared.
+    """
+    size_a, size_b = F.char_length(a), F.char_length(b)
+    x, y = F.when(size_a <= size_b, a).otherwise(b), F.when(size_a <= size_b, b).otherwise(a)
+    start = F.struct(F.lit(0).alias("low"), F.least(size_a, size_b).alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"] + 1) / 2).cast("int")
+        same = a.substr(F.lit(1), middle) == b.substr(F.lit(1), middle)
+        return F.struct(F.when(same, middle).otherwise(s["low"]).alias("low"), F.when(same, s["high"]).otherwise(F.greatest(middle - 1, s["low"])).alias("high"))
+
+    shared = F.aggregate(F.sequence(F.lit(1), F.lit(31)), start, halve)["low"]
+    skip = F.when(size_a == size_b, 2).otherwise(1)
+    ends = x.substr(shared + skip, size_a + size_b) == y.substr(shared + 2, size_a + size_b)
+    return F.when(F.greatest(size_a, size_b) <= SHORT, F.levenshtein(a, b, 1) == 1).otherwise((F.abs(size_a - size_b) <= 1) & (a != b) & ends)
+
+
 def near_pairs(words: DataFrame, steps: Steps, how: Variants, symbols: int | None = None) -> DataFrame:
     """(u, v) in both orders, structs (word, n): words that differ by exactly one inserted, deleted or replaced code point."""
     symbols = symbols or alphabet(words, how)
@@ -176,7 +198,7 @@ def near_pairs(words: DataFrame, steps: Steps, how: Variants, symbols: int | Non
     around = _neighbourhoods(groups.select("h", F.col("words")[0]["word"].alias("word")), symbols)
     other = groups.select(F.col("h").alias("near"), F.col("words").alias("others"))
     met = around.join(other, "near").join(groups, F.col("own") == F.col("h")).select("words", "others")
-    edit = lambda x, y: F.levenshtein(x["word"], y["word"], 1) == 1
+    edit = lambda x, y: one_edit(x["word"], y["word"])
     sides = met.select(F.explode("words").alias("u"), "others")
     sides = sides.select("u", F.explode(F.filter("others", lambda x: edit(F.col("u"), x))).alias("v"))
     both = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("pair")
@@ -193,6 +215,8 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Variant
     repeat count again; an empty table gives no rows. Other columns of docs take no part.
     """
     how = how or Variants()
+    if how.factor <= 1:
+        raise ValueError("a form must be more frequent than what leads to it")
     steps = Steps(docs.sparkSession)
     words = steps.keep(tally(docs, how, key, text))
     # a pair is found once; counting distinct words keeps that true even where two hashes fall together

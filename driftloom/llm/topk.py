@@ -49,7 +49,7 @@ def integers(vector: Column, scale: int = 256) -> Column:
 
 def _best(who: np.ndarray, score: np.ndarray, first: np.ndarray, row: np.ndarray, most: int) -> np.ndarray:
     """Places of the `most` best of each query: largest score, then smallest id, then row."""
-    order = np.lexsort((row, first, -score, who))
+    order = np.lexsort((row, first, ~score, who))  # ~: largest first, also at the end of a long
     sorted_who = who[order]
     begin = np.concatenate([[0], np.flatnonzero(np.diff(sorted_who)) + 1]) if len(order) else np.zeros(0, np.int64)
     rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
