@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import Steps, kernel, maybe_broadcast, mixed, pieces, prefix_hashes, span_hash, utf8
+from driftloom.llm.common import BATCH_BYTES, Steps, kernel, maybe_broadcast, mixed, pieces, prefix_hashes, span_hash, utf8
 from driftloom.llm.components import components
 
 _SPACE = np.zeros(256, bool)
@@ -24,25 +24,32 @@ _LOWER[0x41:0x5B] += 32
 
 @dataclass(frozen=True)
 class Banding:
-    """permutations give two values each; a band has two minima and two maxima of two permutations.
+    """permutations give two values each; a band has the minima and the maxima of `band` permutations.
 
-    64 permutations are 32 bands: a pair of similarity 0.75 shares none with a probability of 5e-6.
+    186 permutations are 62 bands of six values. A pair whose sets share s of u shingles agrees in both ends of a permutation with chance
+    s * (s - 1) / (u * (u - 1)), so at similarity 0.75 a pair shares no band with a chance of 5e-6 (large sets) to 1e-5 (sets of 24).
+    small: sets of at most so many shingles have the first of their shingles in the order of the hashes as further bands: as many as
+    a set can miss and still be similar. Pairs of which one set has 3/4 of that or less are met for certain.
+    Of pairs at similarity 0.5 62 % share a band, at 0.4 22 %, at 0.3 4 %.
     similarity: hundredths that the size of the intersection must be of the union's. turns: rounds at most in which
     components that share a bucket are tried to be joined by single pairs, before all pairs that are still possible are.
     """
 
-    permutations: int = 64
+    permutations: int = 186
+    band: int = 3
+    small: int = 32
     words: int = 5
     similarity: int = 75
     seed: int = 11
     turns: int = 3
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each row's distinct shingles, sorted, one row after another, and the sizes of the sets."""
-    local = _LOWER[data[int(offsets[0]) : int(offsets[-1])]]
-    bounds = (offsets - offsets[0]).astype(np.int64)
-    rows = len(bounds) - 1
+# Bytes of a text whose words are looked for at once; a longer text is cut at white space.
+PIECE = BATCH_BYTES
+
+
+def _words(local: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of each word; a word ends where its row ends."""
     word = ~_SPACE[local]
     before = np.zeros(len(local), bool)
     before[1:] = word[:-1]
@@ -52,8 +59,33 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     before[edges] = False
     after[edges[1:] - 1] = False
     starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
-    hashed = span_hash(prefix_hashes(local), starts, ends)
-    row = np.searchsorted(bounds, starts, "right") - 1
+    return span_hash(prefix_hashes(local), starts, ends), np.searchsorted(bounds, starts, "right") - 1
+
+
+def _cuts(local: np.ndarray) -> list[int]:
+    """Places of white space that cut a long text into pieces of about PIECE bytes."""
+    at, cuts = 0, [0]
+    while at + PIECE < len(local):
+        at += PIECE
+        while at < len(local) and not (gap := _SPACE[local[at : at + PIECE]]).any():
+            at += PIECE
+        if at < len(local):
+            at += int(gap.argmax())
+            cuts.append(at)
+    return [*cuts, len(local)]
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each row's distinct shingles, sorted, one row after another, and the sizes of the sets."""
+    local = _LOWER[data[int(offsets[0]) : int(offsets[-1])]]
+    bounds = (offsets - offsets[0]).astype(np.int64)
+    rows = len(bounds) - 1
+    if rows == 1 and len(local) > PIECE:
+        cuts = _cuts(local)
+        parts = [_words(local[a:b], np.array([0, b - a])) for a, b in zip(cuts, cuts[1:])]
+        hashed, row = np.concatenate([h for h, _ in parts]), np.concatenate([r for _, r in parts])
+    else:
+        hashed, row = _words(local, bounds)
     count = np.bincount(row, minlength=rows)
     first = np.cumsum(count) - count
     step = mixed(np.arange(2, width + 2, dtype=np.uint64)) | np.uint64(1)
@@ -80,21 +112,25 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     return (np.concatenate(per_row) if per_row else found[:0]), sizes
 
 
-def _bands(found: np.ndarray, sizes: np.ndarray, how: Banding) -> np.ndarray:
+def _bands(found: np.ndarray, sizes: np.ndarray, how: Banding) -> list[np.ndarray]:
     """Band hashes of each non-empty set; rows of empty sets are left out."""
     at = (np.cumsum(sizes) - sizes)[sizes > 0]
     odd = mixed(np.arange(1, 2 * how.permutations + 1, dtype=np.uint64) * np.uint64(2 * how.seed + 1)) | np.uint64(1)
-    ends = []
-    for k in range(how.permutations):
-        h = (found ^ odd[how.permutations + k]) * odd[k]
-        ends.append((np.minimum.reduceat(h, at), np.maximum.reduceat(h, at)))
     bands = []
-    for k in range(0, how.permutations, 2):
+    for k in range(0, how.permutations, how.band):
         band = np.full(len(at), mixed(np.uint64([k + 1]))[0])
-        for value in (*ends[k], *ends[k + 1]):
-            band = mixed(band ^ value) + np.uint64(k)
+        for j in range(k, min(k + how.band, how.permutations)):
+            h = (found ^ odd[how.permutations + j]) * odd[j]
+            for value in (np.minimum.reduceat(h, at), np.maximum.reduceat(h, at)):
+                band = mixed(band ^ value) + np.uint64(k)
         bands.append(band)
-    return np.stack(bands, 1)
+    rows = np.stack(bands, 1)
+    # found is sorted, so the beginning of a set is its prefix in one order that all sets have in common
+    first = [
+        mixed(found[a : a + n - (how.similarity * n + 99) // 100 + 1] ^ odd[0]) if n <= how.small else found[:0]
+        for a, n in zip(at.tolist(), sizes[sizes > 0].tolist(), strict=True)
+    ]
+    return [np.concatenate(pair) for pair in zip(rows, first, strict=True)]
 
 
 def _by_parts(column: pa.Array, width: int):
@@ -150,8 +186,8 @@ def keyed_set(text: Column, how: Banding) -> Column:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, how: Banding) -> DataFrame:
     """Pairs (u, v) of classes whose full sets are similar enough."""
-    left = sets.select(F.col("key").alias("u"), F.col("set").alias("set_u"))
-    right = sets.select(F.col("key").alias("v"), F.col("set").alias("set_v"))
+    left = sets.select(F.col("node").alias("u"), F.col("set").alias("set_u"))
+    right = sets.select(F.col("node").alias("v"), F.col("set").alias("set_v"))
     both = pairs.join(right, "v").join(left, "u")
     shared = F.size(F.array_intersect("set_u", "set_v")).cast("long")
     union = F.size("set_u") + F.size("set_v") - shared
@@ -181,40 +217,50 @@ def _near_labels(links: DataFrame, before: DataFrame | None, steps: Steps) -> Da
 
 
 def _placed(members: DataFrame, labels: DataFrame, steps: Steps) -> DataFrame:
-    """Members of buckets that still hold several components, with their component."""
-    named = members.join(labels, members["key"] == labels["node"], "left").select(
-        "band", "key", "n", F.coalesce("component", "key").alias("component")
-    )
+    """(band, node, component): members of buckets that still hold several components."""
+    named = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     named = steps.keep(named)
     several = named.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
     return named.join(steps.keep(several.select("band")), "band", "left_semi")
 
 
 def _between(placed: DataFrame, turn: int) -> DataFrame:
-    """One pair per further component of a bucket: drawn members of it and of the component drawn first in the bucket."""
-    draw = F.struct(F.xxhash64(F.lit(turn), "key").alias("h"), "key")
-    drawn = placed.groupBy("band", "component").agg(F.min(draw)["key"].alias("key"))
-    lead = F.struct(F.xxhash64(F.lit(turn), "component").alias("h"), "key")
-    first = drawn.groupBy("band").agg(F.min(lead)["key"].alias("centre"))
-    pairs = drawn.join(first, "band").where("key <> centre")
-    return pairs.select(F.least("key", "centre").alias("u"), F.greatest("key", "centre").alias("v")).distinct()
+    """One pair for each two components of a bucket of which one is drawn first in it: drawn members of both."""
+    draw = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node")
+    drawn = placed.groupBy("band", "component").agg(F.min(draw)["node"].alias("node"))
+    lead = F.struct(F.xxhash64(F.lit(turn), "component").alias("h"), "node", "component")
+    first = drawn.groupBy("band").agg(F.min(lead).alias("lead"))
+    met = drawn.join(first, "band").where("component <> lead.component")
+    two = [F.least("component", "lead.component").alias("a"), F.greatest("component", "lead.component").alias("b")]
+    pair = F.struct(F.least("node", "lead.node").alias("u"), F.greatest("node", "lead.node").alias("v"))
+    return met.groupBy(*two).agg(F.min(pair).alias("pair")).select("pair.u", "pair.v")
 
 
 def _possible(placed: DataFrame, sets: DataFrame, how: Banding, steps: Steps) -> DataFrame:
-    """placed with `usable`: shingles that some other member of these buckets has too. Nothing else can be shared.
+    """Pairs (u, v) of different components that may be similar enough, by prefixes of their sets.
 
-    A member is left out of a bucket in which even the smallest set is too large for what the member can share.
+    Shingles are ordered by how many of these sets hold them, rarest first. Similar sets share one of the first shingles of both, and
+    where they first meet enough must be left of both (size and position filter). A set's shingle is also left out if not even
+    the smallest set that has it could be similar. What cannot link is not paired.
     """
-    placed = steps.keep(placed)
-    held = sets.join(placed.select("key").distinct(), "key", "left_semi").select("key", F.explode("set").alias("shingle"))
-    own = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("key")).where("c = 1")
-    single = own.groupBy("key").agg(F.count(F.lit(1)).alias("single"))
-    usable = placed.join(single, "key", "left").withColumn("usable", F.col("n") - F.coalesce("single", F.lit(0))).drop("single")
-    least = placed.groupBy("band").agg(F.min("n").alias("smallest"))
-    enough = F.expr(f"100 * usable >= {how.similarity} * (n + smallest - usable)")
-    kept = steps.keep(usable.join(least, "band").where(enough).drop("smallest"))
-    steps.drop(placed)
-    return kept
+    nodes = steps.keep(placed.select("node", "component").distinct())
+    held = steps.keep(sets.join(nodes, "node").select("node", "component", F.size("set").cast("long").alias("n"), F.explode("set").alias("shingle")))
+    often = steps.keep(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")))
+    ordered = held.join(often, "shingle").groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(F.struct("c", "shingle"))).alias("set"))
+    most = F.expr(f"cast(n - ({how.similarity} * n + 99) div 100 + 1 as int)")
+    prefix = ordered.select("node", "component", "n", F.posexplode(F.slice("set", F.lit(1), most)).alias("at", "s")).where("s.c > 1")
+    prefix = prefix.select("node", "component", "n", (F.col("n") - F.col("at")).alias("left"), F.col("s.shingle").alias("shingle"))
+    prefix = steps.keep(prefix)
+    enough = lambda left, n, m: f"100 * {left} >= {how.similarity} * ({n} + {m} - {left})"
+    met = prefix.groupBy("shingle").agg(F.min("n").alias("smallest"), F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+    met = steps.keep(met.select("shingle", "smallest"))
+    prefix = steps.keep(prefix.join(met, "shingle").where(enough("left", "n", "smallest")).drop("smallest"))
+    one = prefix.select("shingle", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"), F.col("left").alias("lu"))
+    two = prefix.select("shingle", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"), F.col("left").alias("lv"))
+    pairs = one.join(two, "shingle").where("u < v and cu <> cv").where(enough("least(lu, lv)", "nu", "nv"))
+    out = steps.keep(pairs.select("u", "v").distinct())
+    steps.drop(nodes, held, often, met)
+    return out
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Banding | None = None) -> DataFrame:
@@ -222,33 +268,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
 
     component_id is the smallest key reachable over links, itself included; kept marks rows whose key it is. Rows without words
     link with nothing; a null key stays null and takes no part in the minimum of its component unless it is alone. Rows
-    with equal sets are one class. Within a bucket each class is first compared with one member, then drawn members of its
-    components with each other. Classes of a bucket that are still in different components are at last all compared,
-    but for pairs that cannot link because too many of their shingles stand in no other of these sets. So no link that
-    could change a component is lost, and pairs within one component are not made.
+    with equal sets are one class. Each class is first compared with the heaviest centre of its buckets, then drawn members of the
+    components of a bucket with each other. Classes of buckets that are still in different components are at last joined by
+    prefixes of their sets. So no link that could change a component is lost, and pairs within one component are not made.
+    An empty table gives no rows; other columns of docs take no part.
     """
     how = how or Banding()
     steps = Steps(docs.sparkSession)
     signed = docs.select(F.col(key).alias("id"), signature(F.col(text), how).alias("s")).select("id", "s.*")
     signed = steps.keep(signed)
-    classes = signed.where("n > 0").groupBy("key").agg(F.min("id").alias("first"), F.min(F.struct("n", "bands")).alias("s"))
-    classes = steps.keep(classes.select("key", "first", "s.n", "s.bands"))
-    banded = classes.select("key", "n", F.explode("bands").alias("band"))
+    classes = signed.where("n > 0").groupBy("key").agg(F.min("id").alias("first"), F.first("bands").alias("bands"))
+    classes = steps.keep(classes.select(F.monotonically_increasing_id().alias("node"), "key", "first", "bands"))
+    banded = classes.select("node", F.explode("bands").alias("band"))
     # each of these is stored, so that a join is one of two plain tables, which is split where a bucket is very large
     sizes = steps.keep(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     members = steps.keep(banded.join(sizes, "band"))
     # a bucket's centre is the member that meets most others: an original meets its copies more often than they each other
-    weights = steps.keep(members.groupBy("key").agg(F.sum("size").alias("weight")))
-    heavy = F.max(F.struct("weight", "key"))["key"].alias("centre")
-    centres = steps.keep(members.join(weights, "key").groupBy("band").agg(heavy))
-    stars = members.join(centres, "band").where("key <> centre")
-    stars = stars.select(F.least("centre", "key").alias("u"), F.greatest("centre", "key").alias("v")).distinct()
-
-    wanted = members.select("key").distinct().join(classes.select("key", "first"), "key")
-    firsts = maybe_broadcast(wanted.select("first", F.col("key").alias("node")))
+    weights = steps.keep(members.groupBy("node").agg(F.sum("size").alias("weight")))
+    centres = steps.keep(members.join(weights, "node").groupBy("band").agg(F.max(F.struct("weight", "node")).alias("heavy")))
+    stars = members.join(centres, "band").groupBy("node").agg(F.max("heavy")["node"].alias("centre")).where("node <> centre")
+    stars = stars.select(F.least("centre", "node").alias("u"), F.greatest("centre", "node").alias("v")).distinct()
+
+    wanted = weights.select("node").join(classes.select("node", "key", "first"), "node")
+    firsts = maybe_broadcast(wanted.select("first", "node", "key"))
     chosen = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(firsts, F.expr("id <=> first"))
-    full = chosen.select("node", keyed_set(F.col("text"), how).alias("s")).where("s.key = node")
-    sets = steps.keep(full.select("node", "s.set").dropDuplicates(["node"]).withColumnRenamed("node", "key"))
+    full = chosen.select("node", "key", keyed_set(F.col("text"), how).alias("s")).where("s.key = key")
+    sets = steps.keep(full.select("node", "s.set").dropDuplicates(["node"]))
 
     links = steps.keep(_confirmed(stars, sets, how))
     labels = _near_labels(links, None, steps)
@@ -259,28 +304,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
             break
         links = links.union(more)
         labels = _near_labels(links, labels, steps)
-    left = _possible(_placed(members, labels, steps), sets, how, steps)
-    mine, other = left.alias("l"), left.alias("r")
-    shared = "least(l.usable, r.usable)"
-    fits = F.expr(f"100 * {shared} >= {how.similarity} * (l.n + r.n - {shared})")
-    cross = (
-        mine.join(other, F.expr("l.band = r.band and l.component < r.component") & fits)
-        .select(F.col("l.key").alias("u"), F.col("r.key").alias("v"))
-        .distinct()
-    )
-    more = steps.keep(_confirmed(cross, sets, how))
+    more = steps.keep(_confirmed(_possible(_placed(members, labels, steps), sets, how, steps), sets, how))
     # labels shorten the ways: what is left to connect are links between different labels
     u, v = labels.select(F.col("node").alias("u"), F.col("component").alias("cu")), labels.select(F.col("node").alias("v"), F.col("component").alias("cv"))
     between = links.union(more).join(u, "u", "left").join(v, "v", "left")
     between = between.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")).where("u <> v").distinct()
     joined = steps.keep(components(_edges(labels).union(between), steps))
-    named = classes.join(joined, classes["key"] == joined["node"], "left").select(
-        "key", "first", F.coalesce("component", "key").alias("component")
-    )
+    named = classes.select("node", "key", "first").join(joined, "node", "left").select("key", "first", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     answer = steps.keep(named.join(smallest, "component").select(F.col("key").alias("class"), "component_id"))
-    steps.drop(sets, members, sizes, weights, centres, more, left, classes)
-    out = signed.join(answer, signed["key"] == answer["class"], "left")
+    steps.drop(sets, members, sizes, weights, centres, more, classes)
+    out = signed.select("id", "n", "key").join(answer, F.col("key") == answer["class"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(
         F.col("id").alias(key),
