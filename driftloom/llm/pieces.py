@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -19,8 +20,11 @@ from pyspark.sql import functions as F
 from driftloom.llm.common import kernel
 from driftloom.llm.sp_model import BPE, BYTE, MARK, NORMAL, UNIGRAM, USER_DEFINED, Boundaries, SpModel, parse
 
-# Encoded parts that a task remembers; beyond that it forgets them all and goes on.
-MEMORY = 700_000
+# Bytes of encoded parts that a process remembers, twice: when the newer half is full it becomes the older one, and parts that are
+# met again move over, so frequent ones stay. ENTRY is what Python needs for a part beside its characters and ids.
+MEMORY, ENTRY = 24 << 20, 240
+# Characters of the texts, and parts, that are encoded at once.
+TEXTS, PARTS = 1 << 18, 2000
 
 
 def _merges(model: SpModel) -> list[tuple[str, str]]:
@@ -68,6 +72,8 @@ class Codec:
         self.by_parts = self.cuts.usable
         self.tokenizer = backend(self.model, part=self.by_parts)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
         self.wrong: set[str] = set()
         self.reference = None
         if verify:
@@ -87,7 +93,9 @@ class Codec:
 
     def _learn(self, parts: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        self.known.update(zip(parts, (struct.pack(f"<{len(i)}i", *i) for i in found), strict=True))
+        packed = [struct.pack(f"<{len(i)}i", *i) for i in found]
+        self.known.update(zip(parts, packed, strict=True))
+        self.held += sum(map(len, parts)) + sum(map(len, packed)) + ENTRY * len(parts)
         if self.reference is not None:
             # the library puts a mark in front of what it gets: a part that begins with a space gives it that one
             dummy = self.by_parts and self.model.dummy_prefix
@@ -106,11 +114,16 @@ class Codec:
         front = " " if self.by_parts and self.model.dummy_prefix else ""
         cut = [self.cuts.segments(front + t) if self.by_parts else [t] for t in (x or "" for x in texts)]
         cut = [c if t else [] for c, t in zip(cut, texts, strict=True)]
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        new = list(set(chain.from_iterable(cut)).difference(self.known))
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
+        if self.held > MEMORY:
+            self.older, self.known, self.held = self.known, {}, 0
+            self.wrong.intersection_update(self.older)
+        new = set(chain.from_iterable(cut)).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in again)
+        self.held += sum(len(p) + len(self.older[p]) + ENTRY for p in again)
+        new = list(new - again)
+        for at in range(0, len(new), PARTS):
+            self._learn(new[at : at + PARTS])
         look = self.known.__getitem__
         ids = [np.frombuffer(b"".join(map(look, c)), "<i4") for c in cut]
         return ids, [not self.wrong or self.wrong.isdisjoint(c) for c in cut]
@@ -124,6 +137,34 @@ class Codec:
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
 
 
+_codecs: dict[tuple[bytes, bool], Codec] = {}
+
+
+def codec_of(data: bytes, verify: bool | None) -> Codec:
+    """The codec of a model, one in each process, whatever tasks it runs. verify=None: the one that is there."""
+    model = hashlib.sha256(data).digest()
+    for name in [n for n in _codecs if n[0] != model]:
+        del _codecs[name]
+    if verify is None:
+        verify = (model, True) in _codecs
+    if (model, verify) not in _codecs:
+        _codecs[model, verify] = Codec(data, verify)
+    return _codecs[model, verify]
+
+
+def _some(texts: list) -> Iterator[list]:
+    """Runs of texts of about TEXTS characters."""
+    run, size = [], 0
+    for t in texts:
+        run.append(t)
+        size += len(t or "")
+        if size > TEXTS:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def encode(text: Column, data: bytes, verify: bool = True, with_ids: bool = True) -> Column:
     """struct(ids, n_tokens, ids_sha256, parity, round_trip) of each whole text; null is empty and has no tokens.
 
@@ -131,15 +172,9 @@ def encode(text: Column, data: bytes, verify: bool = True, with_ids: bool = True
     parts have the ids that the sentencepiece library gives. round_trip: the decoded ids are the text; false for texts
     that hold the mark itself, which decodes to a space. Batches go to the library's own threads.
     """
-    made: list[Codec] = []
-
     def run(column: pa.Array) -> pa.Array:
-        if not made:
-            made.append(Codec(data, verify))
-        codec, parts = made[0], [[], [], [], [], []]
-        values = column.to_pylist()
-        for at in range(0, len(values), 512):
-            texts = values[at : at + 512]
+        codec, parts = codec_of(data, verify), [[], [], [], [], []]
+        for texts in _some(column.to_pylist()):
             ids, agree = codec.encode(texts)
             parts[0] += ids if with_ids else [None] * len(ids)
             parts[1] += [len(i) for i in ids]
@@ -155,11 +190,8 @@ def encode(text: Column, data: bytes, verify: bool = True, with_ids: bool = True
 
 def decode(ids: Column, data: bytes) -> Column:
     """Text of each list of ids; null and empty lists give the empty text."""
-    made: list[Codec] = []
-
     def run(column: pa.Array) -> pa.Array:
-        if not made:
-            made.append(Codec(data, False))
-        return pa.array([made[0].decode(np.array(i or [], np.int32)) for i in column.to_pylist()], pa.string())
+        codec = codec_of(data, None)
+        return pa.array([codec.decode(np.array(i or [], np.int32)) for i in column.to_pylist()], pa.string())
 
     return kernel(run, "string")(ids)
