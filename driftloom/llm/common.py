@@ -104,6 +104,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 _powers: dict[str, np.ndarray] = {}
+# Entries of the tables that a process keeps; longer ones are made for the call.
+KEPT_POWERS = 2 * BATCH_BYTES
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,10 +113,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
         size = 1 << max(16, (n - 1).bit_length())
         inverse = np.uint64(pow(int(POWER), -1, 1 << 64))
+        tables = {}
         for name, base in (("up", POWER), ("down", inverse)):
             table = np.full(size, base, np.uint64)
             table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
+            tables[name] = np.multiply.accumulate(table, out=table)
+        if size > KEPT_POWERS:
+            return tables["up"], tables["down"]
+        _powers.update(tables)
     return _powers["up"], _powers["down"]
 
 

@@ -269,7 +269,7 @@ def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 def op8_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     spans = suffixes.repeated_spans(table(spark, sf, "documents").select("doc_id", "text"))
     cut = spans.select("doc_id", suffixes.cut_out(F.col("text"), F.col("spans")).alias("c"))
-    return cut.select("doc_id", "c.n_bytes", "c.n_removed", "c.n_spans", "c.kept_sha256")
+    return cut.select("doc_id", "c.n_bytes", "c.n_removed", "c.n_spans", "c.kept_sha256", F.col("c.kept").alias("text"))
 
 
 TOP_SQL = """

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import Steps, kernel, maybe_broadcast, pieces, prefix_hashes, span_hash, utf8
+from driftloom.llm.common import BATCH_BYTES, Steps, kernel, maybe_broadcast, pieces, prefix_hashes, span_hash, utf8
 
 
 @dataclass(frozen=True)
@@ -78,10 +78,20 @@ def anchors(text: Column, how: Repeats) -> Column:
         data, offsets = utf8(column)
         counts, parts = [], []
         for a, b in pieces(offsets):
-            base = int(offsets[a])
-            found = _anchors(data[base : int(offsets[b])], offsets[a : b + 1] - base, how)
-            counts.append(np.bincount(found[0].astype(int), minlength=b - a))
-            parts.append(found[1:])
+            base, end = int(offsets[a]), int(offsets[b])
+            if b - a > 1 or end - base <= 2 * BATCH_BYTES:
+                found = _anchors(data[base:end], offsets[a : b + 1] - base, how)
+                counts.append(np.bincount(found[0].astype(int), minlength=b - a))
+                parts.append(found[1:])
+                continue
+            # a long text in slices; strings that begin in a slice end in what it has in common with the next one
+            n = 0
+            for at in range(base, end, BATCH_BYTES):
+                slice_ = data[at : min(at + BATCH_BYTES + how.length - 1, end)]
+                found = _anchors(slice_, np.array([0, len(slice_)]), how)
+                n += len(found[0])
+                parts.append([found[1], found[2], found[3] + (at - base), found[4], found[5]])
+            counts.append(np.array([n]))
         ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1, int)
         joined = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in range(5)]
         fields = [pa.array(v.astype(k.to_pandas_dtype()), k) for v, k in zip(joined, kinds, strict=True)]
@@ -303,7 +313,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", how
     contexts = some.join(lists, here).select(F.explode(cut).alias("c")).select("c.a.*", "c.bytes")
     contexts = steps.keep(contexts.drop("centre").dropDuplicates(["piece"]))
     sizes = contexts.groupBy("core").agg(F.count(F.lit(1)).alias("c"))
-    crowd = sizes.where(F.col("c") > how.crowded).select("core")
+    # few keys as a rule, and then sent: contexts of one anchor need not meet in a task
+    crowd = maybe_broadcast(steps.keep(sizes.where(F.col("c") > how.crowded).select("core")))
     calm = contexts.join(crowd, "core", "left_anti")
     buckets = max(1, -(-contexts.count() // how.group))
     masks = _sorted_masks(calm, how, buckets).unionByName(_crowded(contexts.join(crowd, "core", "left_semi"), how))
