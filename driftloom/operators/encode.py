@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftloom.functions.columns import col
@@ -113,11 +114,13 @@ def apply_fold_encoding(
     suffix: str = "_TE",
     spread_by: Sequence[str] | None = None,
     known_rows: int | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
+    """Add <col>_TE from a table of encodings per fold. also: further key columns that both sides have."""
     for c in cols:
-        one = table.where(F.col("column") == c).select(F.col("category").alias("__category"), fold, "n", "encoding")
+        one = table.where(F.col("column") == c).select(F.col("category").alias("__category"), fold, *also, "n", "encoding")
         keyed = df.withColumn("__category", as_category(c))
-        joined = lookup_join(keyed, one, ["__category", fold], "n", ["encoding"], spread_by, known_rows)
+        joined = lookup_join(keyed, one, ["__category", fold, *also], "n", ["encoding"], spread_by, known_rows)
         df = joined.withColumnRenamed("encoding", f"{c}{suffix}").drop("__category")
     return df
 
@@ -134,7 +137,7 @@ def effective_folds(df: DataFrame, label: str, folds: int) -> int:
 def freeze_categories(df: DataFrame, cols: Sequence[str], most: int = 10_000) -> dict[str, list[str]]:
     """Sorted distinct values at fit, per column with at most `most` of them: those become columns of the wide form.
 
-    Wider columns are left out; `category_index` numbers their values in Spark instead.
+    Wider columns are not in the result; `category_index` numbers their values in Spark, and `sparse_flags` makes one vector of them.
     """
     cells = [F.struct(F.lit(c).alias("column"), as_category(c).alias("category")) for c in cols]
     distinct = df.select(F.inline(F.array(*cells))).distinct()
@@ -157,6 +160,29 @@ def apply_category_index(df: DataFrame, table: DataFrame, c: str, known_rows: in
     return joined.withColumn(f"{c}_index", F.coalesce("index", F.lit(-1))).drop("category", "index")
 
 
+def flag_encoder(c: str, categories: int, drop_first: bool = True) -> OneHotEncoderModel:
+    """Turns <c>_index into <c>_flags, a sparse vector with a place for each category (but the first); unseen values are all 0.
+
+    Fitted on the one number that it needs, so no data is read.
+    """
+    spark = SparkSession.active()
+    size = max(categories - int(drop_first), 1)
+    # the last place stands for values without a flag, and is dropped
+    encoder = OneHotEncoder(inputCols=[f"__{c}_place"], outputCols=[f"{c}_flags"], handleInvalid="keep", dropLast=True)
+    return encoder.fit(spark.createDataFrame([(float(size - 1),)], f"`__{c}_place` double"))
+
+
+def sparse_flags(
+    df: DataFrame, table: DataFrame, c: str, encoder: OneHotEncoderModel, drop_first: bool = True, known_rows: int | None = None
+) -> DataFrame:
+    """Replace a column of any number of categories by <c>_flags. table: of `category_index`."""
+    size = encoder.categorySizes[0]
+    place = F.col(f"{c}_index") - int(drop_first)
+    indexed = apply_category_index(df, table, c, known_rows)
+    placed = indexed.withColumn(f"__{c}_place", F.when((place >= 0) & (place < size), place).otherwise(size).cast("double"))
+    return encoder.transform(placed).drop(c, f"{c}_index", f"__{c}_place")
+
+
 def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]], drop_first: bool = True) -> DataFrame:
     """Replace each column by <col>_<value> flags. The first category is left out; unseen values are all 0."""
     flags = {

@@ -1,62 +1,33 @@
-"""Exact nearest-neighbour imputation without comparing every row with every donor.
+"""Exact nearest-neighbour imputation from a space tree over the donors that is built once.
 
-Donors are cut into cells along per-column quantiles. From the cells' bounding boxes follow, for
-every cell of receivers, a radius that is sure to hold k donors, and the donor cells that can lie within
-it. A receiver meets the donors of those cells only. Cells with many members are cut into blocks
-of a fixed size, and a block hands on the k best donors of each of its receivers.
+Fit cuts the donors by medians into leaves of about equal size, and stores them with each leaf's bounding box. A search
+takes two rounds. First every receiver asks the nearest leaves that are sure to hold k donors; its k-th distance there bounds what may
+still be nearer, and in the second round it asks only the other leaves whose box is within that distance. So what is
+exchanged grows with the receivers, and a further transform neither reads nor writes the donors again. Rows with the same
+columns missing are leaves of their own, which keeps the bounds exact where columns are missing.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftloom.functions.columns import bucket_index, nan_to_null
+from driftloom.functions.columns import nan_to_null
 from driftloom.functions.joins import lookup_join, row_bound
 from driftloom.session import durable
 
-DONORS_PER_BLOCK = 4096
-MAX_CELLS = 65_536
-SLICE = 256
-
-
-def _grid(donors: DataFrame, features: Sequence[str], donors_per_cell: int) -> dict[str, list[float]]:
-    """Inner cell edges per feature: about donors/donors_per_cell cells, and never more than MAX_CELLS.
-
-    A missing value is one more slot of its column.
-    """
-    p = len(features)
-    n = donors.count()
-    per_axis = max(1, math.ceil((n / donors_per_cell) ** (1 / p)))
-    while per_axis > 1 and (per_axis + 1) ** p > MAX_CELLS:
-        per_axis -= 1
-    if per_axis == 1:
-        return {c: [] for c in features}
-    probs = [i / per_axis for i in range(1, per_axis)]
-    row = donors.agg(*[F.percentile_approx(c, probs, 10_000).alias(c) for c in features]).first()
-    return {c: sorted(set(row[c] or [])) for c in features}
-
-
-def _cell(features: Sequence[str], grid: dict[str, list[float]]) -> Column:
-    code = F.lit(0).cast("long")
-    for c in features:
-        slot = F.coalesce(bucket_index(c, grid[c]) + 1, F.lit(0))
-        code = code * (len(grid[c]) + 2) + slot
-    return code
-
-
-def _boxes(rows: DataFrame, features: Sequence[str], key: str) -> DataFrame:
-    """(cell, n, lo, hi): bounding box per cell; NaN where the cell holds missing values of a column."""
-    lows = [F.coalesce(F.min(c), F.lit(float("nan"))) for c in features]
-    highs = [F.coalesce(F.max(c), F.lit(float("nan"))) for c in features]
-    return rows.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*lows).alias("lo"), F.array(*highs).alias("hi")
-    ).withColumnRenamed("cell", key)
+# Donors of a leaf, about; and leaves at most of one tree, whose boxes every task of a search holds.
+DONORS_PER_BLOCK = 1024
+MOST_LEAVES = 16_384
+# Donors, about, from which the tree's cuts are taken. The cuts only balance the work.
+SAMPLE = 200_000
+# Cells of a distance matrix that are computed at once.
+CELLS = 1 << 20
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
@@ -71,178 +42,235 @@ def squared_distances(a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
     return np.where(shared > 0, total * (width / np.maximum(shared, 1)), np.inf)
 
 
-def _route(cells: pd.DataFrame, k: int, width: int):
-    """For every receiver cell the donor cells that may hold one of its k nearest donors."""
-    codes = cells["d_cell"].to_numpy()
-    counts = cells["n"].to_numpy(dtype=float)
-    d_lo, d_hi = np.array(cells["lo"].tolist(), dtype=float), np.array(cells["hi"].tolist(), dtype=float)
-
-    def route(batches):
-        for frame in batches:
-            lists = []
-            for lo, hi in zip(frame["lo"], frame["hi"]):
-                lo, hi = np.array(lo, dtype=float), np.array(hi, dtype=float)
-                both = ~np.isnan(d_lo) & ~np.isnan(lo)
-                near = np.where(both, np.maximum(0.0, np.maximum(d_lo - hi, lo - d_hi)), 0.0)
-                far = np.where(both, np.maximum(np.abs(d_hi - lo), np.abs(hi - d_lo)), 0.0)
-                shared = both.sum(axis=1)
-                scale = width / np.maximum(shared, 1)
-                nearest = np.where(shared > 0, (near * near).sum(axis=1) * scale, np.inf)
-                farthest = np.where(shared > 0, (far * far).sum(axis=1) * scale, np.inf)
-                by_far = np.argsort(farthest, kind="stable")
-                held = np.cumsum(np.where(np.isfinite(farthest[by_far]), counts[by_far], 0.0))
-                at = int(np.searchsorted(held, k))
-                reach = farthest[by_far[at]] if at < len(by_far) else np.inf
-                # a hair of slack, since box and point distances round differently
-                wanted = np.flatnonzero((nearest <= reach * (1 + 1e-9)) & np.isfinite(nearest))
-                lists.append(codes[wanted].tolist())
-            yield pd.DataFrame({"r_cell": frame["r_cell"], "d_cells": lists})
-
-    return route
-
-
-def _block_neighbours(features: Sequence[str], id_col: str, k: int, width: int):
+def box_distances(x: np.ndarray, low: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
+    """What squared_distances of a row and any row inside a box is at least. NaN bounds: all rows of the box miss the column."""
+    total, shared = np.zeros((len(x), len(low))), np.zeros((len(x), len(low)))
+    for i in range(x.shape[1]):
+        at = x[:, i, None]
+        gap = np.maximum(0.0, np.maximum(low[None, :, i] - at, at - high[None, :, i]))
+        both = ~np.isnan(gap)
+        total += np.where(both, gap * gap, 0.0)
+        shared += both
+    return np.where(shared > 0, total * (width / np.maximum(shared, 1)), np.inf)
+
+
+def grow(sample: np.ndarray, per_leaf: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """A tree as (column, cut) of its inner nodes in heap order: the children of node i are 2i + 1 and 2i + 2; column -1 is a leaf.
+
+    Each node is cut at the median of the column in which its rows are spread most, measured by the spread of the whole sample.
+    """
+    depth = 0
+    while 2 ** (depth + 1) <= most and len(sample) / 2**depth > per_leaf:
+        depth += 1
+    column, cut = np.full(2**depth - 1, -1), np.zeros(2**depth - 1)
+    known = np.where(np.isnan(sample), -np.inf, sample)
+    groups = {0: np.arange(len(sample))}
+    for node in range(len(column)):
+        rows = groups.pop(node, None)
+        if rows is None or len(rows) < 2:
+            continue
+        part = sample[rows]
+        held = np.isfinite(part)
+        extent = np.where(held.any(0), np.where(held, part, -np.inf).max(0) - np.where(held, part, np.inf).min(0), 0.0)
+        best = int(np.argmax(extent))
+        if not extent[best] > 0:
+            continue
+        values = np.sort(part[held[:, best], best])
+        middle = values[(len(values) - 1) // 2]
+        # a cut below the largest value, so that no side is empty
+        at = middle if middle < values[-1] else values[np.searchsorted(values, middle) - 1]
+        column[node], cut[node] = best, at
+        left = known[rows, best] <= at
+        groups[2 * node + 1], groups[2 * node + 2] = rows[left], rows[~left]
+    return column, cut
+
+
+def leaf_number(x: np.ndarray, column: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The leaf of each row; a missing value goes left."""
+    at = np.zeros(len(x), np.int64)
+    known = np.where(np.isnan(x), -np.inf, x)
+    row = np.arange(len(x))
+    while len(column):
+        inside = at < len(column)
+        here = np.where(inside, at, 0)
+        inner = inside & (column[here] >= 0)
+        if not inner.any():
+            break
+        right = known[row, np.maximum(column[here], 0)] > cut[here]
+        at = np.where(inner, 2 * at + 1 + right, at)
+    return at
+
+
+def _rows(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().fill_null(float("nan")).to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
+
+
+def fit(
+    donors: DataFrame, cols: Sequence[str], id_col: str, k: int = 5, targets: Sequence[str] | None = None,
+    donors_per_block: int = DONORS_PER_BLOCK, by: str | None = None,
+) -> dict[str, DataFrame]:
+    """Stored tables that `fill` searches: points_<target>, leaves_<target> of every target, and means (target, part, mean).
+
+    points: (leaf, part, id, the other columns, value), of donors at one point the first k ids, since more cannot all be neighbours.
+    leaves: (leaf, part, n, low, high). by: a column of few whole numbers; receivers meet donors of their own number only.
+    """
+    cols = list(cols)
+    pool = donors.select(id_col, (F.col(by).cast("long") if by else F.lit(0).cast("long")).alias("part"), *[nan_to_null(c).alias(c) for c in cols])
+    tables, means = {}, None
+    for target in targets or cols:
+        features = [c for c in cols if c != target]
+        points = pool.where(F.col(target).isNotNull()).select("part", F.col(id_col).cast("long").alias("id"), *features, F.col(target).cast("double").alias("value"))
+        points = durable(points.withColumn("__k", F.row_number().over(Window.partitionBy("part", *features).orderBy("id"))).where(F.col("__k") <= k).drop("__k"))
+        every = max(1, -(-points.count() // SAMPLE))
+        sample = points.where(F.pmod(F.xxhash64("part", *features), F.lit(every)) == 0).select(*features).toPandas().to_numpy(dtype=float)
+        column, cut = grow(sample, donors_per_block / every, MOST_LEAVES)
+        number = F.arrow_udf(lambda x, w=len(features), c=column, t=cut: pa.array(leaf_number(_rows(x, w), c, t)), "long")
+        missing = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in features]) if features else F.lit("")
+        leaf = F.concat_ws(":", "part", missing, number(F.array(*features)) if features else F.lit(0))
+        points = durable(points.withColumn("leaf", leaf))
+        low = F.array(*[F.coalesce(F.min(c), F.lit(float("nan"))) for c in features])
+        high = F.array(*[F.coalesce(F.max(c), F.lit(float("nan"))) for c in features])
+        tables[f"points_{target}"] = points
+        tables[f"leaves_{target}"] = durable(points.groupBy("leaf", "part").agg(F.count(F.lit(1)).alias("n"), low.alias("low"), high.alias("high")))
+        mean = pool.groupBy("part").agg(F.avg(target).alias("mean")).select(F.lit(target).alias("target"), "part", "mean")
+        means = mean if means is None else means.unionByName(mean)
+    tables["means"] = durable(means)
+    return tables
+
+
+def _leaves(table: DataFrame, features: int) -> tuple[np.ndarray, ...]:
+    """The boxes, at most MOST_LEAVES for each set of missing columns and part."""
+    rows = table.orderBy("leaf").collect()
+    box = lambda c: np.array([r[c] for r in rows], np.float64).reshape(len(rows), features)
+    return np.array([r["leaf"] for r in rows], object), np.array([r["part"] for r in rows]), np.array([r["n"] for r in rows], float), box("low"), box("high")
+
+
+def _wanted(leaves: tuple, k: int, width: int, size: int) -> Column:
+    """The leaves that a receiver asks: with a reach those within it but the ones it has asked, without one the nearest with k donors."""
+    names, part, count, low, high = leaves
+    place = {name: i for i, name in enumerate(names)}
+
+    def run(points: pa.Array, parts: pa.Array, reach: pa.Array, asked: pa.Array) -> pa.Array:
+        x, own = _rows(points, size), parts.to_numpy(zero_copy_only=False)
+        limits, before, out = reach.to_pylist(), asked.to_pylist(), []
+        step = max(1, CELLS // max(len(names), 1))
+        for a in range(0, len(x), step):
+            near = box_distances(x[a : a + step], low, high, width)
+            near[own[a : a + step, None] != part[None, :]] = np.inf
+            for i, row in enumerate(near, a):
+                if before[i] is None:
+                    order = np.argsort(row, kind="stable")
+                    order = order[np.isfinite(row[order])]
+                    picked = order[: int(np.searchsorted(np.cumsum(count[order]), k)) + 1]
+                else:
+                    # a hair of slack, since box and point distances round differently
+                    limit = np.inf if limits[i] is None else limits[i] * limits[i] * (1 + 1e-9)
+                    inside = (row <= limit) & np.isfinite(row)
+                    inside[[place[n] for n in before[i]]] = False
+                    picked = np.flatnonzero(inside)
+                out.append(names[picked].tolist())
+        return pa.array(out, pa.list_(pa.string()))
+
+    return F.arrow_udf(run, "array<string>")(F.col("x"), F.col("part"), F.col("reach"), F.col("asked"))
+
+
+def _block_neighbours(features: Sequence[str], k: int, width: int):
+    names = ["point", "d", "id", "value"]
+
     def best(receivers: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
-        names = [*features, "d", id_col, "value"]
         if not len(receivers) or not len(donors):
-            return pd.DataFrame({c: pd.Series(dtype="int64" if c == id_col else float) for c in names})
-        donors = donors.sort_values(id_col)
+            return pd.DataFrame({c: pd.Series(dtype="int64" if c in ("point", "id") else float) for c in names})
+        donors = donors.sort_values("id")
         points = donors[list(features)].to_numpy(dtype=float)
-        ids, values = donors[id_col].to_numpy(), donors["value"].to_numpy(dtype=float)
-        asked = receivers[list(features)].to_numpy(dtype=float)
-        parts = []
-        for at in range(0, len(asked), SLICE):
-            block = asked[at : at + SLICE]
-            d2 = squared_distances(block, points, width)
+        ids, values = donors["id"].to_numpy(), donors["value"].to_numpy(dtype=float)
+        asked, who = np.stack(receivers["x"].to_list()).astype(float), receivers["point"].to_numpy()
+        parts, step = [], max(1, CELLS // len(points))
+        for at in range(0, len(asked), step):
+            d2 = squared_distances(asked[at : at + step], points, width)
             order = np.argsort(d2, axis=1, kind="stable")[:, :k]
             d = np.sqrt(np.take_along_axis(d2, order, axis=1))
             row, _ = np.nonzero(np.isfinite(d))
-            flat, dist = order[np.isfinite(d)], d[np.isfinite(d)]
-            part = pd.DataFrame(block[row], columns=list(features))
-            part["d"], part[id_col], part["value"] = dist, ids[flat], values[flat]
-            parts.append(part)
+            flat = order[np.isfinite(d)]
+            parts.append(pd.DataFrame({"point": who[at + row], "d": d[np.isfinite(d)], "id": ids[flat], "value": values[flat]}))
         return pd.concat(parts, ignore_index=True)[names]
 
     return best
 
 
+def _search(asked: DataFrame, points: DataFrame, features: Sequence[str], k: int, width: int, per_block: int) -> DataFrame:
+    """(point, d, id, value): the k nearest donors in each asked leaf's blocks. asked: (point, x, leaf)."""
+    counts = asked.groupBy("leaf").agg(F.count(F.lit(1)).alias("r")).join(points.groupBy("leaf").agg(F.count(F.lit(1)).alias("d")), "leaf")
+    blocks = counts.select("leaf", F.ceil(F.col("r") / (4 * per_block)).cast("int").alias("rs"), F.ceil(F.col("d") / (4 * per_block)).cast("int").alias("ds"))
+    blocks = F.broadcast(blocks)  # one row per leaf
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = asked.join(blocks, "leaf").select("point", "x", "leaf", F.pmod(F.xxhash64("point"), F.col("rs")).cast("int").alias("rb"), every("ds").alias("db"))
+    right = points.join(blocks, "leaf").select("id", *features, "value", "leaf", every("rs").alias("rb"), F.pmod(F.xxhash64("id"), F.col("ds")).cast("int").alias("db"))
+    keys = ["leaf", "rb", "db"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys))
+    return found.applyInPandas(_block_neighbours(features, k, width), "point long, d double, id long, value double")
+
+
 def neighbour_means(
-    receivers: DataFrame,
-    donors: DataFrame,
-    features: Sequence[str],
-    target: str,
-    id_col: str,
-    k: int = 5,
-    width: int | None = None,
-    donors_per_block: int = DONORS_PER_BLOCK,
+    receivers: DataFrame, tables: Mapping[str, DataFrame], features: Sequence[str], target: str, k: int, width: int, donors_per_block: int = DONORS_PER_BLOCK
 ) -> DataFrame:
-    """(features..., n, estimate): per distinct receiver point the mean of its k nearest donors, weighted by 1/d.
+    """(part, features..., n, estimate): per distinct receiver point the mean of its k nearest donors, weighted by 1/d.
 
-    Neighbours are the first k by (distance, id). Donors at distance 0, if any, are the only ones that count.
-    Points that share no column with any donor are absent from the result.
+    receivers: (part, features). Neighbours are the first k by (distance, id). Donors at distance 0, if any, are the only ones that
+    count. Points that share no column with any donor are absent from the result.
     """
-    features = list(features)
-    width = width or len(features) + 1
-    # more than k donors at one point cannot all be neighbours: the first k ids are enough
-    same = Window.partitionBy(*features).orderBy(id_col)
-    points = (
-        donors.where(F.col(target).isNotNull())
-        .select(id_col, *features, F.col(target).cast("double").alias("value"))
-        .withColumn("__k", F.row_number().over(same))
-        .where(F.col("__k") <= k)
-        .drop("__k")
-    )
-    points = durable(points)
-    grid = _grid(points, features, donors_per_block)
-    points = points.withColumn("cell", _cell(features, grid))
-    asked = receivers.groupBy(*features).agg(F.count(F.lit(1)).alias("n")).withColumn("cell", _cell(features, grid))
-    asked = durable(asked)
-    d_cells = _boxes(points, features, "d_cell").toPandas()  # at most MAX_CELLS rows
-    empty = ", ".join(f"`{c}` double" for c in features)
-    if not len(d_cells):
-        return receivers.sparkSession.createDataFrame([], f"{empty}, n long, estimate double")
-    routes = durable(
-        _boxes(asked, features, "r_cell").select("r_cell", "lo", "hi").mapInPandas(
-            _route(d_cells, k, width), "r_cell long, d_cells array<long>"
-        )
-    )
-    # one route row per cell, so a crowded cell repeats on the receivers' side only
-    sent = asked.withColumnRenamed("cell", "r_cell").join(routes, "r_cell")
-    sent = sent.select(*features, F.explode("d_cells").alias("d_cell"))
-    # blocks per cell, from counted sizes; one row per non-empty cell
-    loads = sent.groupBy("d_cell").agg(F.count(F.lit(1)).alias("r")).join(
-        points.groupBy(F.col("cell").alias("d_cell")).agg(F.count(F.lit(1)).alias("d")), "d_cell"
-    )
-    blocks = loads.select(
-        "d_cell",
-        F.ceil(F.col("r") / donors_per_block).cast("int").alias("r_blocks"),
-        F.ceil(F.col("d") / donors_per_block).cast("int").alias("d_blocks"),
-    )
-    mix = F.xxhash64(*features)
-    left = sent.join(F.broadcast(blocks), "d_cell").select(
-        *features,
-        "d_cell",
-        F.pmod(mix, F.col("r_blocks")).cast("int").alias("rb"),
-        F.explode(F.sequence(F.lit(0), F.col("d_blocks") - 1)).alias("db"),
-    )
-    right = points.withColumnRenamed("cell", "d_cell").join(F.broadcast(blocks), "d_cell").select(
-        id_col,
-        *features,
-        "value",
-        "d_cell",
-        F.explode(F.sequence(F.lit(0), F.col("r_blocks") - 1)).alias("rb"),
-        F.pmod(F.xxhash64(id_col), F.col("d_blocks")).cast("int").alias("db"),
-    )
-    keys = ["d_cell", "rb", "db"]
-    found = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(
-            _block_neighbours(features, id_col, k, width), f"{empty}, d double, `{id_col}` long, value double"
-        )
-        .withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in features})
-    )
-    nearest = Window.partitionBy(*features).orderBy("d", id_col)
-    kept = found.withColumn("__r", F.row_number().over(nearest)).where(F.col("__r") <= k)
+    points = tables[f"points_{target}"].drop("part")
+    leaves = _leaves(tables[f"leaves_{target}"], len(features))
+    asked = receivers.groupBy("part", *features).agg(F.count(F.lit(1)).alias("n"))
+    asked = durable(asked.withColumn("point", F.monotonically_increasing_id()).withColumn("x", F.array(*[F.coalesce(c, F.lit(float("nan"))) for c in features])))
+    none = [F.lit(None).cast("double").alias("reach"), F.lit(None).cast("array<string>").alias("asked")]
+    wanted = _wanted(leaves, k, width, len(features)).alias("leaves")
+    first = durable(asked.select("point", "x", "part", *none).select("point", "x", "part", wanted))
+    best = Window.partitionBy("point").orderBy("d", "id")
+    nearest = lambda df: df.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k).drop("__r")
+    one = durable(nearest(_search(first.select("point", "x", F.explode("leaves").alias("leaf")), points, features, k, width, donors_per_block)))
+    reach = one.groupBy("point").agg(F.when(F.count(F.lit(1)) >= k, F.max("d")).alias("reach"))
+    more = first.withColumnRenamed("leaves", "asked").join(reach, "point", "left").select("point", "x", "part", "reach", "asked")
+    more = more.select("point", "x", F.explode(wanted).alias("leaf"))
+    kept = nearest(one.unionByName(_search(durable(more), points, features, k, width, donors_per_block)))
     zero = F.col("d") == 0
     estimate = F.when(F.count_if(zero) > 0, F.avg(F.when(zero, F.col("value")))).otherwise(
         F.sum(F.when(~zero, F.col("value") / F.col("d"))) / F.sum(F.when(~zero, 1.0 / F.col("d")))
     )
-    means = kept.groupBy(*features).agg(estimate.alias("estimate"))
-    same_point = [asked[c].eqNullSafe(means[c]) for c in features]
-    return asked.join(means, same_point).select(*[asked[c] for c in features], "n", "estimate")
+    means = kept.groupBy("point").agg(estimate.alias("estimate"))
+    return asked.join(means, "point").select("part", *features, "n", "estimate")
 
 
-def knn_fill(
-    df: DataFrame,
-    donors: DataFrame,
-    cols: Sequence[str],
-    id_col: str,
-    k: int = 5,
-    targets: Sequence[str] | None = None,
-    donors_per_block: int = DONORS_PER_BLOCK,
+def fill(
+    df: DataFrame, tables: Mapping[str, DataFrame], cols: Sequence[str], id_col: str, k: int = 5, targets: Sequence[str] | None = None,
+    donors_per_block: int = DONORS_PER_BLOCK, by: str | None = None,
 ) -> DataFrame:
-    """Fill every missing cell of `cols` (or of `targets`) from the k nearest donors, measured on all of `cols`.
+    """Fill every missing cell of `cols` (or of `targets`) from the k nearest donors of fitted tables, measured on all of `cols`.
 
     All cells are filled from the values as they came in, so the order of columns does not matter.
     A cell without any comparable donor gets the donors' column mean.
     """
-    cols = list(cols)
-    pool = donors.select(id_col, *[nan_to_null(c).alias(c) for c in cols])
-    kept = df.columns
-    work = df.withColumns({f"__raw_{c}": nan_to_null(c) for c in cols})
+    cols, kept = list(cols), df.columns
+    part = F.col(by).cast("long") if by else F.lit(0).cast("long")
+    work = df.withColumns({"__part": part, **{f"__raw_{c}": nan_to_null(c) for c in cols}})
+    means = {(r["target"], r["part"]): r["mean"] for r in tables["means"].collect()}  # one per column and part
     for target in targets or cols:
         features = [c for c in cols if c != target]
         raw = [f"__raw_{c}" for c in features]
         asking = work.where(F.col(f"__raw_{target}").isNull())
         if asking.isEmpty():
             continue
-        points = asking.select(*[F.col(r).alias(c) for r, c in zip(raw, features)])
-        means = neighbour_means(points, pool, features, target, id_col, k, len(cols), donors_per_block)
-        table = durable(means.select(*[F.col(c).alias(r) for r, c in zip(raw, features)], "n", "estimate"))
-        fallback = pool.agg(F.avg(target)).scalar()
-        joined = lookup_join(work, table, raw, "n", ["estimate"], [id_col], row_bound(table))
-        work = joined.withColumn(
-            target, F.coalesce(F.col(f"__raw_{target}"), F.col("estimate"), fallback)
-        ).drop("estimate")
+        points = asking.select(F.col("__part").alias("part"), *[F.col(r).alias(c) for r, c in zip(raw, features)])
+        found = neighbour_means(points, tables, features, target, k, len(cols), donors_per_block)
+        table = durable(found.select(F.col("part").alias("__part"), *[F.col(c).alias(r) for r, c in zip(raw, features)], "n", "estimate"))
+        joined = lookup_join(work, table, ["__part", *raw], "n", ["estimate"], [id_col], row_bound(table))
+        of_part = [F.when(F.col("__part") == p, F.lit(m)) for (t, p), m in means.items() if t == target]
+        work = joined.withColumn(target, F.coalesce(F.col(f"__raw_{target}"), F.col("estimate"), *of_part)).drop("estimate")
     return work.select(*kept)
+
+
+def knn_fill(
+    df: DataFrame, donors: DataFrame, cols: Sequence[str], id_col: str, k: int = 5, targets: Sequence[str] | None = None,
+    donors_per_block: int = DONORS_PER_BLOCK, by: str | None = None,
+) -> DataFrame:
+    """fit and fill in one go."""
+    return fill(df, fit(donors, cols, id_col, k, targets, donors_per_block, by), cols, id_col, k, targets, donors_per_block, by)

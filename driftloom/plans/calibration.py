@@ -9,10 +9,11 @@ from pyspark.ml import Estimator
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftloom.functions.joins import row_bound
+from driftloom.operators import isotonic
 from driftloom.operators.folds import stratified_folds
 from driftloom.operators.scoring import positive_probability
 from driftloom.plans.learners import SEED
@@ -45,6 +46,13 @@ class CalibratedModel(ComposedModel):
         )
 
 
+class IsotonicMap(ComposedModel):
+    """From __score to __calibrated. state: edges, rows (up to the broadcast limit). tables: blocks, as isotonic.lay_out makes them."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return isotonic.apply_map(df, self.tables["blocks"], self.state["edges"], "__score", "__calibrated", self.state["rows"])
+
+
 def fit_map(scores: DataFrame, label: str, score: str, method: str):
     """The map from a score to a calibrated probability.
 
@@ -54,9 +62,9 @@ def fit_map(scores: DataFrame, label: str, score: str, method: str):
         F.avg(F.col(label).cast("double")).alias("__share"), F.count(F.lit(1)).cast("double").alias("__weight")
     )
     if method == "isotonic":
-        return IsotonicRegression(
-            featuresCol="__score", labelCol="__share", weightCol="__weight", predictionCol="__calibrated"
-        ).fit(points)
+        blocks = durable(isotonic.fit_isotonic(points, "__score", "__share", "__weight"))
+        table, edges = isotonic.lay_out(blocks)
+        return IsotonicMap({"edges": edges, "rows": row_bound(table)}, {"blocks": table})
     if method == "sigmoid":
         both = points.select(
             "__score",

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftloom.functions.columns import nan_to_null
-from driftloom.functions.joins import row_bound
-from driftloom.operators import bins, encode, knn, missing, parse
+from driftloom.functions.joins import lookup_join, row_bound
+from driftloom.operators import bins, encode, fold_fits, knn, missing, parse
 from driftloom.operators.folds import stratified_folds
 from driftloom.plans.persist import ComposedModel
 from driftloom.session import durable
@@ -57,7 +57,8 @@ def derived(df: DataFrame, quartiles: Sequence[float]) -> DataFrame:
 
 
 class FeatureBuilderModel(ComposedModel):
-    """state: id_col, label, mode, quartiles, prior, categories, columns, age_flag, k. tables: donors, tickets, fares, encodings."""
+    """state: id_col, label, mode, quartiles, prior, categories, wide, columns, age_flag, k. tables: of knn.fit, tickets, fares, encodings, and
+    index_<c> of each column c in wide: those with too many categories for a column each, which become a sparse vector."""
 
     @property
     def columns(self) -> list[str]:
@@ -81,7 +82,7 @@ class FeatureBuilderModel(ComposedModel):
         if fill_fare:
             rows = missing.fill_group_median(rows, self.tables["fares"], "Pclass", "Fare", self.known("fares"))
         rows = rows.withColumn("Age_is_na", F.col("Age").isNull().cast("int"))
-        rows = knn.knn_fill(rows, self.tables["donors"], NEIGHBOUR_INPUTS, id_col, s["k"], targets=["Age"])
+        rows = knn.fill(rows, self.tables, NEIGHBOUR_INPUTS, id_col, s["k"], targets=["Age"])
         rows = derived(rows, s["quartiles"])
         return encode.frequency_encode(
             rows, self.tables["tickets"], "Ticket", "TicketFrequency", spread_by=[id_col], known_rows=self.known("tickets")
@@ -89,6 +90,8 @@ class FeatureBuilderModel(ComposedModel):
 
     def finish(self, encoded: DataFrame, keep: Sequence[str]) -> DataFrame:
         flags = encode.one_hot(encoded, self.state["categories"])
+        for c in self.state.get("wide", []):
+            flags = encode.sparse_flags(flags, self.tables[f"index_{c}"], c, self.models[f"flags_{c}"], known_rows=self.known(f"index_{c}"))
         return encode.align(flags, self.columns, keep)
 
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -118,10 +121,12 @@ class FeatureBuilder(Estimator):
         folds: int = ENCODER_FOLDS,
         default_prior: float = DEFAULT_PRIOR,
         k: int = 5,
+        most_flags: int = 10_000,
     ):
+        """most_flags: categories of a column that get a column each; a wider one becomes one sparse vector, <c>_flags."""
         super().__init__()
         self.id_col, self.label, self.m, self.folds = id_col, label, m, folds
-        self.default_prior, self.k = default_prior, k
+        self.default_prior, self.k, self.most_flags = default_prior, k, most_flags
 
     def _fit(self, df: DataFrame) -> FeatureBuilderModel:
         return self._fitted(df)[0]
@@ -131,7 +136,8 @@ class FeatureBuilder(Estimator):
         base = parsed(df)
         mode = missing.modes(base, ["Embarked"])["Embarked"] or "S"
         fares = durable(missing.group_medians(base, "Pclass", "Fare"))
-        donors = durable(base.select(self.id_col, *[F.col(c).cast("double").alias(c) for c in NEIGHBOUR_INPUTS]))
+        donors = base.select(self.id_col, *[F.col(c).cast("double").alias(c) for c in NEIGHBOUR_INPUTS])
+        neighbours = knn.fit(donors, NEIGHBOUR_INPUTS, self.id_col, self.k, ["Age"])
         tickets = durable(encode.key_counts(base, "Ticket"))
         quartiles = bins.quartiles(base, "Fare")
         state = {
@@ -144,16 +150,20 @@ class FeatureBuilder(Estimator):
         }
         gaps = missing.columns_with_missing(base, ["Age", "Fare"])
         state["age_flag"], state["fare_gaps"] = "Age" in gaps, "Fare" in gaps
-        model = FeatureBuilderModel(state, {"fares": fares, "donors": donors, "tickets": tickets})
+        model = FeatureBuilderModel(state, {"fares": fares, "tickets": tickets, **neighbours})
         # as at fit time: fares keep their gaps, only ages are filled
         rows = durable(model.prepare(df, fill_fare=False, labelled=label is not None))
         if label:
             model.tables["encodings"] = durable(encode.target_encoding(rows, ENCODED_INPUTS, "__label", self.m))
             state["prior"] = rows.agg(F.avg(F.col("__label").cast("double"))).first()[0]
-        state["categories"] = encode.freeze_categories(rows, ONE_HOT_INPUTS)
+        state["categories"] = encode.freeze_categories(rows, ONE_HOT_INPUTS, self.most_flags)
+        state["wide"] = [c for c in ONE_HOT_INPUTS if c not in state["categories"]]
         numeric = [*NUMERIC_OUTPUTS, *(["Age_is_na"] if state["age_flag"] else [])]
         flags = [f"{c}_{v}" for c in ONE_HOT_INPUTS for v in state["categories"].get(c, [])[1:]]
-        state["columns"] = [*numeric, *flags]
+        for c in state["wide"]:
+            model.tables[f"index_{c}"] = index = durable(encode.category_index(rows, c))
+            model.models[f"flags_{c}"] = encode.flag_encoder(c, index.count())
+        state["columns"] = [*numeric, *flags, *[f"{c}_flags" for c in state["wide"]]]
         return model, rows
 
     def fit_transform(self, df: DataFrame, leaky: bool = False) -> tuple[FeatureBuilderModel, DataFrame]:
@@ -183,6 +193,58 @@ class FeatureBuilder(Estimator):
         return model, model.finish(encoded, [self.id_col, label])
 
 
+    def fold_features(self, df: DataFrame, fold: str, folds: int) -> tuple[list[str], DataFrame]:
+        """(columns, rows) for out-of-fold training: everything is fitted without the fold that is held out.
+
+        rows: (id, label, fold, fit, held, columns...), each record once per left-out fold `fit`. held: it is the fold's own row,
+        with what the other folds tell (as a new record would get it); else a training row of that fit, with encodings that leave out its
+        own fold too. Statistics come from one count per value and fold (operators.fold_fits), so there is no pass per fold.
+        Flags of a category that the other folds don't have are 0 in all training rows of that fit, so no model can use them.
+        """
+        if not (self.label and self.label in df.columns):
+            raise ValueError("folds need a label")
+        id_col, number = self.id_col, F.col(fold).cast("int")
+        base = durable(parsed(df.withColumn("__label", F.col(self.label).cast("int")).drop(self.label)).withColumn(fold, number))
+        grid = F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))
+        # one row per fold each
+        modes = {r["fit"]: r["mode"] for r in fold_fits.leave_out_modes(base, ["Embarked"], fold, folds).collect()}
+        quartiles = {
+            r["fit"]: list(r["quantiles"])
+            for r in fold_fits.leave_out_percentiles(base, ["Fare"], [0.25, 0.5, 0.75], fold, folds).collect()
+        }
+        medians = fold_fits.leave_out_percentiles(base, ["Fare"], [0.5], fold, folds, by=["Pclass"])
+        medians = durable(medians.select("fit", "Pclass", "n", F.col("quantiles")[0].alias("median")))
+        tickets = durable(fold_fits.leave_out_frequencies(base, "Ticket", fold, folds))
+        port = F.coalesce("Embarked", *[F.when(F.col("fit") == f, F.lit(modes.get(f, "S"))) for f in range(folds)])
+        rows = base.withColumn("fit", grid).withColumn("Embarked", port)
+        rows = lookup_join(rows, medians, ["fit", "Pclass"], "n", ["median"], known_rows=row_bound(medians))
+        rows = rows.withColumn("Fare", F.coalesce("Fare", "median")).drop("median").withColumn("Age_is_na", F.col("Age").isNull().cast("int"))
+        donors = base.select(id_col, fold, *[F.col(c).cast("double").alias(c) for c in NEIGHBOUR_INPUTS])
+        donors = donors.withColumn("fit", grid).where(F.col("fit") != F.col(fold))
+        rows = knn.knn_fill(rows, donors, NEIGHBOUR_INPUTS, id_col, self.k, targets=["Age"], by="fit")
+        cut = [F.when(F.col("fit") == f, bins.quantile_bin("Fare", quartiles.get(f, []))) for f in range(folds)]
+        rows = derived(rows, []).withColumn("FareBin", F.coalesce(*cut))
+        rows = lookup_join(rows, tickets, ["fit", "Ticket"], "n", ["n"], [id_col], row_bound(tickets))
+        rows = durable(rows.withColumn("TicketFrequency", F.coalesce("n", F.lit(1)).cast("long")).drop("n"))
+        table = durable(fold_fits.nested_encodings(rows, ENCODED_INPUTS, "__label", fold, "fit", folds, self.m))
+        if fold != "fold":
+            table = table.withColumnRenamed("fold", fold)
+        encoded = encode.apply_fold_encoding(
+            rows, table, ENCODED_INPUTS, fold, spread_by=[id_col], known_rows=row_bound(table), also=["fit"]
+        )
+        categories = encode.freeze_categories(rows, ONE_HOT_INPUTS, self.most_flags)
+        wide = [c for c in ONE_HOT_INPUTS if c not in categories]
+        gaps = missing.columns_with_missing(base, ["Age"])
+        columns = [*NUMERIC_OUTPUTS, *(["Age_is_na"] if gaps else []), *[f"{c}_{v}" for c in ONE_HOT_INPUTS for v in categories.get(c, [])[1:]]]
+        columns += [f"{c}_flags" for c in wide]
+        encoded = encoded.withColumn(self.label, F.col("__label")).withColumn("held", F.col("fit") == F.col(fold))
+        flags = encode.one_hot(encoded, categories)
+        for c in wide:
+            index = durable(encode.category_index(rows, c))
+            flags = encode.sparse_flags(flags, index, c, encode.flag_encoder(c, index.count()), known_rows=row_bound(index))
+        return columns, encode.align(flags, columns, [id_col, self.label, fold, "fit", "held"])
+
+
 class ColumnSelector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Keeps the named columns that are there and assembles them into a vector."""
 

@@ -9,16 +9,15 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.functions.columns import nan_to_null, numeric_columns
+from driftloom.functions.columns import numeric_columns
 from driftloom.operators import knn, mcar, mice, missing
 from driftloom.plans.persist import ComposedModel
-from driftloom.session import durable
 
 SIMPLE = ("mean", "median", "most_frequent", "constant")
 
 
 class MissingImputerModel(ComposedModel):
-    """state: strategy, columns, id_col, k, values, chain, flagged, on_new, diagnosis. tables: donors (for knn)."""
+    """state: strategy, columns, id_col, k, values, chain, flagged, on_new, diagnosis. tables: of knn.fit (for knn)."""
 
     @property
     def diagnosis(self) -> dict | None:
@@ -32,7 +31,7 @@ class MissingImputerModel(ComposedModel):
         if s["strategy"] in SIMPLE:
             return missing.fill(df, s["values"])
         if s["strategy"] == "knn":
-            return knn.knn_fill(df, self.tables["donors"], cols, s["id_col"], s["k"], s["targets"])
+            return knn.fill(df, self.tables, cols, s["id_col"], s["k"], s["targets"])
         if s["strategy"] == "iterative_mice":
             c = s["chain"]
             steps = tuple(mice.Step(t, b, tuple(w)) for t, b, w in c["steps"])
@@ -85,7 +84,7 @@ class MissingImputer(Estimator):
         elif strategy == "knn":
             if not self.id_col:
                 raise ValueError("knn needs id_col, which orders donors at the same distance")
-            tables["donors"] = durable(df.select(self.id_col, *[nan_to_null(c).alias(c) for c in cols]))
+            tables = knn.fit(df, cols, self.id_col, self.k, self.targets)
         elif strategy == "iterative_mice":
             chain = mice.fit_chain(df, cols)
             steps = [[s.target, s.intercept, list(s.coef)] for s in chain.steps]

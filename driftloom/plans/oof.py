@@ -36,6 +36,18 @@ def fold_models(
     return fit_parallel([lambda f=f: make().fit(df.where(F.col(fold) != f)) for f in range(folds)], parallel)
 
 
+def fitted_fold_scores(
+    rows: DataFrame, make: Callable[[], Estimator], folds: int, keep: Sequence[str], out: str = "p", parallel: int = PARALLEL_FITS
+) -> DataFrame:
+    """(keep..., p) for rows that hold each record once per left-out fold (`fit`, `held`, see FeatureBuilder.fold_features).
+
+    The model of a fold is fitted on the training rows of its fit and scores the held-out ones.
+    """
+    of = lambda f, held: rows.where((F.col("fit") == f) & (F.col("held") == held))
+    models = fit_parallel([lambda f=f: make().fit(of(f, False)) for f in range(folds)], parallel)
+    return union([m.transform(of(f, True)).select(*keep, positive_probability().alias(out)) for f, m in enumerate(models)])
+
+
 def held_out_scores(
     df: DataFrame, models: Sequence[Transformer], fold: str, keep: Sequence[str], out: str = "p"
 ) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml import Transformer
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,23 +32,34 @@ def assembled(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> Da
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df).select(*keep, "features")
 
 
-def importances(model: Transformer) -> list[float]:
-    if hasattr(model, "featureImportances"):
-        return [float(v) for v in model.featureImportances.toArray()]
-    return [abs(float(v)) for v in model.coefficients.toArray()]
+def importances(model: Transformer, widths: Sequence[int] | None = None) -> list[float]:
+    """Importance of each feature; that of a vector of `widths` places is the sum over them."""
+    found = model.featureImportances if hasattr(model, "featureImportances") else model.coefficients
+    places = [abs(float(v)) for v in found.toArray()]
+    if widths is None:
+        return places
+    ends = list(accumulate(widths))
+    return [sum(places[end - n : end]) for n, end in zip(widths, ends, strict=True)]
+
+
+def vector_widths(df: DataFrame, features: Sequence[str]) -> dict[str, int]:
+    """Places of each feature: 1 for a number, those of the first row for a vector."""
+    vectors = [c for c in features if isinstance(df.schema[c].dataType, VectorUDT)]
+    first = df.select(*vectors).first() if vectors else None
+    return {c: len(first[c]) if first and c in vectors else 1 for c in features}
 
 
 def elimination_path(
     df: DataFrame, features: Sequence[str], learner: Learner, label: str, step: int, least: int
 ) -> list[tuple[list[str], Transformer]]:
     """(features, model) from all features down to `least`, dropping the `step` weakest each time."""
-    left, path = list(features), []
+    left, path, widths = list(features), [], vector_widths(df, features)
     while True:
         model = learner.estimator(label=label).fit(assembled(df, left, [label]))
         path.append((list(left), model))
         if len(left) <= least:
             return path
-        weight = dict(zip(left, importances(model)))
+        weight = dict(zip(left, importances(model, [widths[c] for c in left])))
         drop = min(step, len(left) - least)
         gone = set(sorted(left, key=lambda c: (weight[c], -left.index(c)))[:drop])
         left = [c for c in left if c not in gone]

@@ -10,12 +10,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.operators import governance, metrics, scoring
+from driftloom.operators import encode, governance, metrics, scoring
 from driftloom.operators.folds import stratified_folds
 from driftloom.plans.calibration import CalibratedEstimator
 from driftloom.plans.features import ColumnSelector, FeatureBuilder
 from driftloom.plans.learners import META_C, SEED, STACK_BASES, TUNED_GBM, Learner, from_search
-from driftloom.plans.oof import PARALLEL_FITS, fold_models, held_out_scores
+from driftloom.plans.oof import PARALLEL_FITS, fitted_fold_scores, fold_models, held_out_scores
 from driftloom.plans.selection import Selection, select_features
 from driftloom.plans.stacking import StackingEstimator, VotingEstimator
 from driftloom.session import durable, durable_dir
@@ -24,7 +24,8 @@ from driftloom.specs import PROMOTION_AUC
 
 @dataclass(frozen=True)
 class TrainConfig:
-    """mode: single, voting or stacking."""
+    """mode: single, voting or stacking. inside: out-of-fold scores, and so the threshold and all metrics, come from features that
+    were fitted without the held-out fold; columns are selected on the training features of all folds."""
 
     mode: str = "stacking"
     id_col: str = "PassengerId"
@@ -40,6 +41,7 @@ class TrainConfig:
     select_step: int = 1
     calibrate: str | None = "isotonic"
     leaky: bool = False
+    inside: bool = True
     least_auc: float = PROMOTION_AUC
     parallel: int = PARALLEL_FITS
 
@@ -98,8 +100,15 @@ def train(labelled: DataFrame, config: TrainConfig = TrainConfig()) -> TrainResu
         columns = selection.features
     selector = ColumnSelector(columns, keep=[id_col, label, "fold"])
     rows = durable(selector.transform(features).select(id_col, label, "fold", "features"))
-    models = fold_models(rows, lambda: estimator(config), "fold", k, config.parallel)
-    scores = durable(held_out_scores(rows, models, "fold", [id_col, label]))
+    if config.inside and not config.leaky:
+        split = durable(stratified_folds(labelled, label, id_col, k, SEED, "fold"))
+        _, inside = builder.fold_features(split, "fold", k)
+        inside = encode.align(inside, columns, [id_col, label, "fold", "fit", "held"])
+        inside = durable(ColumnSelector(columns, keep=[id_col, label, "fold", "fit", "held"]).transform(inside).drop(*columns))
+        scores = durable(fitted_fold_scores(inside, lambda: estimator(config), k, [id_col, label, "fold"], parallel=config.parallel))
+    else:
+        models = fold_models(rows, lambda: estimator(config), "fold", k, config.parallel)
+        scores = durable(held_out_scores(rows, models, "fold", [id_col, label]))
     sweep = durable(metrics.threshold_sweep(scores, label, "p", metrics.grid(*metrics.WIDE_GRID)))
     best = metrics.best_threshold(sweep).first()
     area = metrics.ranking_metrics(scores, label, "p").first()

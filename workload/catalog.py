@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftloom.operators import encode, metrics
-from workload import evaluation, facts, imputation, models, streams, tabular  # noqa: F401
+from workload import evaluation, facts, foldfits, imputation, models, streams, tabular  # noqa: F401
 from workload.registry import ORACLES, QUERIES, load
 
 
