@@ -4,8 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from driftloom.operators import encode, fold_fits, folds, knn
-from driftloom.plans import features, training
-from driftloom.plans.learners import Learner
+from driftloom.plans import features
 from pyspark.sql import functions as F
 from test_models import people
 
@@ -110,13 +109,6 @@ def test_a_held_out_label_reaches_no_feature(split):
     assert read(split) == read(turned)
 
 
-def test_training_inside_folds_runs_and_scores_every_row(spark):
-    config = training.TrainConfig("single", bases=[Learner("lr", "logistic", {"regParam": 0.01})], folds=3, select=False, calibrate=None)
-    result = training.train(people(spark), config)
-    assert result.scores.count() == 120 and result.scores.select("PassengerId").distinct().count() == 120
-    assert result.metrics["roc_auc"] > 0.5
-
-
 def test_target_tables_are_unchanged_by_the_further_key(rows):
     _, df = rows
     table = encode.fold_encoding(df, ["c"], "label", "fold")

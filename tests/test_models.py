@@ -245,7 +245,7 @@ def test_training_job(spark, mode, tmp_path):
     df = people(spark)
     config = training.TrainConfig(
         mode, bases=[LOGISTIC, FOREST], folds=2, inner_folds=2, select=mode == "single", selector=LOGISTIC, select_step=15,
-        calibrate={"stacking": None, "voting": "sigmoid", "single": "isotonic"}[mode], least_auc=0.5,
+        calibrate={"stacking": None, "voting": "sigmoid", "single": "isotonic"}[mode], least_auc=0.5, inside=mode == "voting",
     )
     result = training.train(df, config)
     assert result.metrics["roc_auc"] > 0.5 and 0.1 <= result.threshold <= 0.9
