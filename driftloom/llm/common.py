@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -59,10 +61,26 @@ def small_batches() -> None:
             conf.set(name, str(value))
 
 
+def release() -> None:
+    """Give memory that is free back to the system: workers live on after a task, and what they keep is their executor's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def kernel(function, kind: str):
-    """An Arrow function on columns, in small batches."""
+    """An Arrow function on columns, in small batches; it keeps no free memory from one batch to the next."""
     small_batches()
-    return F.arrow_udf(function, kind)
+
+    @functools.wraps(function)
+    def run(*columns):
+        out = function(*columns)
+        release()
+        return out
+
+    return F.arrow_udf(run, kind)
 
 
 def lowered(text: Column) -> Column:
@@ -111,7 +129,7 @@ KEPT_POWERS = 2 * BATCH_BYTES
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """POWER ** i and its inverse modulo 2 ** 64, for i < n at least."""
     if len(_powers.get("up", ())) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = -(-n // 65_536) * 65_536
         inverse = np.uint64(pow(int(POWER), -1, 1 << 64))
         tables = {}
         for name, base in (("up", POWER), ("down", inverse)):

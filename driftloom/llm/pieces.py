@@ -22,7 +22,7 @@ from driftloom.llm.sp_model import BPE, BYTE, MARK, NORMAL, UNIGRAM, USER_DEFINE
 
 # Bytes of encoded parts that a process remembers, twice: when the newer half is full it becomes the older one, and parts that are
 # met again move over, so frequent ones stay. ENTRY is what Python needs for a part beside its characters and ids.
-MEMORY, ENTRY = 24 << 20, 240
+MEMORY, ENTRY = 12 << 20, 240
 # Characters of the texts, and parts, that are encoded at once.
 TEXTS, PARTS = 1 << 18, 2000
 
