@@ -42,6 +42,39 @@ def test_a_chain_that_the_bucket_centre_does_not_link(spark):
     assert set(got.values()) == {0}
 
 
+@pytest.mark.parametrize("turns", [0, 1])
+def test_what_the_rounds_leave_is_found_by_prefixes(spark, turns):
+    """Without rounds of single pairs the components of a bucket are joined by set prefixes; short texts are met for certain."""
+    r = random.Random(6)
+    base = [f"w{r.randrange(300)}" for _ in range(60)]
+    texts = [changed(base, r, n) for n in (0, 1, 1, 1, 2, 2, 2, 3, 3, 4)] + [" ".join(base[k : k + 50]) for k in range(10)]
+    texts += ["a b c d e f g", "a b c d e f g h", "b c d e f g h", "a b c d e", "a b c d e f", None, ""]
+    got = {x.doc_id: tuple(x)[1:] for x in minmax.near_duplicates(documents(spark, enumerate(texts)), how=minmax.Banding(turns=turns)).collect()}
+    assert got == brute.near(dict(enumerate(texts)))
+
+
+def test_a_long_text_in_pieces_has_the_same_shingles(monkeypatch):
+    r = random.Random(1)
+    data = np.frombuffer(" ".join(f"{r.randrange(50)}{'x' * r.randrange(9)}" for _ in range(4000)).encode(), np.uint8)
+    whole = minmax.shingles(data, np.array([0, len(data)]), 5)
+    for piece in (37, 1000, len(data) - 1):
+        monkeypatch.setattr(minmax, "PIECE", piece)
+        parts = minmax.shingles(data, np.array([0, len(data)]), 5)
+        assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
+    assert minmax._cuts(np.full(500, 120, np.uint8)) == [0, 500]
+
+
+def test_repeated_strings_of_a_long_text_in_slices(spark):
+    """A passage at the border of two slices, and one in each."""
+    r = random.Random(3)
+    letters = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=2_600_000))
+    passage, at = "".join(r.choices("ABCDEFGH", k=450)), [100_000, (1 << 20) - 200, 2_300_000]
+    for n, p in enumerate(at):
+        letters = letters[: p - 1] + f"{n}{passage}{n}" + letters[p + 451 :]
+    found = suffixes.repeated_spans(documents(spark, [(1, letters)])).first()["spans"]
+    assert [(s["start"], s["end"]) for s in found] == [(p, p + 450) for p in at]
+
+
 def test_repeated_and_null_ids(spark):
     long = " ".join(f"v{i}" for i in range(50))
     rows = [(3, long), (3, long), (3, "other words"), (None, long), (None, "alone"), (7, long)]
