@@ -199,26 +199,6 @@ def test_builder_artefact_and_default_prior(spark, built, tmp_path):
     assert {r["Title_TE"] for r in blind.transform(df.drop("Survived")).select(key, "Title_TE").collect()} == {0.3838}
 
 
-def test_no_column_is_lost_however_wide(spark, tmp_path):
-    """Columns with more categories than flags become sparse vectors; the features say the same."""
-    df = people(spark).cache()
-    narrow, plain = features.FeatureBuilder().fit_transform(df)
-    wide, sparse = features.FeatureBuilder(most_flags=3).fit_transform(df)
-    assert set(wide.state["wide"]) == {"Embarked", "Title", "CabinDeck", "AgeBin", "FareBin"} - {c for c, v in narrow.state["categories"].items() if len(v) <= 3}
-    wide.write().save(str(tmp_path / "w"))
-    for model in (wide, features.FeatureBuilderModel.load(str(tmp_path / "w"))):
-        a = {r["PassengerId"]: r for r in narrow.transform(df).collect()}
-        for r in model.transform(df).collect():
-            for c in wide.state["wide"]:
-                names = [f"{c}_{v}" for v in narrow.state["categories"][c][1:]]
-                assert r[f"{c}_flags"].toArray().tolist() == [a[r["PassengerId"]][n] for n in names]
-    assert sparse.columns == ["PassengerId", "Survived", *wide.columns]
-    found = selection.select_features(stratified_folds(sparse, "Survived", "PassengerId", 2), wide.columns, FOREST, "Survived", "fold", 2, step=6)
-    assert set(found.ranking) == set(wide.columns)
-    new = df.drop("Survived").where("PassengerId = 1").withColumn("Name", F.lit("Unheard, Of. X"))
-    assert wide.transform(new).first()["Title_flags"].numNonzeros() <= 1
-
-
 def test_twenty_thousand_categories(spark):
     from driftloom.operators import encode
 
