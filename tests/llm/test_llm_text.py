@@ -184,4 +184,64 @@ LONG = " ".join(["long"] * 60)
 def test_place_is_one_feature(html, text):
     found = pages.blocks(html)
     keep = pages.train().predict(pages.features(found))
-    assert " ".join(b[0] for b, k in zip(found, keep, strict=True) if k) == text
+    assert " ".join(b.text for b, k in zip(found, keep, strict=True) if k) == text
+
+
+def words(n, word):
+    return " ".join([word] * n)
+
+
+ASIDES = (
+    f"<div id=comments><p>{words(60, 'said')}</p><article><p>{words(70, 'replied')}</p></article></div>"
+    f"<aside class=sidebar><p>{words(55, 'aside')}</p></aside><div class='cookie-notice'>{words(48, 'notice')}</div>"
+    f"<div class=advert>{words(50, 'buy')}</div><form><p>{words(50, 'field')}</p></form><footer>{words(80, 'foot')}</footer>"
+)
+STORY = f"<h1>T</h1><p>{words(60, 'told')}</p><p>Yes.</p><p>{words(40, 'more')}</p>"
+STORY_TEXT = f"T {words(60, 'told')} Yes. {words(40, 'more')}"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<article>{STORY}</article>{ASIDES}", STORY_TEXT),
+        (f"{ASIDES}<main>{STORY}</main>", STORY_TEXT),
+        (f"<article>{STORY}{ASIDES}</article>", STORY_TEXT),
+        (f"<div class=x>{STORY}</div>{ASIDES}", STORY_TEXT),
+        (f"<article><p>Sold out.</p></article>{ASIDES}", "Sold out."),
+        (f"<form id=f><article>{STORY}</article><div class=comments>{words(90, 'said')}</div></form>", STORY_TEXT),
+        (f"<body><h1>T</h1><h2>Why</h2><p>a short one</p><p>Yes.</p><ul><li>one<li>two things</ul>{ASIDES}", "T Why a short one Yes. one two things"),
+        (f"<div><h2>Head</h2></div><div><p>{LONG}</p></div><div>Yes</div><div><p>{LONG}</p></div><div>Share this</div>", f"Head {LONG} Yes {LONG}"),
+        ("<p>Hello world</p>", "Hello world"),
+        ("<nav><a href=1>Home</a></nav><footer>Imprint</footer>", ""),
+    ],
+)
+def test_long_side_parts_go_where_the_page_has_text(html, text):
+    found = pages.blocks(html)
+    keep = pages.train().predict(pages.features(found))
+    assert " ".join(b.text for b, k in zip(found, keep, strict=True) if k) == text
+
+
+def test_tree_equals_its_rules_read_row_by_row(spark, sf):
+    """A plain walk through the tree and plain features, block by block, over all pages."""
+    tree = pages.train()
+
+    def answer(html):
+        found = pages.blocks(html)
+        plain = [b.words - b.linked for b in found]
+        clear = sum(n for b, n in zip(found, plain, strict=True) if b.place < 2)
+        main = sum(n for b, n in zip(found, plain, strict=True) if b.place == 1 and not b.alone)
+        kept = []
+        for i, b in enumerate(found):
+            size = lambda j: (found[j].words, 100 * found[j].linked / found[j].words) if 0 <= j < len(found) else (0, 0)
+            held = sum(n for c, n in zip(found, plain, strict=True) if c.part == b.part and c.place < 2)
+            x = [*size(i), *size(i - 1), *size(i + 1), min(b.place, 3), 100 * held / max(clear, 1), clear, 100 * main / max(sum(plain), 1)]
+            at = 0
+            while tree.feature[at] >= 0:
+                at = tree.low[at] if x[tree.feature[at]] <= tree.limit[at] else tree.high[at]
+            if tree.low[at]:
+                kept.append(b.text)
+        return " ".join(kept)
+
+    want = {r.page_id: answer(r.html or "") for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = {r.page_id: (r.text, r.n_chars) for r in queries.op4_main_text(spark, sf).collect()}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
