@@ -14,7 +14,7 @@ conversation of their own; a null turn comes first, a null seq before all others
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, END = "<|turn|>", "<|end|>"
@@ -23,7 +23,6 @@ TURN, END = "<|turn|>", "<|end|>"
 CONTROL = r"(<|\[)(\\*)(\|[a-z_]+\|>|/?s>|/?INST\]|/?SYS>>)"
 ESCAPED = r"(<|\[)\\(\\*)(\|[a-z_]+\|>|/?s>|/?INST\]|/?SYS>>)"
 KINDS = ("message", "delta", "edit", "regenerate")
-MESSAGES = "array<struct<role:string,parts:array<string>>>"
 
 
 def escape(text: Column) -> Column:
@@ -46,65 +45,52 @@ def _role_in(role: Column) -> Column:
 def fold(events: DataFrame) -> DataFrame:
     """(conv_id, turns): the final messages of each conversation in order, as structs of role and text.
 
-    First each turn is folded on its own, so that long logs are spread over tasks by (conversation, turn); then the few
-    final messages of a conversation meet. Parts of a message are joined once, at the end.
+    First each turn is folded on its own, so that long logs are spread over tasks by (conversation, turn): its events are
+    numbered in order, the last regeneration and the last edit of a message say from where on its parts count, and these are
+    joined once. Then the final messages of a conversation meet. The work grows with the events, also within one message.
+    Repeated events count each; an empty table gives none.
     """
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")), F.lit(0))
-    event = F.struct(
-        F.col("seq").alias("seq"),
+    rows = events.select(
+        "conv_id",
+        "turn",
+        F.col("seq").cast("bigint").alias("seq"),
         rank.alias("rank"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    by_turn = events.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(event)).alias("log"))
-    nothing = F.array().cast(MESSAGES)
-    start = F.struct(
-        nothing.alias("messages"), F.lit(None).cast("bigint").alias("opened"), F.lit(None).cast("bigint").alias("cut")
+    turn = Window.partitionBy("conv_id", "turn")
+    in_order = turn.orderBy("seq", "rank", "role", "text")
+
+    def last(kind: int, value: str) -> Column:
+        return F.max(F.when(F.col("rank") == kind, F.col(value)))
+
+    rows = rows.withColumn("nth", F.row_number().over(in_order)).select(
+        "*",
+        # running number of the message that an event belongs to; 0 before the first
+        F.count(F.when(F.col("rank") == 1, 1)).over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("message"),
+        last(1, "seq").over(turn).alias("opened"),
+        last(4, "seq").over(turn).alias("cut"),
+        last(4, "nth").over(turn).alias("cleared"),
     )
-
-    def step(state: Column, e: Column) -> Column:
-        messages, kind = state["messages"], e["rank"]
-        some = F.size(messages) > 0
-        last = F.element_at(messages, -1)
-        head = F.slice(messages, F.lit(1), F.greatest(F.size(messages) - 1, F.lit(0)))
-        fresh = F.struct(e["role"].alias("role"), F.array(e["text"]).alias("parts"))
-        longer = F.struct(last["role"].alias("role"), F.concat(last["parts"], F.array(e["text"])).alias("parts"))
-        edited = F.struct(last["role"].alias("role"), F.array(e["text"]).alias("parts"))
-        after = (
-            F.when(kind == 1, F.concat(messages, F.array(fresh)))
-            .when((kind == 2) & some, F.concat(head, F.array(longer)))
-            .when((kind == 3) & some, F.concat(head, F.array(edited)))
-            .when(kind == 4, nothing)
-            .otherwise(messages)
-        )
-        return F.struct(
-            after.alias("messages"),
-            F.when(kind == 1, e["seq"]).otherwise(state["opened"]).cast("bigint").alias("opened"),
-            F.when(kind == 4, e["seq"]).otherwise(state["cut"]).cast("bigint").alias("cut"),
-        )
-
-    typed = "array<struct<seq:bigint,rank:bigint,role:string,text:string>>"
-    turns = by_turn.select("conv_id", "turn", F.aggregate(F.col("log").cast(typed), start, step).alias("state"))
-    joined = F.transform(
-        "state.messages", lambda m: F.struct(m["role"].alias("role"), F.concat_ws("", m["parts"]).alias("text"))
-    )
-    row = F.struct("turn", joined.alias("messages"), F.col("state.opened").alias("opened"), F.col("state.cut").alias("cut"))
-    met = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    # the latest cut of all earlier turns decides whether a turn still stands
-    cuts = F.aggregate(
-        F.col("rows"),
-        F.array(F.lit(None).cast("bigint")),
-        lambda s, r: F.concat(s, F.array(F.greatest(F.element_at(s, -1), r["cut"]))),
-    )
-    has_cut = F.exists("rows", lambda r: r["cut"].isNotNull())
-    alive = F.filter(
-        F.arrays_zip(F.col("rows"), cuts.alias("cuts")),
-        lambda z: z["rows"].isNotNull() & (z["cuts"].isNull() | (z["rows"]["opened"] > z["cuts"])),
-    )
-    kept = F.when(has_cut, F.transform(alive, lambda z: z["rows"]["messages"])).otherwise(
-        F.transform("rows", lambda r: r["messages"])
+    # messages that were opened before the last regeneration are gone, and so is what came after it without a new one
+    gone = (F.col("message") == 0) | F.coalesce(F.col("nth") <= F.col("cleared"), F.lit(False))
+    part = F.when(~gone & F.col("rank").between(1, 3), F.struct("nth", "text"))
+    messages = rows.groupBy("conv_id", "turn", "message").agg(
+        F.max("opened").alias("opened"),
+        F.max("cut").alias("cut"),
+        F.max(F.when(~gone & (F.col("rank") == 1), F.col("role"))).alias("role"),
+        F.coalesce(F.max(F.when(~gone & (F.col("rank") == 3), F.col("nth"))), F.lit(0)).alias("edited"),
+        F.sort_array(F.collect_list(part)).alias("parts"),
     )
-    return met.select("conv_id", F.flatten(kept).alias("turns"))
+    text = F.array_join(F.transform(F.filter("parts", lambda p: p["nth"] >= F.col("edited")), lambda p: p["text"]), "")
+    # the latest cut of all turns so far decides whether a turn still stands; a message outlives the cut of its own turn
+    so_far = F.max("cut").over(Window.partitionBy("conv_id").orderBy("turn"))
+    stands = F.col("role").isNotNull() & (so_far.isNull() | (F.col("opened") > so_far))
+    final = messages.select("conv_id", "turn", "message", "role", text.alias("text"), stands.alias("stands"))
+    kept = F.sort_array(F.collect_list(F.when(F.col("stands"), F.struct("turn", "message", "role", "text"))))
+    said = F.transform(kept, lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text")))
+    return final.groupBy("conv_id").agg(said.alias("turns"))
 
 
 def render(conversations: DataFrame, learn: str = "assistant") -> DataFrame:
@@ -112,7 +98,8 @@ def render(conversations: DataFrame, learn: str = "assistant") -> DataFrame:
 
     formatted: `<|turn|>role` newline, escaped text, `<|end|>` newline for each message. spans has a struct per message:
     chars (code points of the whole rendered message), loss_from and loss_chars (the code points of it that count for
-    the loss, relative to its start; 0 characters unless the role is `learn`).
+    the loss, relative to its start; 0 characters unless the role is `learn`). A conversation without messages gives the empty
+    text; repeated rows are rendered each, an empty table gives none.
     """
     parts = F.transform(
         "turns",
@@ -139,7 +126,8 @@ def render(conversations: DataFrame, learn: str = "assistant") -> DataFrame:
 def parse(rendered: DataFrame) -> DataFrame:
     """(conv_id, formatted, turns, losses) read back from `formatted` and `spans`.
 
-    turns: structs of role and text; losses: the unescaped text under each loss span, of messages that have one.
+    turns: structs of role and text; losses: the unescaped text under each loss span, of messages that have one. Both are
+    empty for the empty text; repeated rows are read each, an empty table gives none.
     """
     # a rendered message begins at every <|turn|>, since texts and roles hold none
     pieces = F.slice(F.split("formatted", r"<\|turn\|>"), F.lit(2), F.lit(2**31 - 1))

@@ -1,5 +1,6 @@
 """License scans, chat formatting, language, pages: cases by hand, nulls, long texts, repeated rows, clashing names."""
 
+import hashlib
 from fractions import Fraction
 
 import pytest
@@ -84,6 +85,71 @@ def test_chat_fold(spark):
     assert got[None] == [("user", "n")]
 
 
+def plain_fold(log):
+    """The rules of chat.fold, event by event."""
+    rank = {k: i + 1 for i, k in enumerate(chat.KINDS)}
+    first = lambda x: (x is not None, x or 0)
+    found, cuts, opened = {}, {}, {}
+    for conv, turn, seq, kind, role, text in sorted(log, key=lambda e: (first(e[2]), rank.get(e[3], 0), e[4] or "", e[5] or "")):
+        messages = found.setdefault(conv, {}).setdefault(turn, [])
+        if kind == "message":
+            messages.append([role or "", text or ""])
+            opened[conv, turn] = seq
+        elif kind == "delta" and messages:
+            messages[-1][1] += text or ""
+        elif kind == "edit" and messages:
+            messages[-1][1] = text or ""
+        elif kind == "regenerate":
+            messages.clear()
+            cuts[conv, turn] = seq
+    out = {}
+    for conv, turns in found.items():
+        out[conv], cut = [], None
+        for turn in sorted(turns, key=first):
+            if cut is None or (opened.get((conv, turn)) is not None and opened[conv, turn] > cut):
+                out[conv] += [tuple(m) for m in turns[turn]]
+            here = cuts.get((conv, turn))
+            cut = here if cut is None else cut if here is None else max(cut, here)
+    return out
+
+
+def test_chat_fold_equals_a_plain_fold(spark):
+    import random
+
+    draw = random.Random(5)
+    kinds = ["message"] * 4 + ["delta"] * 6 + ["edit", "regenerate", "odd"]
+    log = [
+        (draw.choice([None, *range(30)]), draw.choice([None, 0, 1, 2, 3]), draw.choice([None, *range(40)]), draw.choice(kinds),
+         draw.choice(["user", "assistant", None]), draw.choice([None, "", "a", "b", "cd\n"]))
+        for _ in range(3000)
+    ]
+    assert turns(chat.fold(event_rows(spark, log).repartition(7))) == plain_fold(log)
+    assert chat.parse(chat.render(chat.fold(event_rows(spark, [])))).count() == 0
+
+
+def test_chat_message_of_a_million_parts(spark):
+    n = 1_000_000
+    i = F.col("id")
+    events = spark.range(n).select(
+        F.lit(1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), i.alias("seq"),
+        F.when(i == 0, "message").when(i == 10, "edit").otherwise("delta").alias("kind"), F.lit("assistant").alias("role"),
+        F.concat(i.cast("string"), F.lit("\n")).alias("text"),
+    )
+    row = chat.parse(chat.render(chat.fold(events))).select(F.sha2(F.element_at("losses", 1), 256).alias("a"), F.sha2(F.element_at("turns", 1)["text"], 256).alias("b")).first()
+    want = hashlib.sha256("".join(f"{k}\n" for k in range(10, n)).encode()).hexdigest()
+    assert row.a == row.b == want
+
+
+def test_chat_query_on_a_long_message(spark, tmp_path):
+    text = "<|end|> a line\n" * 100_000
+    spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", text), (2, 0, None, None)], "conv_id long, turn long, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet")
+    )
+    got = {r.conv_id: r for r in queries.op2_chat(spark, str(tmp_path)).collect()}
+    assert got[1].loss_sha256 == hashlib.sha256(text.encode()).hexdigest() and got[1].loss_chars == len(text)
+    assert got[1].n_turns == 2 and got[2].n_turns == 1 and got[-7].n_turns == 2
+
+
 def test_chat_round_trip(spark):
     texts = [
         "</s>[INST] ok [/INST]", "<|turn|><|end|>\n", "<\\|turn|>", "<<SYS>>\\<</SYS>>", "\\", "<", "", "a\n<|end|>\n<|turn|>user\n",
