@@ -153,6 +153,57 @@ def test_embeddings_against_all_pairs(spark, block):
     assert got == {i: (count[i], root[i], root[i] == i) for i, _ in vectors}
 
 
+def clustered(r, clusters, each, size, spread):
+    """Vectors around random centres, in a random order."""
+    import numpy as np
+
+    rng = np.random.default_rng(r)
+    centres = rng.normal(size=(clusters, size))
+    x = np.repeat(centres, each, 0) + spread * rng.normal(size=(clusters * each, size))
+    return x[rng.permutation(len(x))]
+
+
+def vector_table(spark, x):
+    import pyarrow as pa
+
+    return spark.createDataFrame(pa.table({"vec_id": pa.array(range(len(x))), "embedding": pa.array(list(x))})).repartition(6)
+
+
+def cosine_groups(x, least=0.9):
+    """{row: (links, smallest reachable, kept)} from all products."""
+    import numpy as np
+
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= least
+    np.fill_diagonal(near, False)
+    root = brute.groups(range(len(x)), [(int(a), int(b)) for a, b in np.argwhere(near) if a < b])
+    return {i: (int(near[i].sum()), root[i], root[i] == i) for i in range(len(x))}
+
+
+def test_intervals_far_apart_are_not_joined(spark):
+    """Of 100 clusters less than a tenth of the interval pairs are left, and no link is lost."""
+    x = clustered(3, 100, 64, 32, 0.03)
+    df = vector_table(spark, x)
+    how = epsilon_grid.Grid(block=32, leaf=8)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in epsilon_grid.near_duplicates(df, how=how).collect()}
+    assert got == cosine_groups(x)
+    steps = Steps(spark)
+    classes = steps.keep(df.select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("copies"), F.col("embedding").alias("v")))
+    axes = epsilon_grid._axes(classes, 32, how)
+    blocks = steps.keep(epsilon_grid._blocks(classes, 32, axes, how))
+    n, left = blocks.count(), epsilon_grid._near_blocks(blocks, 32, axes, how, steps).count()
+    print(f"{left} of {n * (n + 1) // 2} pairs of intervals are joined")
+    assert n == 200 and left < 0.1 * n * (n + 1) / 2
+
+
+def test_long_vectors(spark):
+    x = clustered(4, 30, 10, 1024, 0.2)
+    how = epsilon_grid.Grid()
+    assert how.rows(1024) * 1024 * 8 <= epsilon_grid.BLOCK_BYTES
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in epsilon_grid.near_duplicates(vector_table(spark, x), how=how).collect()}
+    assert got == cosine_groups(x)
+
+
 def plain_leaks(docs, items, share=0.75):
     """Every window of an item's length, wherever it begins."""
     import re
