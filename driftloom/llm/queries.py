@@ -82,7 +82,7 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """Blocks are lines; places are looked for in the words of the whole text."""
+    """Blocks are lines, and word windows of texts with line breaks; places are looked for in the words of the whole text."""
     listed = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
     places = []
     for phrase, label in licenses.PHRASES.items():
@@ -99,12 +99,15 @@ def _license_sql() -> str:
 WITH docs AS (
   SELECT row_number() OVER () AS id, doc_id, {LOWERED} AS t FROM documents
 ), words AS (
-  SELECT id, doc_id, regexp_extract_all(t, '{licenses.WORD}') AS w FROM docs
+  SELECT id, doc_id, t, regexp_extract_all(t, '{licenses.WORD}') AS w FROM docs
 ), placed AS (
   SELECT id, doc_id, len(w)::BIGINT AS n_words, list_concat({places[0]}, list_concat({places[1]}, {places[2]})) AS p FROM words
 ), lines AS (
   SELECT id, regexp_extract_all(line, '{licenses.WORD}') AS w
   FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM docs)
+  UNION ALL
+  SELECT id, unnest(list_transform(range(1, len(w) + 1, {max(1, licenses.WINDOW // 4)}), lambda i: w[i:i + {licenses.WINDOW - 1}])) AS w
+  FROM words WHERE contains(t, chr(10))
 ), notices(label, words, must) AS (VALUES {notices}),
 met AS (
   SELECT id, label, len(list_intersect(words, w)) / len(words) AS share

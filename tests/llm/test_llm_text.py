@@ -3,6 +3,8 @@
 import hashlib
 from fractions import Fraction
 
+import compare
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,7 +230,11 @@ def test_wrapped_license_headers(spark, tmp_path):
     assert len(got) == len(rows) and all(r["labels"] == r.want for r in got)
     documents = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     documents.write.parquet(str(tmp_path / "documents.parquet"))
-    assert {r.doc_id: r["labels"] for r in queries.op1_licenses(spark, str(tmp_path)).collect()} == {i: w for i, (w, _) in enumerate(rows)}
+    found = queries.op1_licenses(spark, str(tmp_path))
+    assert {r.doc_id: r["labels"] for r in found.collect()} == {i: w for i, (w, _) in enumerate(rows)}
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare.differences(found, duck, queries.ORACLES["op1_licenses"]) == []
 
 
 LONG = " ".join(["long"] * 60)
