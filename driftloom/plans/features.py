@@ -27,7 +27,7 @@ from driftloom.specs import (
     ONE_HOT_INPUTS,
 )
 
-SEED = 42
+SEED, INNER_SEED = 42, 43
 
 
 def parsed(df: DataFrame) -> DataFrame:
@@ -198,7 +198,7 @@ class FeatureBuilder(Estimator):
 
         rows: (id, label, fold, fit, held, columns...), each record once per left-out fold `fit`. held: it is the fold's own row,
         with what the other folds tell (as a new record would get it); else a training row of that fit, with encodings that leave out its
-        own fold too. Statistics come from one count per value and fold (operators.fold_fits), so there is no pass per fold.
+        own fold too (of two folds, its own part of the fold: encoding_parts). Statistics come from one count per value and fold (operators.fold_fits), so there is no pass per fold.
         Flags of a category that the other folds don't have are 0 in all training rows of that fit, so no model can use them.
         """
         if not (self.label and self.label in df.columns):
@@ -226,11 +226,14 @@ class FeatureBuilder(Estimator):
         rows = derived(rows, []).withColumn("FareBin", F.coalesce(*cut))
         rows = lookup_join(rows, tickets, ["fit", "Ticket"], "n", ["n"], [id_col], row_bound(tickets))
         rows = durable(rows.withColumn("TicketFrequency", F.coalesce("n", F.lit(1)).cast("long")).drop("n"))
-        table = durable(fold_fits.nested_encodings(rows, ENCODED_INPUTS, "__label", fold, "fit", folds, self.m))
-        if fold != "fold":
-            table = table.withColumnRenamed("fold", fold)
+        rows, part, parts = self.encoding_parts(base, rows, fold, folds)
+        table = durable(fold_fits.nested_encodings(rows, ENCODED_INPUTS, "__label", part, "fit", parts, self.m))
+        if part != "fold":
+            table = table.withColumnRenamed("fold", part)
+        if parts == folds + 1:  # nothing to leave out: as held-out rows, encoded by all training rows
+            rows = rows.withColumn(part, F.col("fit"))
         encoded = encode.apply_fold_encoding(
-            rows, table, ENCODED_INPUTS, fold, spread_by=[id_col], known_rows=row_bound(table), also=["fit"]
+            rows, table, ENCODED_INPUTS, part, spread_by=[id_col], known_rows=row_bound(table), also=["fit"]
         )
         categories = encode.freeze_categories(rows, ONE_HOT_INPUTS, self.most_flags)
         wide = [c for c in ONE_HOT_INPUTS if c not in categories]
@@ -244,6 +247,24 @@ class FeatureBuilder(Estimator):
             flags = encode.sparse_flags(flags, index, c, encode.flag_encoder(c, index.count()), known_rows=row_bound(index))
         return columns, encode.align(flags, columns, [id_col, self.label, fold, "fit", "held"])
 
+    def encoding_parts(self, base: DataFrame, rows: DataFrame, fold: str, folds: int) -> tuple[DataFrame, str, int]:
+        """(rows, column, number of parts): training rows are encoded without the rows of their part.
+
+        The parts are the folds. With two folds nothing is left outside a fit and a training row's own fold; so these rows get
+        parts of their own, numbered after the folds, as many as the encoder has folds and the smallest class of a fold allows.
+        """
+        sizes = base.where(F.col(fold).isNotNull()).groupBy(fold, "__label").agg(F.count(F.lit(1)).alias("n")).collect()
+        if len({r[fold] for r in sizes}) > 2:
+            return rows, fold, folds
+        classes = len({r["__label"] for r in sizes})
+        whole = all(sum(r[fold] == f for r in sizes) == classes for f in {r[fold] for r in sizes})
+        inner = max(1, min(self.folds, *[r["n"] for r in sizes])) if sizes and classes > 1 and whole else 1
+        # by another hash than the folds, whose ranks would share their remainders with these
+        rows = rows.withColumn("__stratum", F.struct("fit", fold, "__label"))
+        rows = stratified_folds(rows, "__stratum", self.id_col, inner, INNER_SEED, "__part").drop("__stratum")
+        part = F.when(F.col("fit") == F.col(fold), F.col("fit")).when(F.col(fold).isNotNull(), folds + F.col("__part"))
+        return durable(rows.withColumn("__part", part.cast("int"))), "__part", folds + inner
+
 
 class ColumnSelector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Keeps the named columns that are there and assembles them into a vector."""

@@ -113,3 +113,29 @@ def test_target_tables_are_unchanged_by_the_further_key(rows):
     _, df = rows
     table = encode.fold_encoding(df, ["c"], "label", "fold")
     assert encode.apply_fold_encoding(df, table, ["c"], "fold").where("c_TE is null").count() == 0
+
+
+@pytest.mark.parametrize("rare", [False, True])
+def test_training_rows_of_two_folds_are_encoded_without_their_own_part(spark, rare):
+    """Nothing is left outside a fit and the other fold, so that fold is cut into parts; with one row of a class, all of it counts."""
+    df = people(spark).withColumn("fold", F.col("PassengerId") % 2)
+    if rare:
+        df = df.withColumn("Survived", F.col("PassengerId").isin(3, 4, 6).cast("int"))
+    builder, seen = features.FeatureBuilder(), {}
+    plain = builder.encoding_parts
+
+    def spy(*given):
+        seen["rows"], seen["part"], seen["parts"] = plain(*given)
+        return seen["rows"], seen["part"], seen["parts"]
+
+    builder.encoding_parts = spy
+    got = builder.fold_features(df, "fold", 2)[1].toPandas()
+    assert len(got) == 240 and got.held.sum() == 120 and not got.isna().any().any()
+    assert seen["parts"] == 2 + (1 if rare else builder.folds)
+    rows = seen["rows"].toPandas().merge(got[["PassengerId", "fit", "Title_TE"]], on=["PassengerId", "fit"])
+    for r in rows.itertuples():
+        others = rows[(rows.fit == r.fit) & (rows.fold != r.fit)]
+        if not rare and r.fold != r.fit:
+            others = others[others["__part"] != rows.loc[r.Index, "__part"]]
+        prior, mine = others["__label"].mean(), others[others.Title == r.Title]["__label"]
+        assert r.Title_TE == pytest.approx((mine.sum() + builder.m * prior) / (len(mine) + builder.m))
