@@ -8,7 +8,7 @@ sentencepiece library is checked for every distinct part of a text that is encod
 from __future__ import annotations
 
 import hashlib
-import struct
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -24,7 +24,7 @@ from driftloom.llm.sp_model import BPE, BYTE, MARK, NORMAL, UNIGRAM, USER_DEFINE
 # met again move over, so frequent ones stay. ENTRY is what Python needs for a part beside its characters and ids.
 MEMORY, ENTRY = 12 << 20, 240
 # Characters of the texts, and parts, that are encoded at once.
-TEXTS, PARTS = 1 << 18, 2000
+TEXTS, PARTS = 1 << 18, 8000
 
 
 def _merges(model: SpModel) -> list[tuple[str, str]]:
@@ -71,6 +71,7 @@ class Codec:
         self.cuts = Boundaries(self.model)
         self.by_parts = self.cuts.usable
         self.tokenizer = backend(self.model, part=self.by_parts)
+        self.core = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.held = 0
@@ -80,6 +81,7 @@ class Codec:
             import sentencepiece
 
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+            self.mark, self.lead = self.reference.piece_to_id(MARK), len(self.reference.encode("\n"))
         raw = [self._bytes(t, kind) for t, _, kind in self.model.pieces]
         self.blob = np.frombuffer(b"".join(raw), np.uint8)
         self.size = np.array([len(r) for r in raw])
@@ -91,23 +93,33 @@ class Codec:
             return bytes([int(text[3:5], 16)])
         return text.replace(MARK, " ").encode() if kind in (NORMAL, USER_DEFINED) else b""
 
+    def _ids(self, part: str) -> list[int]:
+        """Ids by the tokenizers library, on the caller's thread: Spark's tasks are what runs side by side."""
+        if self.by_parts:  # all that the normaliser does to a part is to write its spaces as marks
+            return [t.id for t in self.core.tokenize(part.replace(" ", MARK))]
+        return self.tokenizer.encode(part, add_special_tokens=False).ids
+
+    def _reference_ids(self, parts: list[str]) -> Iterator[list[int]]:
+        """Ids by the sentencepiece library, which puts a mark in front of what it gets.
+
+        A part that begins with a space gets its mark that way. Others follow a line break, whose two tokens are taken off again.
+        """
+        if not (self.by_parts and self.model.dummy_prefix):
+            yield from self.reference.encode(parts, num_threads=1)
+            return
+        theirs = self.reference.encode([p[1:] if p[0] == " " else "\n" + p for p in parts], num_threads=1)
+        for part, ids in zip(parts, theirs, strict=True):
+            # the library gives nothing for an empty text
+            yield ids[self.lead :] if part[0] != " " else ids if part != " " else [self.mark]
+
     def _learn(self, parts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        packed = [struct.pack(f"<{len(i)}i", *i) for i in found]
+        # ids as bytes: lists of many parts at a time would keep Python's garbage collection busy
+        packed = [array("i", self._ids(p)).tobytes() for p in parts]
         self.known.update(zip(parts, packed, strict=True))
         self.held += sum(map(len, parts)) + sum(map(len, packed)) + ENTRY * len(parts)
         if self.reference is not None:
-            # the library puts a mark in front of what it gets: a part that begins with a space gives it that one
-            dummy = self.by_parts and self.model.dummy_prefix
-            asked = [p[1:] if dummy and p.startswith(" ") else p for p in parts]
-            mark = self.reference.piece_to_id(MARK)
-            for part, ids, theirs in zip(parts, found, self.reference.encode(asked, num_threads=1), strict=True):
-                if dummy and not part.startswith(" "):
-                    theirs = self.reference.encode("\n" + part)[2:] if part[0] != "\n" else theirs[1:] if theirs[:1] == [mark] else theirs
-                elif part == " ":
-                    theirs = [mark]
-                if ids != theirs:
-                    self.wrong.add(part)
+            theirs = self._reference_ids(parts)
+            self.wrong.update(p for p, ids, t in zip(parts, packed, theirs, strict=True) if ids != array("i", t).tobytes())
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
         """Ids of each text, and whether all its parts agree with the sentencepiece library."""
@@ -170,7 +182,7 @@ def encode(text: Column, data: bytes, verify: bool = True, with_ids: bool = True
 
     data: bytes of the model file, read by the caller. ids_sha256: of the ids as little-endian 32-bit numbers. parity: all
     parts have the ids that the sentencepiece library gives. round_trip: the decoded ids are the text; false for texts
-    that hold the mark itself, which decodes to a space. Batches go to the library's own threads.
+    that hold the mark itself, which decodes to a space.
     """
     def run(column: pa.Array) -> pa.Array:
         codec, parts = codec_of(data, verify), [[], [], [], [], []]

@@ -208,3 +208,20 @@ def test_pipeline_texts_hold_no_repeat(spark, sf):
     left = suffixes.repeated_spans(rows).where(F.size("spans") > 0).count()
     assert left <= rows.count() // 50  # only strings that meet newly where something was cut out between them
     assert Path(corpus_pipeline.__file__).name == "corpus_pipeline.py"
+
+
+def test_parts_after_line_breaks_are_checked_together():
+    """One call of the sentencepiece library for all parts of a batch, whatever they begin with; the ids stay the library's."""
+    codec = pieces.Codec(DATA)
+    library, calls = codec.reference, []
+
+    class Spy:
+        def encode(self, *given, **how):
+            calls.append(given)
+            return library.encode(*given, **how)
+
+    codec.reference = Spy()
+    text = "\n".join(f"w{i} and x{i}\n\n" for i in range(500)) + " \n  a"
+    ids, agree = codec.encode([text, " ", "\n", None])
+    assert [i.tolist() for i in ids] == [library.encode(t) for t in (text, " ", "\n", "")] and all(agree)
+    assert len(calls) <= 2
