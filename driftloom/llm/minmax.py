@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftloom.llm.common import BATCH_BYTES, Steps, kernel, maybe_broadcast, mixed, pieces, prefix_hashes, span_hash, utf8
+from driftloom.llm.common import SLICE_BYTES, Steps, kernel, maybe_broadcast, mixed, pieces, prefix_hashes, span_hash, utf8
 from driftloom.llm.components import components
 
 _SPACE = np.zeros(256, bool)
@@ -45,7 +45,7 @@ class Banding:
 
 
 # Bytes of a text whose words are looked for at once; a longer text is cut at white space.
-PIECE = BATCH_BYTES
+PIECE = SLICE_BYTES
 
 
 def _words(local: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +135,7 @@ def _bands(found: np.ndarray, sizes: np.ndarray, how: Banding) -> list[np.ndarra
 
 def _by_parts(column: pa.Array, width: int):
     data, offsets = utf8(column)
-    for a, b in pieces(offsets):
+    for a, b in pieces(offsets, SLICE_BYTES):
         yield shingles(data, offsets[a : b + 1], width)
 
 

@@ -275,3 +275,22 @@ def test_hamming_blocks_cover_the_radius():
         flips = r.sample(range(64), how.radius)
         per_block = [sum(f // 8 == b for f in flips) for b in range(decontaminate.BLOCKS)]
         assert min(per_block) <= how.radius // decontaminate.BLOCKS
+
+
+def test_anchors_of_many_texts_need_little_memory():
+    """A megabyte of texts is worked on in slices: some 100 bytes a byte of a slice, not of the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = np.random.default_rng(3)
+    column = pa.array([r.integers(97, 123, 20_000, np.uint8).tobytes().decode() for _ in range(50)])
+    data, offsets = suffixes.utf8(column)
+    sizes = [int(offsets[b] - offsets[a]) for a, b in suffixes.pieces(offsets, suffixes.SLICE_BYTES)]
+    assert sum(sizes) == 1_000_000
+    tracemalloc.start()
+    for a, b in suffixes.pieces(offsets, suffixes.SLICE_BYTES):
+        suffixes._anchors(data[int(offsets[a]) : int(offsets[b])], offsets[a : b + 1] - offsets[a], suffixes.Repeats())
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 45 << 20
