@@ -118,6 +118,31 @@ def test_repeated_strings_at_full_length(spark, sf):
     assert spans_of(spark, texts, suffixes.Repeats()) == brute.repeats(texts, 400)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_texts_without_repeats_are_not_shuffled(spark, tmp_path, monkeypatch, few):
+    """Only texts with spans meet them in a shuffle, unless these are too many to send their keys."""
+    r = random.Random(21)
+    noise = lambda n: "".join(r.choices("abcdefghijklmnop é", k=n))
+    passage = noise(430)
+    rows = [(i, noise(600)) for i in range(60)] + [(60, noise(50) + passage), (61, passage + noise(70)), (None, passage), (62, None), (5, passage), (5, "b")]
+    rows += [(63, passage + "1" + passage)]
+    documents(spark, rows).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    if not few:
+        monkeypatch.setattr(suffixes, "small_enough", lambda df: False)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = suffixes.repeated_spans(docs)
+        got = found.select("doc_id", "text", suffixes.cut_out(F.col("text"), F.col("spans")).alias("c")).collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ("LeftOuter" in plan) is not few and ("LeftAnti, BuildRight" in plan) is few
+    want = [(i, t, *cut) for (i, t), cut in zip(rows, brute.repeats([t for _, t in rows], 400), strict=True)]
+    assert sorted(((x.doc_id, x.text, x.c.n_bytes, x.c.n_removed, x.c.n_spans, x.c.kept_sha256) for x in got), key=str) == sorted(want, key=str)
+
+
 def test_deep_shallow_sorts_like_sorted():
     r = np.random.default_rng(1)
     rows = r.integers(0, 3, (500, 48)).astype(np.uint8)
