@@ -92,3 +92,60 @@ def test_further_columns_with_the_names_in_use(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0, "x", 9), (2, 1.1, None, "y", 8)], "id long, a double, b double, leaf string, n int")
     got = knn.knn_fill(df, df, ["a", "b"], "id").where(F.col("id") == 2).first()
     assert tuple(got) == (2, 1.1, 5.0, "y", 8)
+
+
+@pytest.mark.parametrize("kind", ["spread", "few values", "some of each"])
+def test_the_tree_of_a_leaf_finds_what_brute_force_finds(kind):
+    """With ties, missing columns on both sides, fewer donors than k, and columns of few values."""
+    r = np.random.default_rng(8)
+    draw = {"spread": lambda s: r.normal(0, 1, s), "few values": lambda s: r.integers(0, 3, s).astype(float),
+            "some of each": lambda s: np.where(np.arange(s[1]) % 2, r.integers(0, 3, s), r.normal(0, 1, s))}[kind]
+    for n, f, k in ((3, 2, 5), (40, 1, 3), (400, 3, 5), (900, 5, 1)):
+        donors, x, ranks = draw((n, f)), draw((50, f)), r.permutation(n)
+        x[r.random(x.shape) < 0.2] = np.nan
+        donors[:, 1:2] = np.nan if f == 3 else donors[:, 1:2]
+        row, donor, d = knn.nearest(x, donors, ranks, k, f + 1)
+        far = np.sqrt(knn.squared_distances(x, donors, f + 1))
+        for i in range(len(x)):
+            order = np.lexsort((ranks, far[i]))
+            order = order[np.isfinite(far[i][order])][:k]
+            assert (donor[row == i] == order).all() and (d[row == i] == far[i][order]).all()
+
+
+def test_receivers_are_not_held_against_all_leaves(spark, monkeypatch):
+    """The nearest leaf, and those within reach, come from a tree over the boxes: comparisons stay far below receivers x leaves."""
+    r = np.random.default_rng(9)
+    corner = np.stack(np.meshgrid(np.arange(40.0), np.arange(40.0)), -1).reshape(-1, 2)
+    table = spark.createDataFrame(
+        [(f"{i % 2}:00:{i}", i % 2, 50, [*map(float, c)], [*map(float, c + 0.9)]) for i, c in enumerate(corner)], "leaf string, part long, n long, low array<double>, high array<double>"
+    )
+    leaves, held, apart = knn._Leaves(table, 2, 5, 3), [], knn._Tree.apart
+    monkeypatch.setattr(knn._Tree, "apart", lambda self, x, *more: (held.append(len(x)), apart(self, x, *more))[1])
+    x, part, limit = r.random((500, 2)) * 40, r.integers(0, 2, 500), np.full(500, 0.7)
+    home, found = leaves.home(x, part), leaves.within(x, part, limit, -1)
+    assert sum(held) < 500 * 800 / 4
+    names = {name: i for i, name in enumerate(leaves.names)}
+    far = np.sqrt(knn.box_distances(x, leaves.low, leaves.high, 3))
+    of = np.array([int(name[0]) for name in names])
+    far[part[:, None] != of[None, :]] = np.inf
+    assert all((np.flatnonzero(far[i] <= 0.7) == found[i]).all() for i in range(500)) and (of[home] == part).all()
+
+
+def test_only_rows_with_a_gap_are_joined_where_many_points_are_filled(spark, monkeypatch):
+    x, df = table(spark, 600, 10)
+    tables = knn.fit(df, COLS, "id", 5, ["a", "f"])
+    want = knn.fill(df, tables, COLS, "id", 5, ["a", "f"]).orderBy("id").toPandas()
+    joined, join = [], knn.lookup_join
+    monkeypatch.setattr(knn, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(knn, "lookup_join", lambda left, *more: (joined.append(left.count()), join(left, *more))[1])
+    got = knn.fill(df, tables, COLS, "id", 5, ["a", "f"]).orderBy("id").toPandas()
+    assert set(joined) == {int((np.isnan(x[:, 0]) | np.isnan(x[:, 5])).sum())}
+    assert [*got.columns] == [*want.columns] and np.allclose(got, want, equal_nan=True)
+
+
+def test_missing_and_repeated_ids(spark):
+    """Of the donors at one point the first k stay, missing ids before others and rows of one id in the order of their values."""
+    donors = spark.createDataFrame([(None, 1.0, 9.0), (7, 1.0, 3.0), (7, 1.0, 5.0), (2, 4.0, 8.0)], "id long, a double, b double")
+    new = spark.createDataFrame([(1, 1.0, None), (None, 4.0, None)], "id long, a double, b double")
+    got = {r["a"]: r["b"] for r in knn.knn_fill(new, donors, ["a", "b"], "id", 2, ["b"]).collect()}
+    assert got[4.0] == 8.0 and got[1.0] == 6.0

@@ -177,6 +177,6 @@ def train_job(spark, sf):
 
 @query()
 def impute_auto(spark, sf):
-    df = gaps(spark, sf).select("o_orderkey", "x1", "x2", "x3")
+    df = durable(gaps(spark, sf).select("o_orderkey", "x1", "x2", "x3"))
     model = imputer.MissingImputer(["x1", "x2", "x3"], "auto", id_col="o_orderkey").fit(df)
     return r6(model.transform(df), 4)
