@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from driftloom.functions.columns import col
 from driftloom.functions.joins import lookup_join
 from driftloom.functions.numbering import numbered
+from driftloom.session import durable
 
 MISSING = "nan"
 
@@ -138,9 +139,10 @@ def freeze_categories(df: DataFrame, cols: Sequence[str], most: int = 10_000) ->
     """Sorted distinct values at fit, per column with at most `most` of them: those become columns of the wide form.
 
     Wider columns are not in the result; `category_index` numbers their values in Spark, and `sparse_flags` makes one vector of them.
+    The rows are read once, and become one for each combination of categories before they are told apart by column.
     """
     cells = [F.struct(F.lit(c).alias("column"), as_category(c).alias("category")) for c in cols]
-    distinct = df.select(F.inline(F.array(*cells))).distinct()
+    distinct = durable(df.select(*cols).distinct().select(F.inline(F.array(*cells))).distinct())
     sizes = {r["column"]: r["n"] for r in distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     narrow = [c for c in cols if sizes.get(c, 0) <= most]
     rows = distinct.where(F.col("column").isin(narrow)).collect()

@@ -216,7 +216,7 @@ class FeatureBuilder(Estimator):
         medians = durable(medians.select("fit", "Pclass", "n", F.col("quantiles")[0].alias("median")))
         tickets = durable(fold_fits.leave_out_frequencies(base, "Ticket", fold, folds))
         port = F.coalesce("Embarked", *[F.when(F.col("fit") == f, F.lit(modes.get(f, "S"))) for f in range(folds)])
-        rows = base.withColumn("fit", grid).withColumn("Embarked", port)
+        rows = base.drop("Name", "Cabin").withColumn("fit", grid).withColumn("Embarked", port)
         rows = lookup_join(rows, medians, ["fit", "Pclass"], "n", ["median"], known_rows=row_bound(medians))
         rows = rows.withColumn("Fare", F.coalesce("Fare", "median")).drop("median").withColumn("Age_is_na", F.col("Age").isNull().cast("int"))
         donors = base.select(id_col, fold, *[F.col(c).cast("double").alias(c) for c in NEIGHBOUR_INPUTS])
@@ -225,7 +225,7 @@ class FeatureBuilder(Estimator):
         cut = [F.when(F.col("fit") == f, bins.quantile_bin("Fare", quartiles.get(f, []))) for f in range(folds)]
         rows = derived(rows, []).withColumn("FareBin", F.coalesce(*cut))
         rows = lookup_join(rows, tickets, ["fit", "Ticket"], "n", ["n"], [id_col], row_bound(tickets))
-        rows = durable(rows.withColumn("TicketFrequency", F.coalesce("n", F.lit(1)).cast("long")).drop("n"))
+        rows = durable(rows.withColumn("TicketFrequency", F.coalesce("n", F.lit(1)).cast("long")).drop("n", "Ticket"))
         rows, part, parts = self.encoding_parts(base, rows, fold, folds)
         table = durable(fold_fits.nested_encodings(rows, ENCODED_INPUTS, "__label", part, "fit", parts, self.m))
         if part != "fold":

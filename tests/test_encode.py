@@ -105,3 +105,11 @@ def test_frequency_counts_skip_missing_keys(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "b")], "id long, k string")
     got = {r["id"]: r["f"] for r in encode.frequency_encode(df, encode.key_counts(df, "k"), "k", "f").collect()}
     assert got == {1: 2, 2: 2, 3: 1, 4: 1}
+
+
+def test_categories_are_read_once_and_wide_columns_left_out(spark, monkeypatch):
+    df = spark.range(60).select((F.col("id") % 3).alias("a"), F.when(F.col("id") % 4 > 0, F.col("id") % 4).cast("string").alias("b"), F.col("id").alias("wide"))
+    stored, durable = [], encode.durable
+    monkeypatch.setattr(encode, "durable", lambda d: (stored.append(sorted(map(tuple, d.collect()))), durable(d))[1])
+    assert encode.freeze_categories(df, ["a", "b", "wide"], 10) == {"a": ["0", "1", "2"], "b": ["1", "2", "3", "nan"]}
+    assert len(stored) == 1 and len(stored[0]) == 3 + 4 + 60
