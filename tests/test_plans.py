@@ -63,3 +63,14 @@ def test_library_rules():
             continue  # numbers rows of tables that it has stored
         text = path.read_text()
         assert not re.search(r"\.rdd\b|localCheckpoint|crossJoin|F\.udf|@udf|monotonically_increasing_id", text), path
+
+
+def test_a_stored_table_is_read_by_the_value_that_is_asked_for(spark):
+    rows = [(i, [0, 1, None][i % 3], float(i), f"x.{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, fit int, `a.b` double, c string")
+    stored = durable(df.repartition(1), ["fit"])
+    assert stored.schema == df.schema and sorted(stored.collect(), key=lambda r: r[0]) == [*map(tuple, rows)]
+    plan = final_plan(stored.where("fit = 1"))
+    assert "PartitionFilters: [isnotnull(fit" in plan and stored.where("fit = 1").count() == 10
+    assert len({f.split("fit=")[1].split("/")[0] for f in stored.inputFiles()}) == 3
+    assert sorted(durable(df).collect(), key=lambda r: r[0]) == [*map(tuple, rows)]

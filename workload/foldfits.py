@@ -90,7 +90,7 @@ def inside_fold_areas(spark, sf):
     split = durable(folds.stratified_folds(_passengers(spark, sf), "Survived", "PassengerId", FOLDS))
     columns, rows = features.FeatureBuilder().fold_features(split, "fold", FOLDS)
     keep = ["PassengerId", "Survived", "fold", "fit", "held"]
-    rows = durable(features.ColumnSelector(columns, keep).transform(rows).drop(*columns))
+    rows = durable(features.ColumnSelector(columns, keep).transform(rows).drop(*columns), ["fit"])
     make = lambda: LOGISTIC.estimator(label="Survived")
     scores = oof.fitted_fold_scores(rows, make, FOLDS, ["Survived", "fold"])
     return r6(metrics.ranking_metrics(durable(scores), "Survived", "p", ["fold"]))
